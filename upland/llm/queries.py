@@ -23,8 +23,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 OP7_SQL = r"""
 WITH d AS (SELECT doc_id, source, coalesce(text, '') AS text FROM documents),
 w AS (SELECT doc_id, source, text, list_filter(string_split_regex(text, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM d),
-at AS (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM w),
-tri AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, w[i], w[i + 1], w[i + 2]) AS c FROM at),
+pos AS (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM w),
+tri AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, w[i], w[i + 1], w[i + 2]) AS c FROM pos),
 cov AS (SELECT doc_id, count(DISTINCT i + o) AS n FROM tri, (VALUES (0), (1), (2)) AS t(o) WHERE c > 1 GROUP BY doc_id),
 lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM d),
 dup AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM lines WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id),
