@@ -173,7 +173,8 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     size = member.groupBy("group").agg(F.ceil(F.sum("n_shingles") * 2 / GROUP_SHINGLES).alias("half"), F.sum("n_shingles").alias("total"))
     blocks = F.when(F.col("total") <= GROUP_SHINGLES, F.lit(1)).otherwise(F.greatest(F.col("half"), F.lit(2))).cast("int")
     placed = member.join(size.select("group", blocks.alias("n_blocks")), "group").withColumn("own", F.pmod(F.xxhash64("doc_id"), F.col("n_blocks")).cast("int"))
-    texts = plain(docs).join(placed.select("doc_id", F.col("digest").alias("want"), "group", "n_blocks", "own"), "doc_id")
+    # shuffled at any size: how many texts have near-copies isn't known
+    texts = plain(docs).hint("merge").join(placed.select("doc_id", F.col("digest").alias("want"), "group", "n_blocks", "own"), "doc_id")
 
     def full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
