@@ -7,9 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .bpe import encode_decode
 from .common import table
 from .minhash import near_duplicates
+from .packing import pack
 from .quality import quality_rules
+from .repair import read_shards, write_shards
+
+
+def op2_repair_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_shards(write_shards(table(spark, sf_dir, "documents")))
+
+
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"))
 
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,12 +28,20 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = encode_decode(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), percent=85).select("doc_id", "n_shingles", "component_id", "kept")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_repair_ids": op2_repair_ids,
+    "op5_best_fit_packing": op5_best_fit_packing,
     "op7_quality_rules": op7_quality_rules,
+    "op9_bpe": op9_bpe,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
 }
 
