@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .ann import search
 from .bpe import encode_decode
 from .common import table
 from .minhash import near_duplicates
@@ -23,6 +24,10 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
 
+def op6_multi_index_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(table(spark, sf_dir, "embeddings"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = quality_rules(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -40,6 +45,7 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_repair_ids": op2_repair_ids,
     "op5_best_fit_packing": op5_best_fit_packing,
+    "op6_multi_index_hashing": op6_multi_index_hashing,
     "op7_quality_rules": op7_quality_rules,
     "op9_bpe": op9_bpe,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
