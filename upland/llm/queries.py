@@ -14,12 +14,18 @@ from .minhash import near_duplicates
 from .packing import pack
 from .quality import quality_rules
 from .repair import read_shards, write_shards
+from .suffix_array import repeated_passages
+from .suffix_tree import without_repeated_windows
 
 
 def op2_repair_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_shards(write_shards(table(spark, sf_dir, "documents")))
 
 
+def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
@@ -33,6 +39,10 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return without_repeated_windows(table(spark, sf_dir, "documents"))
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = encode_decode(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
@@ -44,9 +54,11 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_repair_ids": op2_repair_ids,
+    "op3_suffix_array_dedup": op3_suffix_array_dedup,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_multi_index_hashing": op6_multi_index_hashing,
     "op7_quality_rules": op7_quality_rules,
+    "op8_substring_dedup": op8_substring_dedup,
     "op9_bpe": op9_bpe,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
 }
@@ -74,6 +86,25 @@ SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_s
 FROM b LEFT JOIN v USING (source)
 """
 
+REPEATS_SQL = r"""
+WITH w AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+win AS (
+  SELECT doc_id, i, sha256(array_to_string(list_slice(w, i, i + 49), ' ')) AS g
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM w WHERE len(w) >= 50)),
+least AS (SELECT g, min(doc_id) AS low FROM win GROUP BY g),
+hit AS (SELECT doc_id, i, low FROM win JOIN least USING (g) WHERE low < doc_id),
+island AS (SELECT doc_id, i, low, sum(CASE WHEN i - before <= 50 THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY i) AS k
+  FROM (SELECT doc_id, i, low, lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS before FROM hit)),
+span AS (SELECT doc_id, min(i) - 1 AS start_word, max(i) + 49 AS stop_word, min(low) AS first_doc_id FROM island GROUP BY doc_id, k)
+"""
+OP3_SQL = REPEATS_SQL + "SELECT doc_id, start_word::BIGINT AS start_word, stop_word::BIGINT AS stop_word, (stop_word - start_word)::BIGINT AS n_words, first_doc_id FROM span"
+OP8_SQL = REPEATS_SQL + r"""
+, gone AS (SELECT doc_id, unnest(range(start_word + 1, stop_word + 1)) AS i FROM span),
+word AS (SELECT doc_id, w[i] AS x, i FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM w)),
+kept AS (SELECT doc_id, count(*) AS n, string_agg(x, ' ' ORDER BY i) AS t FROM word ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256 FROM w LEFT JOIN kept USING (doc_id)
+"""
+
 OP10_SQL = r"""
 WITH RECURSIVE
 w AS (SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
@@ -90,6 +121,8 @@ FROM documents d LEFT JOIN n USING (doc_id) JOIN comp USING (doc_id)
 """
 
 ORACLE_SQL: dict[str, str] = {
+    "op3_suffix_array_dedup": OP3_SQL,
     "op7_quality_rules": OP7_SQL,
+    "op8_substring_dedup": OP8_SQL,
     "op10_minhash_near_dedup": OP10_SQL,
 }
