@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import column, materialize, plain, small_batches
-from .tokens import PieceEncoder, vocabulary
+from .tokens import shared_encoder, vocabulary
 
 ROOM, END = 1024, 2
 #: Pieces of one length and bucket that one task ranks, about.
@@ -108,7 +108,7 @@ def pieces(docs: DataFrame, tokenizer: str, end: int = END, room: int = ROOM) ->
     path = vocabulary(tokenizer)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = PieceEncoder(path)
+        encoder = shared_encoder(path)
         for b in batches:
             rows = []
             for doc, ids in zip(column(b, "doc_id"), encoder.texts(column(b, "text")), strict=True):

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import column, materialize, plain, small_batches
-from .tokens import PieceEncoder, library, vocabulary
+from .tokens import library, shared_encoder, vocabulary
 
 END = 1
 SHARD_TOKENS = 2_000_000
@@ -184,7 +184,7 @@ def write_shards(docs: DataFrame, tokenizer: str = "word_bpe_49k.json", end: int
         raise ValueError("the format holds 16-bit ids")
 
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = PieceEncoder(path)
+        encoder = shared_encoder(path)
         part, done = TaskContext.get().partitionId(), 0
         held: list[tuple[int | None, np.ndarray]] = []
         size = 0

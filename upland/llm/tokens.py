@@ -13,6 +13,7 @@ The ids of a piece are the tokenizers library's own (or another encoder's, hande
 
 from __future__ import annotations
 
+import functools
 import json
 import os
 import re
@@ -186,3 +187,9 @@ class PieceEncoder:
             n = int(ends[-1]) if len(i) else 0
             out.append(self.flat[np.arange(n) + np.repeat(self.starts[i] - (ends - size), size)])
         return out
+
+
+@functools.lru_cache(maxsize=1)
+def shared_encoder(path: str) -> PieceEncoder:
+    """The library's encoder, kept for the later tasks of a worker process."""
+    return PieceEncoder(path)
