@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from .ann import search
 from .bpe import encode_decode
-from .common import table
+from .chat import format_chats
+from .common import LOWER, UPPER, table
+from .licences import COPYRIGHT, KNOWN, MARKS, SPELLINGS, licence_scan
 from .minhash import near_duplicates
 from .packing import pack
 from .quality import quality_rules
@@ -18,6 +20,10 @@ from .suffix_array import repeated_passages
 from .suffix_tree import without_repeated_windows
 
 
+def op1_chat_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return format_chats(table(spark, sf_dir, "conversations"))
+
+
 def op2_repair_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_shards(write_shards(table(spark, sf_dir, "documents")))
 
@@ -26,6 +32,10 @@ def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_passages(table(spark, sf_dir, "documents"))
 
 
+def op4_licence_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licence_scan(table(spark, sf_dir, "documents"))
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
@@ -53,8 +63,10 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_chat_snapshots": op1_chat_snapshots,
     "op2_repair_ids": op2_repair_ids,
     "op3_suffix_array_dedup": op3_suffix_array_dedup,
+    "op4_licence_digests": op4_licence_digests,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_multi_index_hashing": op6_multi_index_hashing,
     "op7_quality_rules": op7_quality_rules,
@@ -63,6 +75,35 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
 }
 
+OP1_SQL = r"""
+WITH t AS (SELECT DISTINCT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT conv_id, list({'r': role, 't': text} ORDER BY turn NULLS FIRST, role, text) AS l, count(*) AS n FROM t GROUP BY conv_id),
+one AS (SELECT l, n, min(conv_id) AS conv_id, count(*) AS n_copies FROM c GROUP BY l, n),
+kept AS (SELECT * FROM one a WHERE NOT EXISTS (SELECT 1 FROM one b WHERE b.n > a.n AND b.l[1] = a.l[1] AND list_slice(b.l, 1, a.n) = a.l))
+SELECT conv_id, coalesce(floor(turn / 1024)::BIGINT, -9007199254740992) AS segment, any_value(n)::BIGINT AS n_turns, any_value(n_copies)::BIGINT AS n_copies,
+  string_agg('<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10), '' ORDER BY turn NULLS FIRST, role, text) AS text
+FROM kept JOIN t USING (conv_id) GROUP BY conv_id, segment
+"""
+
+
+def _canonical_sql(text: str) -> str:
+    marks = MARKS.replace(r"\x{00A0}", "\u00a0")
+    out = f"regexp_replace(regexp_replace(translate({text}, '{UPPER}', '{LOWER}'), '{COPYRIGHT}', chr(10), 'g'), '{marks}', ' ', 'g')"
+    for a, b in SPELLINGS:
+        out = f"replace({out}, '{a}', '{b}')"
+    return f"trim({out})"
+
+
+_KNOWN_SQL = ", ".join("('{}', '{}')".format(name, text.replace("'", "''")) for name, text in KNOWN)
+OP4_SQL = f"""
+WITH known AS (SELECT sha256({_canonical_sql("text")}) AS digest, min(licence) AS licence FROM (VALUES {_KNOWN_SQL}) AS k(licence, text) GROUP BY 1),
+unit AS (
+  SELECT doc_id, 'document' AS scope, NULL::INTEGER AS line, text FROM documents WHERE text IS NOT NULL
+  UNION ALL
+  SELECT doc_id, 'line', (i - 1)::INTEGER, l[i] FROM (SELECT doc_id, l, unnest(range(1, len(l) + 1)) AS i FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents WHERE text IS NOT NULL)))
+SELECT doc_id, scope, line, licence, digest FROM (SELECT doc_id, scope, line, sha256({_canonical_sql("text")}) AS digest FROM unit) JOIN known USING (digest)
+"""
+
 OP7_SQL = r"""
 WITH d AS (SELECT doc_id, source, coalesce(text, '') AS text FROM documents),
 w AS (SELECT doc_id, source, text, list_filter(string_split_regex(text, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM d),
@@ -121,7 +162,9 @@ FROM documents d LEFT JOIN n USING (doc_id) JOIN comp USING (doc_id)
 """
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_chat_snapshots": OP1_SQL,
     "op3_suffix_array_dedup": OP3_SQL,
+    "op4_licence_digests": OP4_SQL,
     "op7_quality_rules": OP7_SQL,
     "op8_substring_dedup": OP8_SQL,
     "op10_minhash_near_dedup": OP10_SQL,
