@@ -13,7 +13,7 @@ without doc_id and repeated rows are encoded like others; an empty table gives a
 
 from __future__ import annotations
 
-import hashlib
+import functools
 import json
 from collections.abc import Iterator
 
@@ -115,14 +115,20 @@ class ByteBPE:
         return b"".join(map(self.bytes.__getitem__, ids)).decode("utf-8", "replace")
 
 
+@functools.lru_cache(maxsize=1)
+def _own(path: str) -> tuple[ByteBPE, PieceEncoder]:
+    """Kept for the later tasks of a worker process."""
+    bpe = ByteBPE(path)
+    return bpe, PieceEncoder(path, each_encoder(bpe.encode))
+
+
 def encode_decode(docs: DataFrame, tokenizer: str = "byte_bpe_50k.json") -> DataFrame:
     """doc_id, n_tokens, ids (uint32 bytes, little-endian), decoded of every document."""
     small_batches(docs.sparkSession)
     path = vocabulary(tokenizer)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = ByteBPE(path)
-        encoder = PieceEncoder(path, each_encoder(bpe.encode))
+        bpe, encoder = _own(path)
         for b in batches:
             ids = encoder.texts(column(b, "text"))
             cols = [b.column(0), pa.array([len(x) for x in ids], pa.int64()), pa.array([x.astype("<u4").tobytes() for x in ids], pa.binary()), pa.array([bpe.decode(x.tolist()) for x in ids], pa.string())]
