@@ -31,7 +31,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import MIX, column, components, gram_hashes, hashes, materialize, mix, plain, small_batches
@@ -199,3 +199,12 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     classes = leaders.join(labels, leaders.leader == labels.node, "left").select("digest", "n_copies", F.coalesce("label", "leader").alias("component"))
     component = F.coalesce("component", "doc_id")
     return base.select("doc_id", "n_shingles", "digest").join(classes, "digest", "left").select("doc_id", "n_shingles", component.alias("component_id"), (F.col("doc_id") == component).alias("kept"), "n_copies")
+
+
+def one_of_each(docs: DataFrame, percent: int = 80) -> DataFrame:
+    """The rows of docs, unchanged, one for each component of near-duplicates and for each doc_id; those without doc_id stay."""
+    gone = near_duplicates(docs, percent).where("NOT kept").select("doc_id").distinct()
+    known = docs.where("doc_id IS NOT NULL").hint("merge").join(gone, "doc_id", "left_anti")
+    first = F.row_number().over(Window.partitionBy(F.col("row.doc_id")).orderBy(F.xxhash64("row.text")))
+    known = known.select(F.struct("*").alias("row")).withColumn("nth", first).where("nth = 1").select("row.*")
+    return known.select(*docs.columns).unionByName(docs.where("doc_id IS NULL"))

@@ -44,16 +44,16 @@ def _line_repeats(text: Column) -> Column:
     return let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long")
 
 
-def text_counts(docs: DataFrame) -> DataFrame:
-    """doc_id, host and the counts of every document."""
+def text_counts(docs: DataFrame, *names: str) -> DataFrame:
+    """doc_id, host, the counts of every document and the columns named."""
     text = F.coalesce(F.col("text"), F.lit(""))
     found = let(
         F.filter(F.split(text, f"{SPACE}+", -1), lambda x: x != ""),
         lambda w: F.struct(F.size(w).cast("long").alias("n_words"), F.length(F.array_join(w, "")).cast("long").alias("word_chars"), _repeat_words(w).alias("n_repeat_words")),
     )
     symbols = F.length(text) - F.length(F.translate(text, SYMBOLS, ""))
-    counts = docs.select("doc_id", F.col("source").alias("host"), found.alias("w"), symbols.cast("long").alias("n_symbols"), _line_repeats(text).alias("n_dup_lines"))
-    return counts.select("doc_id", "host", "w.n_words", "w.word_chars", "n_symbols", "n_dup_lines", "w.n_repeat_words").withColumn(
+    counts = docs.select(*names, "doc_id", F.col("source").alias("host"), found.alias("w"), symbols.cast("long").alias("n_symbols"), _line_repeats(text).alias("n_dup_lines"))
+    return counts.select(*names, "doc_id", "host", "w.n_words", "w.word_chars", "n_symbols", "n_dup_lines", "w.n_repeat_words").withColumn(
         "base_failed", (F.col("n_words") < MIN_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * MAX_REPEAT_PERCENT)
     )
 
@@ -83,3 +83,14 @@ def quality_rules(docs: DataFrame) -> DataFrame:
     return counts.join(hosts, "host", "left").select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", (~F.col("base_failed") & ~F.coalesce("rejected", F.lit(False))).alias("kept"), "host", "shrunk_rate"
     )
+
+
+def accepted(docs: DataFrame) -> DataFrame:
+    """The rows of docs, unchanged, that the rules keep.
+
+    The counts are worked out twice, once for the hosts' rates and once beside the rows, which is
+    cheaper at any size than to shuffle the texts.
+    """
+    bad = host_verdicts(text_counts(docs)).where("rejected").select(F.col("host").alias("bad_host"))
+    rows = text_counts(docs.select(F.col("doc_id"), "text", "source", F.struct("*").alias("row")), "row").where("NOT base_failed")
+    return rows.join(bad, F.col("host") == F.col("bad_host"), "left_anti").select("row.*")
