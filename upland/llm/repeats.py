@@ -9,9 +9,10 @@ start in a document with a smaller doc_id. The work is split by content:
 2. Windows with the same anchor place form one context: the words from the first window's start to the
    last one's end. Equal contexts are one row with the least and the greatest doc_id, summed before
    they are shuffled, so a passage that a third of all documents share is one row.
-3. Contexts go to tasks by anchor, and a finder (suffix arrays or suffix trees) gives each window the
+3. Where an anchor has several different contexts, the words of each are read from one document that
+   has it and go to tasks by anchor; a finder (suffix arrays or suffix trees) gives each window the
    least doc_id among equal windows. Should an anchor have more than ANCHOR_CONTEXTS different
-   contexts, it isn't gathered: its windows are grouped by their whole content instead.
+   contexts, they aren't gathered: their windows are grouped by their whole content instead.
 4. Runs of windows go back to the occurrences of their context and become spans of words.
 
 Words are compared by 32-bit hashes, 50 at a time: two windows that differ in one word are taken for
@@ -108,8 +109,8 @@ def _spread_anchors(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(work, "doc_id long, anchors array<long>")
 
 
-def contexts(docs: DataFrame) -> DataFrame:
-    """anchor, digest, lead, words, doc_id, tag, at: the contexts of anchors that several documents have."""
+def occurrences(docs: DataFrame) -> DataFrame:
+    """anchor, digest, lead, windows, doc_id, tag, at: the contexts of anchors that several documents have."""
     spread = materialize(_spread_anchors(docs))
     each = spread.select("doc_id", F.explode("anchors").alias("anchor"))
     shared = each.groupBy("anchor").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").select("anchor")
@@ -130,15 +131,35 @@ def contexts(docs: DataFrame) -> DataFrame:
                 at = place[first]
                 own = gram[at].view(np.int64)
                 for i in np.flatnonzero(np.isin(own, np.array(keep, np.int64))).tolist():
-                    words = short[4 * first[i] : 4 * (last[i] + WINDOW)]
                     lead = int(at[i] - first[i])
-                    rows.append((int(own[i]), xxhash.xxh3_64_intdigest(words, lead) - (1 << 63), lead, words, doc, tag, int(first[i])))
+                    digest = xxhash.xxh3_64_intdigest(short[4 * first[i] : 4 * (last[i] + WINDOW)], lead) - (1 << 63)
+                    rows.append((int(own[i]), digest, lead, int(last[i] - first[i] + 1), doc, tag, int(first[i])))
             cols = list(zip(*rows, strict=True)) or [[]] * 7
-            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.int64(), pa.int32())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], ["anchor", "digest", "lead", "words", "doc_id", "tag", "at"])
+            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], ["anchor", "digest", "lead", "windows", "doc_id", "tag", "at"])
 
     # shuffled at any size: how many texts hold repeats isn't known
-    return materialize(docs.hint("merge").join(wanted, "doc_id").select("doc_id", "tag", "text", "anchors").mapInArrow(work, "anchor long, digest long, lead int, words binary, doc_id long, tag long, at int"))
+    found = docs.hint("merge").join(wanted, "doc_id").select("doc_id", "tag", "text", "anchors")
+    return materialize(found.mapInArrow(work, "anchor long, digest long, lead int, windows int, doc_id long, tag long, at int"))
+
+
+def context_words(docs: DataFrame, kinds: DataFrame) -> DataFrame:
+    """kinds (anchor, digest, low, high, lead, windows, many, doc_id, tag, at) with their words, read from the one document that each names."""
+    fields = ("anchor", "digest", "low", "high", "lead", "many", "at", "windows")
+    asked = kinds.groupBy("doc_id", "tag").agg(F.collect_list(F.struct(*fields)).alias("asked"))
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = []
+            for text, wanted in zip(column(b, "text"), column(b, "asked"), strict=True):
+                short = (hashes((text or b"").split()) >> np.uint64(32)).astype("<u4").tobytes()
+                rows += [(*(x[k] for k in fields[:6]), short[4 * x["at"] : 4 * (x["at"] + x["windows"] + WINDOW - 1)]) for x in wanted]
+            cols = list(zip(*rows, strict=True)) or [[]] * 7
+            types = (pa.int64(),) * 4 + (pa.int32(), pa.bool_(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], [*fields[:6], "words"])
+
+    found = docs.hint("merge").join(asked, ["doc_id", "tag"]).select("text", "asked")
+    return materialize(found.mapInArrow(work, "anchor long, digest long, low long, high long, lead int, many boolean, words binary"))
 
 
 def _runs(c: Contexts, high: np.ndarray, least: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -155,9 +176,15 @@ def _runs(c: Contexts, high: np.ndarray, least: np.ndarray) -> tuple[np.ndarray,
 def repeated_spans(docs: DataFrame, find: Finder) -> DataFrame:
     """doc_id, tag (of the text), start, stop (words), first_doc: spans of repeated windows; those of one document may overlap."""
     small_batches(docs.sparkSession)
-    found = contexts(tagged(docs).where("doc_id IS NOT NULL"))
-    one = found.groupBy("anchor", "digest").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.first("lead").alias("lead"), F.first("words").alias("words"))
-    many = found.select("anchor", "digest").distinct().groupBy("anchor").agg(F.count("*").alias("n")).where(F.col("n") > ANCHOR_CONTEXTS)
+    docs = tagged(docs).where("doc_id IS NOT NULL")
+    found = occurrences(docs)
+    one = materialize(found.groupBy("anchor", "digest").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.min(F.struct("doc_id", "tag", "at")).alias("in"), F.min("lead").alias("lead"), F.min("windows").alias("windows")))
+    number = one.groupBy("anchor").agg(F.count("*").alias("n"))
+    kinds = one.join(number, "anchor")
+    # equal contexts need no comparison: all their windows have the same least document
+    alike = kinds.where("n = 1 AND low < high").select("anchor", "digest", F.lit(0).alias("w0"), (F.col("windows") - 1).alias("w1"), F.col("low").alias("least"))
+    several = kinds.where("n > 1").select("anchor", "digest", "low", "high", "lead", "windows", (F.col("n") > ANCHOR_CONTEXTS).alias("many"), "in.doc_id", "in.tag", "in.at")
+    worded = context_words(docs, several)
     shape = "anchor long, digest long, w0 int, w1 int, least long"
 
     def answer(rows: pa.Table) -> pa.RecordBatch:
@@ -197,13 +224,13 @@ def repeated_spans(docs: DataFrame, find: Finder) -> DataFrame:
             names = ["anchor", "digest", "low", "high", "w", "p", "q"]
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int32() if x == "w" else pa.int64()) for c, x in zip(cols, names, strict=True)], names)
 
-    few = one.join(many, "anchor", "left_anti").select("anchor", "digest", "low", "high", "lead", "words")
+    few = worded.where("NOT many").select("anchor", "digest", "low", "high", "lead", "words")
     by_anchor = few.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(gather, shape)
-    single = one.join(many, "anchor", "left_semi").select("anchor", "digest", "low", "high", "words").mapInArrow(explode, "anchor long, digest long, low long, high long, w int, p long, q long")
+    single = worded.where("many").select("anchor", "digest", "low", "high", "words").mapInArrow(explode, "anchor long, digest long, low long, high long, w int, p long, q long")
     by_window = single.join(single.groupBy("p", "q").agg(F.min("low").alias("least")), ["p", "q"]).where("least < high").select("anchor", "digest", F.col("w").alias("w0"), F.col("w").alias("w1"), "least")
-    runs = by_anchor.union(by_window)
+    runs = alike.union(by_anchor).union(by_window)
     back = found.select("anchor", "digest", "doc_id", "tag", "at").join(runs, ["anchor", "digest"]).where("least < doc_id")
-    return back.select("doc_id", "tag", (F.col("at") + F.col("w0")).alias("start"), (F.col("at") + F.col("w1") + WINDOW).alias("stop"), F.col("least").alias("first_doc"))
+    return materialize(back.select("doc_id", "tag", (F.col("at") + F.col("w0")).alias("start"), (F.col("at") + F.col("w1") + WINDOW).alias("stop"), F.col("least").alias("first_doc")))
 
 
 def covered(n: int, spans: list) -> np.ndarray:
