@@ -133,5 +133,6 @@ def encode_decode(docs: DataFrame, tokenizer: str = "byte_bpe_50k.json") -> Data
             ids = encoder.texts(column(b, "text"))
             cols = [b.column(0), pa.array([len(x) for x in ids], pa.int64()), pa.array([x.astype("<u4").tobytes() for x in ids], pa.binary()), pa.array([bpe.decode(x.tolist()) for x in ids], pa.string())]
             yield pa.RecordBatch.from_arrays(cols, ["doc_id", "n_tokens", "ids", "decoded"])
+        encoder.rest()
 
     return plain(docs).mapInArrow(work, "doc_id long, n_tokens long, ids binary, decoded string")

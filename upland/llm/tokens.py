@@ -23,7 +23,7 @@ import numpy as np
 from tokenizers import Tokenizer
 
 #: Pieces that a worker remembers; beyond it, those seen once only are forgotten, or all if that isn't enough.
-MEMORY = 900_000
+MEMORY = 300_000
 #: Pieces joined to one text for the library.
 JOINED = 1000
 #: A space at the end or before a byte that white space may begin with: there the quick way of cutting doesn't hold.
@@ -148,15 +148,20 @@ class PieceEncoder:
         self.heads, self.tails = _Numbers(self.pieces, ""), _Numbers(self.pieces, " ")
         self.flat, self.starts, self.sizes, self.seen = np.empty(0, np.uint32), np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
 
-    def _forget(self) -> None:
-        keep = self.seen > 1
+    def rest(self) -> None:
+        """After a task: keep what it met several times, as an idle worker's memory counts too."""
+        self._forget(3)
+
+    def _forget(self, least: int = 2) -> None:
+        keep = self.seen >= least
         if keep.sum() > MEMORY // 2:
             return self._clear()
         renumbered = (np.cumsum(keep) - 1).tolist()
-        for known in (self.heads, self.tails):
-            items = [(x, renumbered[i]) for x, i in known.items() if keep[i]]
-            known.clear()
-            known.update(items)
+        for name in ("heads", "tails"):
+            known = getattr(self, name)
+            fresh = _Numbers(self.pieces, known.lead)
+            fresh.update((x, renumbered[i]) for x, i in known.items() if keep[i])
+            setattr(self, name, fresh)
         self.flat = self.flat[np.repeat(keep, self.sizes)]
         self.sizes, self.seen = self.sizes[keep], np.zeros(keep.sum(), np.int64)
         self.starts = np.cumsum(self.sizes) - self.sizes
