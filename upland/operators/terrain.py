@@ -7,23 +7,29 @@ and keeps the nodes that got all nine.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ..functions.scalars import NODATA_CLASS, SLOPE_EDGES, SLOPE_LABELS, TOL_SLOPE_PP, TOL_WITNESS, octant, photon, slope_class, slope_percent
 
-#: Names of the neighbours: north row a b c, middle d z f, south g h k.
-ALONG, ACROSS = Window.partitionBy("r").orderBy("c"), Window.partitionBy("c").orderBy("r")
+
+# names of the neighbours: north row a b c, middle d z f, south g h k
+def _along() -> WindowSpec:
+    return Window.partitionBy("r").orderBy("c")
+
+
+def _across() -> WindowSpec:
+    return Window.partitionBy("c").orderBy("r")
 
 
 def neighbours(grid: DataFrame) -> DataFrame:
     """r, c, z and the eight neighbours' heights a b c_ d f g h k, of interior nodes."""
-    row = grid.select("r", "c", "z", F.lag("z").over(ALONG).alias("d"), F.lead("z").over(ALONG).alias("f"), F.lag(F.lit(1)).over(ALONG).alias("west"), F.lead(F.lit(1)).over(ALONG).alias("east"))
+    row = grid.select("r", "c", "z", F.lag("z").over(_along()).alias("d"), F.lead("z").over(_along()).alias("f"), F.lag(F.lit(1)).over(_along()).alias("west"), F.lead(F.lit(1)).over(_along()).alias("east"))
     out = row.select(
         "r", "c", "z", "d", "f", "west", "east",
-        F.lead("d").over(ACROSS).alias("a"), F.lead("z").over(ACROSS).alias("b"), F.lead("f").over(ACROSS).alias("c_"),
-        F.lag("d").over(ACROSS).alias("g"), F.lag("z").over(ACROSS).alias("h"), F.lag("f").over(ACROSS).alias("k"),
-        F.lag(F.lit(1)).over(ACROSS).alias("south"), F.lead(F.lit(1)).over(ACROSS).alias("north"),
+        F.lead("d").over(_across()).alias("a"), F.lead("z").over(_across()).alias("b"), F.lead("f").over(_across()).alias("c_"),
+        F.lag("d").over(_across()).alias("g"), F.lag("z").over(_across()).alias("h"), F.lag("f").over(_across()).alias("k"),
+        F.lag(F.lit(1)).over(_across()).alias("south"), F.lead(F.lit(1)).over(_across()).alias("north"),
     )
     return out.where("west = 1 AND east = 1 AND south = 1 AND north = 1").drop("west", "east", "south", "north")
 
@@ -82,7 +88,7 @@ def breaks(slope: DataFrame) -> DataFrame:
     # one row, whatever the size of the grid
     marked = slope.crossJoin(F.broadcast(limit)).withColumn("brk", F.coalesce((F.col("curvature") >= F.coalesce("cut", F.lit(0.0))) & (F.col("curvature") > 1e-6), F.lit(False)))
     # rows and columns are dense, so a frame of three rows is a node and its two neighbours
-    near = marked.withColumn("m", F.max("brk").over(ACROSS.rowsBetween(-1, 1))).withColumn("m", F.max("m").over(ALONG.rowsBetween(-1, 1)))
+    near = marked.withColumn("m", F.max("brk").over(_across().rowsBetween(-1, 1))).withColumn("m", F.max("m").over(_along().rowsBetween(-1, 1)))
     return near.withColumn("near_brk", F.col("m") & F.col("valid")).drop("m")
 
 
