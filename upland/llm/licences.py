@@ -1,9 +1,10 @@
 """Licence scan by canonical digests, in DataFrame functions only.
 
-A text is brought to a canonical form: A-Z in lower case, copyright lines dropped, punctuation and white
+A text is brought to a canonical form: lower case, copyright lines dropped, punctuation and white
 space to single spaces, equivalent spellings to one; its SHA-256 is looked up among the digests of known
 licences. Looked up are the entire text of a document and each line of it, as a notice is a line. The
-known licences are a table of fixed size; it is broadcast, and no text is shuffled.
+known licences are a table of fixed size; it is broadcast, and no text is shuffled. Texts without any word
+that a known licence must have aren't brought to the form, as they can't match.
 
 Defined cases: null and empty texts, and those without a letter or digit, match nothing; a document of
 one line that is a notice matches as document and as line; repeated rows and rows without doc_id match
@@ -12,10 +13,11 @@ like others; an empty table gives an empty result; further columns are ignored.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from functools import reduce
+from operator import or_
 
-from .common import LOWER, UPPER
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Spellings that count as equal.
 SPELLINGS = [("licenc", "licens"), ("sub licens", "sublicens"), ("organis", "organiz"), ("authoris", "authoriz"), ("non commercial", "noncommercial"), ("copyright holder s", "copyright holders")]
@@ -57,25 +59,46 @@ KNOWN = [
 
 
 def canonical(text: Column) -> Column:
-    out = F.regexp_replace(F.translate(text, UPPER, LOWER), COPYRIGHT, "\n")
+    out = F.lower(text)
+    drop = F.contains(out, F.lit("copyright")) | F.contains(out, F.lit("(c)")) | F.contains(out, F.lit("©")) | F.contains(out, F.lit("all rights reserved"))
+    out = F.when(drop, F.regexp_replace(out, COPYRIGHT, "\n")).otherwise(out)
     out = F.regexp_replace(out, MARKS, " ")
     for a, b in SPELLINGS:
         out = F.replace(out, F.lit(a), F.lit(b))
     return F.trim(out)
 
 
-def known_licences(spark, known: list[tuple[str, str]] = KNOWN) -> DataFrame:
-    """licence, digest, each digest once."""
-    texts = spark.createDataFrame(known, "licence string, text string")
-    return texts.select("licence", F.sha2(canonical(F.col("text")), 256).alias("digest")).groupBy("digest").agg(F.min("licence").alias("licence"))
+def known_licences(spark: SparkSession, known: list[tuple[str, str]]) -> DataFrame:
+    """licence, plain, digest, each digest once."""
+    texts = spark.createDataFrame(known, "licence string, text string").select("licence", canonical(F.col("text")).alias("plain"))
+    return texts.groupBy("plain").agg(F.min("licence").alias("licence")).withColumn("digest", F.sha2("plain", 256))
+
 
+def key_words(texts: list[str]) -> list[str]:
+    """A word of each canonical text, its longest that no equivalent spelling touches. Canonical words stand in the
+    text itself, as marks only part words, so a text without any of these words is none of the known ones."""
+    touched = [b.split()[-1] for _, b in SPELLINGS]
+    found = set()
+    for text in texts:
+        words = [w for w in text.split() if not any(t in w or w in t for t in touched)]
+        if not words:
+            return []
+        found.add(max(words, key=lambda w: (len(w), w)))
+    return sorted(found)
 
-def licence_scan(docs: DataFrame, known: DataFrame | None = None) -> DataFrame:
+
+def licence_scan(docs: DataFrame, known: list[tuple[str, str]] = KNOWN) -> DataFrame:
     """doc_id, scope (document or line), line (from 0, null for the document), licence, digest of all matches."""
-    known = known if known is not None else known_licences(docs.sparkSession)
-    docs = docs.where("text IS NOT NULL").select("doc_id", "text")
+    table = known_licences(docs.sparkSession, known)
+    words = key_words([r["plain"] for r in table.select("plain").collect()])  # the list of known licences has a fixed size
+
+    def likely(frame: DataFrame) -> DataFrame:
+        hits = [F.contains(F.lower("text"), F.lit(w)) for w in words]
+        return frame.where(reduce(or_, hits)) if hits else frame
+
+    docs = likely(docs.where("text IS NOT NULL").select("doc_id", "text"))
     units = docs.select("doc_id", F.lit("document").alias("scope"), F.lit(None).cast("int").alias("line"), "text")
-    lines = docs.select("doc_id", F.lit("line").alias("scope"), F.posexplode(F.split("text", "\n", -1)).alias("line", "text"))
+    lines = likely(docs.select("doc_id", F.lit("line").alias("scope"), F.posexplode(F.split("text", "\n", -1)).alias("line", "text")))
     plain = units.unionByName(lines).withColumn("plain", canonical(F.col("text"))).where("plain <> ''")
-    # the list of known licences has a fixed size
-    return plain.select("doc_id", "scope", "line", F.sha2("plain", 256).alias("digest")).join(F.broadcast(known), "digest").select("doc_id", "scope", "line", "licence", "digest")
+    found = plain.select("doc_id", "scope", "line", F.sha2("plain", 256).alias("digest"))
+    return found.join(F.broadcast(table.select("licence", "digest")), "digest").select("doc_id", "scope", "line", "licence", "digest")

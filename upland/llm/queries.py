@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from .ann import search
 from .bpe import encode_decode
 from .chat import format_chats
-from .common import LOWER, UPPER, table
+from .common import table
 from .licences import COPYRIGHT, KNOWN, MARKS, SPELLINGS, licence_scan
 from .minhash import near_duplicates
 from .packing import pack
@@ -88,7 +88,7 @@ FROM kept JOIN t USING (conv_id) GROUP BY conv_id, segment
 
 def _canonical_sql(text: str) -> str:
     marks = MARKS.replace(r"\x{00A0}", "\u00a0")
-    out = f"regexp_replace(regexp_replace(translate({text}, '{UPPER}', '{LOWER}'), '{COPYRIGHT}', chr(10), 'g'), '{marks}', ' ', 'g')"
+    out = f"regexp_replace(regexp_replace(lower({text}), '{COPYRIGHT}', chr(10), 'g'), '{marks}', ' ', 'g')"
     for a, b in SPELLINGS:
         out = f"replace({out}, '{a}', '{b}')"
     return f"trim({out})"
