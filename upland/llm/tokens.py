@@ -14,18 +14,21 @@ The ids of a piece are the tokenizers library's own (or another encoder's, hande
 from __future__ import annotations
 
 import functools
+import gc
 import json
 import os
 import re
 from collections.abc import Callable
 
 import numpy as np
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, pre_tokenizers
 
 #: Pieces that a worker remembers; beyond it, those seen once only are forgotten, or all if that isn't enough.
-MEMORY = 300_000
+MEMORY = 450_000
 #: Pieces joined to one text for the library.
 JOINED = 1000
+#: Fixed value: the letter that stands for a space in byte-level vocabularies.
+SPACE_LETTER = "\u0120"
 #: A space at the end or before a byte that white space may begin with: there the quick way of cutting doesn't hold.
 _ODD = re.compile(rb" (?:[\x09-\x0d\x1c-\x20\xc2\xe1\xe2\xe3]|\Z)")
 _CUT = re.compile(r"(?= [^\s])")
@@ -57,38 +60,92 @@ def _laid(found: list) -> tuple[np.ndarray, np.ndarray]:
     return np.fromiter((i for x in found for i in x), np.uint32, int(sizes.sum())), sizes
 
 
-def each_encoder(one: Callable[[str], list[int]]) -> Encoder:
-    """Encoder of pieces from an encoder of one piece."""
-    return lambda pieces: _laid([one(x) for x in pieces])
-
-
 def library_encoder(path: str, kind: str = "whole") -> Encoder:
-    """The library's encoder. Pieces that may be cut are joined to longer texts again, as it is
-    quicker with few long texts; a token belongs to the piece in which its text begins."""
+    """The library's encoder. Pieces that may be cut are joined to longer texts again, as it is quicker
+    with few long texts; each piece's share of the ids is found by lengths or ends of words."""
     tokenizer = library(path)
     if kind == "whole":
         return lambda pieces: _laid([x.ids for x in tokenizer.encode_batch_fast(pieces, add_special_tokens=False)])
-    gap = " " if kind == "word" else ""
+    vocab = tokenizer.get_vocab(with_added_tokens=False)
+    n_ids = tokenizer.get_vocab_size(with_added_tokens=True)
+
+    def run_ids(texts: list[str], by: Tokenizer = tokenizer) -> list[np.ndarray]:
+        return [np.array(x.ids, np.uint32) for x in by.encode_batch_fast(texts, add_special_tokens=False)]
+
+    # words of the letters A-Z and a-z are pretokens as they are, so they go to the model without the search for pretokens
+    bare = library(path)
+    bare.normalizer, bare.pre_tokenizer = None, pre_tokenizers.Split("\n", "removed")
+
+    if kind == "byte":
+        n_bytes = np.zeros(n_ids, np.int64)
+        for token, i in vocab.items():
+            n_bytes[i] = len(token)  # a letter for each byte
+        for i, token in tokenizer.get_added_tokens_decoder().items():
+            n_bytes[i] = len(token.content.encode())
+
+        def by_length(ids: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+            return np.diff(np.searchsorted(np.cumsum(n_bytes[ids]), np.cumsum(lengths)) + 1, prepend=0)
+
+        def simple_byte(x: str) -> bool:
+            return x.isascii() and x[1:].isalpha() and x[0] == " "
+
+        def plain_byte(pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+            ids = np.concatenate(run_ids(["\n".join(pieces[i : i + JOINED]).replace(" ", SPACE_LETTER) for i in range(0, len(pieces), JOINED)], bare))
+            return ids, by_length(ids, np.fromiter(map(len, pieces), np.int64, len(pieces)))
+
+        def others_byte(pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+            # a piece without a space before it can only begin a text
+            heads = [i for i, x in enumerate(pieces) if x[0] != " "]
+            cuts = sorted({*heads, *(i + 1 for i in heads), *range(0, len(pieces), JOINED), len(pieces)})
+            ids = np.concatenate(run_ids(["".join(pieces[i:j]) for i, j in zip(cuts, cuts[1:], strict=False)]))
+            return ids, by_length(ids, np.fromiter(map(len, map(str.encode, pieces)), np.int64, len(pieces)))
+
+        return _either(simple_byte, plain_byte, others_byte)
+
+    is_end = np.zeros(n_ids, bool)
+    is_end[[i for token, i in vocab.items() if token.endswith("</w>")]] = True
+
+    def plain(pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """One word each, which has one end."""
+        ids = np.concatenate(run_ids(["\n".join(pieces[i : i + JOINED]).lower() for i in range(0, len(pieces), JOINED)], bare))
+        return ids, np.diff(np.flatnonzero(is_end[ids]) + 1, prepend=0)
+
+    def others(pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        runs = [pieces[i : i + JOINED] for i in range(0, len(pieces), JOINED)]
+        found = tokenizer.encode_batch([" ".join(r) for r in runs], add_special_tokens=False)
+        sizes = []
+        for run, x in zip(runs, found, strict=True):
+            starts = np.cumsum([0] + [len(y) + 1 for y in run[:-1]])
+            owner = np.searchsorted(starts, np.fromiter((y[0] for y in x.offsets), np.int64, len(x)), "right") - 1
+            sizes.append(np.bincount(owner, minlength=len(run)))
+        return np.concatenate([np.array(x.ids, np.uint32) for x in found]), np.concatenate(sizes)
+
+    return _either(lambda x: x.isascii() and x.isalpha(), plain, others)
+
+
+def _either(test: Callable[[str], bool], yes: Encoder, no: Encoder) -> Encoder:
+    """The encoder that gives pieces to one of two, by a test."""
 
     def encode(pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        # a piece of the byte kind without a space before it can only begin a text
-        heads = [i for i, x in enumerate(pieces) if kind == "byte" and x[0] != " "]
-        cuts = sorted({*heads, *(i + 1 for i in heads), *range(0, len(pieces), JOINED), len(pieces)})
-        runs = list(zip(cuts, cuts[1:], strict=False))
-        found = tokenizer.encode_batch([gap.join(pieces[i:j]) for i, j in runs], add_special_tokens=False)
-        sizes = np.empty(len(pieces), np.int64)
-        for (i, j), x in zip(runs, found, strict=True):
-            if j == i + 1:
-                sizes[i] = len(x)
-                continue
-            starts = np.cumsum([0] + [len(y) + len(gap) for y in pieces[i : j - 1]])
-            owner = np.searchsorted(starts, np.fromiter((y[0] for y in x.offsets), np.int64, len(x)), "right") - 1
-            sizes[i:j] = np.bincount(owner, minlength=j - i)
-        return np.concatenate([np.array(x.ids, np.uint32) for x in found]), sizes
+        simple = np.fromiter(map(test, pieces), bool, len(pieces))
+        parts = [(f, np.flatnonzero(m)) for f, m in ((yes, simple), (no, ~simple)) if m.any()]
+        done = [f([pieces[i] for i in at.tolist()]) for f, at in parts]
+        flat = np.concatenate([x[0] for x in done])
+        starts, sizes, used = np.empty(len(pieces), np.int64), np.empty(len(pieces), np.int64), 0
+        for (_, at), (ids, n) in zip(parts, done, strict=True):
+            starts[at], sizes[at] = used + np.cumsum(n) - n, n
+            used += len(ids)
+        return gather(flat, starts, sizes), sizes
 
     return encode
 
 
+def gather(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The stretches of flat, one after the other."""
+    ends = np.cumsum(sizes)
+    return flat[np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)]
+
+
 def cut_kind(path: str) -> str:
     """'byte', 'word' or 'whole': how texts may be cut for this vocabulary, by its own description."""
     with open(path, encoding="utf-8") as f:
@@ -123,15 +180,23 @@ def cut(text: bytes, kind: str) -> tuple[list[bytes], list[bytes]]:
 
 
 class _Numbers(dict):
-    """Numbers pieces as they come; shared counts those of both kinds."""
+    """Numbers pieces as they come; shared counts those of both kinds. A comma or full stop after a letter is a
+    pretoken of its own, so such a piece is put together from two; where case doesn't count, letters are lowered."""
 
-    def __init__(self, shared: list[str], lead: str):
+    def __init__(self, shared: list, lead: str, ends: dict, lower: bool):
         super().__init__()
-        self.shared, self.lead = shared, lead
+        self.shared, self.lead, self.ends, self.lower = shared, lead, ends, lower
 
     def __missing__(self, piece: bytes) -> int:
+        if piece[-1:] in (b",", b".") and piece[-2:-1].isalpha():
+            made = self[piece[:-1]], self.ends[piece[-1:]]
+        elif self.lower and piece.isalpha() and not piece.islower():
+            self[piece] = n = self[piece.lower()]
+            return n
+        else:
+            made = self.lead + piece.decode("utf-8", "replace")
         n = self[piece] = len(self.shared)
-        self.shared.append(self.lead + piece.decode("utf-8", "replace"))
+        self.shared.append(made)
         return n
 
 
@@ -144,13 +209,16 @@ class PieceEncoder:
         self._clear()
 
     def _clear(self) -> None:
-        self.pieces: list[str] = []
-        self.heads, self.tails = _Numbers(self.pieces, ""), _Numbers(self.pieces, " ")
+        self.pieces: list = []
+        self.heads = _Numbers(self.pieces, "", {}, self.kind == "word")
+        self.heads.ends = self.heads
+        self.tails = _Numbers(self.pieces, " ", self.heads, False)
         self.flat, self.starts, self.sizes, self.seen = np.empty(0, np.uint32), np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
 
     def rest(self) -> None:
         """After a task: keep what it met several times, as an idle worker's memory counts too."""
         self._forget(3)
+        gc.collect()
 
     def _forget(self, least: int = 2) -> None:
         keep = self.seen >= least
@@ -159,10 +227,11 @@ class PieceEncoder:
         renumbered = (np.cumsum(keep) - 1).tolist()
         for name in ("heads", "tails"):
             known = getattr(self, name)
-            fresh = _Numbers(self.pieces, known.lead)
+            fresh = _Numbers(self.pieces, known.lead, {}, known.lower)
             fresh.update((x, renumbered[i]) for x, i in known.items() if keep[i])
             setattr(self, name, fresh)
-        self.flat = self.flat[np.repeat(keep, self.sizes)]
+        self.heads.ends = self.tails.ends = self.heads
+        self.flat = gather(self.flat, self.starts[keep], self.sizes[keep])
         self.sizes, self.seen = self.sizes[keep], np.zeros(keep.sum(), np.int64)
         self.starts = np.cumsum(self.sizes) - self.sizes
         del self.pieces[len(self.sizes) :]
@@ -177,21 +246,23 @@ class PieceEncoder:
             first, rest = cut(x, self.kind) if x else ([], [])
             found.append(np.array([*map(head, first), *map(tail, rest)], np.int64))
         learnt = len(self.starts)
-        if len(self.pieces) > learnt:
-            ids, sizes = self.encode(self.pieces[learnt:])
-            self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(sizes) - sizes])
-            self.sizes = np.concatenate([self.sizes, sizes])
+        if new := self.pieces[learnt:]:
+            whole = np.fromiter((type(x) is str for x in new), bool, len(new))
+            ids, n = self.encode([x for x in new if type(x) is str]) if whole.any() else (self.flat[:0], self.sizes[:0])
+            starts, sizes = np.empty(len(new), np.int64), np.empty(len(new), np.int64)
+            starts[whole], sizes[whole] = len(self.flat) + np.cumsum(n) - n, n
+            self.starts, self.sizes = np.concatenate([self.starts, starts]), np.concatenate([self.sizes, sizes])
             self.flat = np.concatenate([self.flat, ids])
-            self.pieces[learnt:] = [None] * (len(self.pieces) - learnt)  # only their number counts now
-            self.seen = np.concatenate([self.seen, np.zeros(len(sizes), np.int64)])
+            if not whole.all():
+                parts = np.array([x for x in new if type(x) is tuple], np.int64)
+                size = self.sizes[parts]
+                at, total = learnt + np.flatnonzero(~whole), size.sum(axis=1)
+                self.starts[at], self.sizes[at] = len(self.flat) + np.cumsum(total) - total, total
+                self.flat = np.concatenate([self.flat, gather(self.flat, self.starts[parts].ravel(), size.ravel())])
+            self.pieces[learnt:] = [None] * len(new)  # only their number counts now
+            self.seen = np.concatenate([self.seen, np.zeros(len(new), np.int64)])
         self.seen += np.bincount(np.concatenate(found), minlength=len(self.seen)) if found else 0
-        out = []
-        for i in found:
-            size = self.sizes[i]
-            ends = np.cumsum(size)
-            n = int(ends[-1]) if len(i) else 0
-            out.append(self.flat[np.arange(n) + np.repeat(self.starts[i] - (ends - size), size)])
-        return out
+        return [gather(self.flat, self.starts[i], self.sizes[i]) for i in found]
 
 
 @functools.lru_cache(maxsize=1)
