@@ -92,7 +92,9 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     repeated passage stay unchanged."""
     names = docs.columns
     spans = repeated_spans(docs, find)
-    kind = docs.schema
+    # the other columns go along as one, so their names clash with nothing
+    rest = docs.select("doc_id", "text", F.struct(*[x for x in names if x not in ("doc_id", "text")] or [F.lit(0).alias("none")]).alias("rest"))
+    shape = with_spans(rest, spans, "rest").select("doc_id", "text", "rest").schema
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import re
@@ -119,8 +121,6 @@ def without_repeats(docs: DataFrame) -> DataFrame:
             out = [pa.array(texts, pa.binary()) if f.name == "text" else c for f, c in zip(b.schema, b.columns, strict=True)]
             yield pa.RecordBatch.from_arrays(out, names=b.schema.names).drop_columns(["spans"]).filter(pa.array(keep, pa.bool_()))
 
-    others = [x for x in names if x not in ("doc_id", "text")]
-    shape = ", ".join(["doc_id long", "text binary", *(f"`{f.name}` {f.dataType.simpleString()}" for f in kind if f.name in others)])
-    done = with_spans(docs, spans, *others).select("doc_id", "text", *others, "spans").mapInArrow(cut, shape)
-    text = F.col("text").cast("string")
-    return done.withColumn("text", text).select(*[F.length("text").cast("long").alias("n_chars") if x == "n_chars" else F.col(x) for x in names])
+    done = with_spans(rest, spans, "rest").select("doc_id", "text", "rest", "spans").mapInArrow(cut, shape).withColumn("text", F.col("text").cast("string"))
+    place = {"doc_id": F.col("doc_id"), "text": F.col("text"), "n_chars": F.length("text").cast("long")}
+    return done.select(*[place.get(x, F.col("rest").getField(x)).alias(x) for x in names])
