@@ -21,7 +21,7 @@ from ..sources import coverage, rasters, tiles
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
-COLS, TILE = 100, 32
+COLS, TILE = 100, 8
 
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
@@ -324,7 +324,7 @@ def j5(spark, d):
     return got.withColumn("max_err_m", F.round("max_err_m", 6))
 
 
-@query("j6_tile_points", f"WITH {surface_sql()}, {TILES_SQL}, hq AS (SELECT ix, iy, i, j, CASE WHEN q <> 65535 THEN (base_cm + q) / 1e2 END AS h FROM qt), p AS (SELECT event_id AS pid, event_id % 3 AS ix, event_id % (SELECT max(iy) + 1 FROM qt) AS iy, (event_id * 7919 % 32000)::DOUBLE / 1e3 AS u, (event_id * 104729 % 32000)::DOUBLE / 1e3 AS v FROM events), a AS (SELECT *, least(floor(u), 31)::INTEGER AS j, least(floor(v), 31)::INTEGER AS i, u - least(floor(u), 31) AS fx, v - least(floor(v), 31) AS fy FROM p), x AS (SELECT a.pid, fx, fy, h00.h AS h00, h10.h AS h10, h01.h AS h01, h11.h AS h11 FROM a LEFT JOIN hq h00 ON h00.ix = a.ix AND h00.iy = a.iy AND h00.i = a.i AND h00.j = a.j LEFT JOIN hq h10 ON h10.ix = a.ix AND h10.iy = a.iy AND h10.i = a.i AND h10.j = a.j + 1 LEFT JOIN hq h01 ON h01.ix = a.ix AND h01.iy = a.iy AND h01.i = a.i + 1 AND h01.j = a.j LEFT JOIN hq h11 ON h11.ix = a.ix AND h11.iy = a.iy AND h11.i = a.i + 1 AND h11.j = a.j + 1) SELECT pid, round((h00 + (h10 - h00) * fx) + ((h01 + (h11 - h01) * fx) - (h00 + (h10 - h00) * fx)) * fy, 9) AS h_lerp, round(h00 + (h10 - h00) * fx + (h01 - h00) * fy + (h11 - h10 - h01 + h00) * fx * fy, 9) AS h_poly, round(h00 * (1 - fx) * (1 - fy) + h10 * fx * (1 - fy) + h01 * (1 - fx) * fy + h11 * fx * fy, 9) AS h_weights FROM x")
+@query("j6_tile_points", f"WITH {surface_sql()}, {TILES_SQL}, hq AS (SELECT ix, iy, i, j, CASE WHEN q <> 65535 THEN (base_cm + q) / 1e2 END AS h FROM qt), p AS (SELECT event_id AS pid, event_id % 3 AS ix, event_id % (SELECT max(iy) + 1 FROM qt) AS iy, (event_id * 7919 % {TILE * 1000})::DOUBLE / 1e3 AS u, (event_id * 104729 % {TILE * 1000})::DOUBLE / 1e3 AS v FROM events), a AS (SELECT *, least(floor(u), {TILE - 1})::INTEGER AS j, least(floor(v), {TILE - 1})::INTEGER AS i, u - least(floor(u), {TILE - 1}) AS fx, v - least(floor(v), {TILE - 1}) AS fy FROM p), x AS (SELECT a.pid, fx, fy, h00.h AS h00, h10.h AS h10, h01.h AS h01, h11.h AS h11 FROM a LEFT JOIN hq h00 ON h00.ix = a.ix AND h00.iy = a.iy AND h00.i = a.i AND h00.j = a.j LEFT JOIN hq h10 ON h10.ix = a.ix AND h10.iy = a.iy AND h10.i = a.i AND h10.j = a.j + 1 LEFT JOIN hq h01 ON h01.ix = a.ix AND h01.iy = a.iy AND h01.i = a.i + 1 AND h01.j = a.j LEFT JOIN hq h11 ON h11.ix = a.ix AND h11.iy = a.iy AND h11.i = a.i + 1 AND h11.j = a.j + 1) SELECT pid, round((h00 + (h10 - h00) * fx) + ((h01 + (h11 - h01) * fx) - (h00 + (h10 - h00) * fx)) * fy, 9) AS h_lerp, round(h00 + (h10 - h00) * fx + (h01 - h00) * fy + (h11 - h10 - h01 + h00) * fx * fy, 9) AS h_poly, round(h00 * (1 - fx) * (1 - fy) + h10 * fx * (1 - fy) + h01 * (1 - fx) * fy + h11 * fx * fy, 9) AS h_weights FROM x")
 def j6(spark, d):
     t, _ = _headed(spark, d, spoil=False)
     return _tile_points(spark, d, t).select("pid", *[F.round(x, 9).alias(x) for x in ("h_lerp", "h_poly", "h_weights")])
@@ -333,7 +333,7 @@ def j6(spark, d):
 def _tile_points(spark: SparkSession, d: str, t: DataFrame) -> DataFrame:
     k = F.col("event_id")
     bands = -(-(n_rows(spark, d) - 1) // TILE)
-    p = table(spark, d, "events").select(k.alias("pid"), (k % bands * 1000 + k % 3).cast("int").alias("tile"), ((k * 7919 % 32000).cast("double") / 1e3).alias("u"), ((k * 104729 % 32000).cast("double") / 1e3).alias("v"))
+    p = table(spark, d, "events").select(k.alias("pid"), (k % bands * 1000 + k % 3).cast("int").alias("tile"), ((k * 7919 % (TILE * 1000)).cast("double") / 1e3).alias("u"), ((k * 104729 % (TILE * 1000)).cast("double") / 1e3).alias("v"))
     return verify.point_heights(p, t, surface(spark, d), n_rows(spark, d), COLS, (0.0, 0.0), samples=TILE + 1)
 
 
