@@ -24,20 +24,13 @@ import regex
 from pyspark.sql import DataFrame
 
 from .common import column, plain, small_batches
-from .tokens import PieceEncoder, vocabulary
+from .tokens import PieceEncoder, byte_letters, vocabulary
 
 #: Fixed value: how byte-level vocabularies of this kind split a text.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 NONE = 1 << 60
 
 
-def byte_letters() -> list[str]:
-    """The letter that stands for each byte in vocabulary files: itself if printable, else one from 256 on."""
-    shown = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
-    spare = iter(range(256, 512))
-    return [chr(b) if b in shown else chr(next(spare)) for b in range(256)]
-
-
 class ByteBPE:
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
@@ -232,6 +225,5 @@ def encode_decode(docs: DataFrame, tokenizer: str = "byte_bpe_50k.json") -> Data
             ids = encoder.texts(column(b, "text"))
             cols = [b.column(0), pa.array([len(x) for x in ids], pa.int64()), pa.array([x.astype("<u4").tobytes() for x in ids], pa.binary()), pa.array([bpe.decode(x.tolist()) for x in ids], pa.string())]
             yield pa.RecordBatch.from_arrays(cols, ["doc_id", "n_tokens", "ids", "decoded"])
-        encoder.rest()
 
     return plain(docs).mapInArrow(work, "doc_id long, n_tokens long, ids binary, decoded string")

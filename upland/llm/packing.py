@@ -120,7 +120,6 @@ def pieces(docs: DataFrame, tokenizer: str, end: int = END, room: int = ROOM) ->
                     rows.append((doc, k, at, size, zlib.crc32(data[4 * at : 4 * (at + size)])))
             cols = list(zip(*rows, strict=True)) or [[]] * 5
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()), strict=True)], ["doc_id", "piece", "start", "length", "ids_crc32"])
-        encoder.rest()
 
     return plain(docs).mapInArrow(cut, "doc_id long, piece int, start long, length long, ids_crc32 long")
 

@@ -204,7 +204,6 @@ def write_shards(docs: DataFrame, tokenizer: str = "word_bpe_49k.json", end: int
                 size += len(ids) + 1
         if held:
             yield flush()
-        encoder.rest()
 
     ordered = plain(docs).repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
     return materialize(ordered.mapInArrow(shards, "part int, shard int, n_tokens long, image binary"))

@@ -14,21 +14,29 @@ The ids of a piece are the tokenizers library's own (or another encoder's, hande
 from __future__ import annotations
 
 import functools
-import gc
 import json
 import os
 import re
+import unicodedata
 from collections.abc import Callable
 
 import numpy as np
 from tokenizers import Tokenizer, pre_tokenizers
 
 #: Pieces that a worker remembers; beyond it, those seen once only are forgotten, or all if that isn't enough.
-MEMORY = 450_000
+MEMORY = 600_000
 #: Pieces joined to one text for the library.
 JOINED = 1000
-#: Fixed value: the letter that stands for a space in byte-level vocabularies.
-SPACE_LETTER = "\u0120"
+
+
+def byte_letters() -> list[str]:
+    """The letter that stands for each byte in vocabulary files: itself if printable, else one from 256 on."""
+    shown = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    spare = iter(range(256, 512))
+    return [chr(b) if b in shown else chr(next(spare)) for b in range(256)]
+
+
+SPACE_LETTER = byte_letters()[0x20]
 #: A space at the end or before a byte that white space may begin with: there the quick way of cutting doesn't hold.
 _ODD = re.compile(rb" (?:[\x09-\x0d\x1c-\x20\xc2\xe1\xe2\xe3]|\Z)")
 _CUT = re.compile(r"(?= [^\s])")
@@ -87,11 +95,11 @@ def library_encoder(path: str, kind: str = "whole") -> Encoder:
             return np.diff(np.searchsorted(np.cumsum(n_bytes[ids]), np.cumsum(lengths)) + 1, prepend=0)
 
         def simple_byte(x: str) -> bool:
-            return x.isascii() and x[1:].isalpha() and x[0] == " "
+            return x[0] == " " and _is_word(x[1:])
 
         def plain_byte(pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-            ids = np.concatenate(run_ids(["\n".join(pieces[i : i + JOINED]).replace(" ", SPACE_LETTER) for i in range(0, len(pieces), JOINED)], bare))
-            return ids, by_length(ids, np.fromiter(map(len, pieces), np.int64, len(pieces)))
+            ids = np.concatenate(run_ids([_letters("\n".join(pieces[i : i + JOINED])) for i in range(0, len(pieces), JOINED)], bare))
+            return ids, by_length(ids, np.fromiter(map(len, map(str.encode, pieces)), np.int64, len(pieces)))
 
         def others_byte(pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
             # a piece without a space before it can only begin a text
@@ -107,7 +115,7 @@ def library_encoder(path: str, kind: str = "whole") -> Encoder:
 
     def plain(pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """One word each, which has one end."""
-        ids = np.concatenate(run_ids(["\n".join(pieces[i : i + JOINED]).lower() for i in range(0, len(pieces), JOINED)], bare))
+        ids = np.concatenate(run_ids([_letters("\n".join(pieces[i : i + JOINED])) for i in range(0, len(pieces), JOINED)], bare))
         return ids, np.diff(np.flatnonzero(is_end[ids]) + 1, prepend=0)
 
     def others(pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -120,7 +128,20 @@ def library_encoder(path: str, kind: str = "whole") -> Encoder:
             sizes.append(np.bincount(owner, minlength=len(run)))
         return np.concatenate([np.array(x.ids, np.uint32) for x in found]), np.concatenate(sizes)
 
-    return _either(lambda x: x.isascii() and x.isalpha(), plain, others)
+    return _either(lambda x: _is_word(x) and x.islower() and unicodedata.is_normalized("NFC", x), plain, others)
+
+
+def _is_word(x: str) -> bool:
+    """Whether x is letters of the Latin alphabets only, which every table of letters knows: one pretoken."""
+    return x.isalpha() and (x.isascii() or max(x) < "\u0250")
+
+
+#: What stands for each byte in byte-level vocabularies, but for the line end, which parts pieces here.
+_LETTERS = {b: x for b, x in enumerate(byte_letters()) if b != 10}
+
+
+def _letters(text: str) -> str:
+    return text.replace(" ", SPACE_LETTER) if text.isascii() else text.encode().decode("latin-1").translate(_LETTERS)
 
 
 def _either(test: Callable[[str], bool], yes: Encoder, no: Encoder) -> Encoder:
@@ -167,7 +188,8 @@ def cut(text: bytes, kind: str) -> tuple[list[bytes], list[bytes]]:
     """Pieces that have their ids each for itself: those as they are, which come first, and then those
     without the space that begins them. Of kind 'word', white space is left out."""
     if kind == "word":
-        return text.split(), []
+        # case doesn't count but in the strings of added tokens
+        return (text if b"<|" in text else text.lower()).split(), []
     if kind == "whole" or not text:
         return [text] if text else [], []
     if _ODD.search(text):
@@ -215,13 +237,8 @@ class PieceEncoder:
         self.tails = _Numbers(self.pieces, " ", self.heads, False)
         self.flat, self.starts, self.sizes, self.seen = np.empty(0, np.uint32), np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
 
-    def rest(self) -> None:
-        """After a task: keep what it met several times, as an idle worker's memory counts too."""
-        self._forget(3)
-        gc.collect()
-
-    def _forget(self, least: int = 2) -> None:
-        keep = self.seen >= least
+    def _forget(self) -> None:
+        keep = self.seen > 1
         if keep.sum() > MEMORY // 2:
             return self._clear()
         renumbered = (np.cumsum(keep) - 1).tolist()
