@@ -25,7 +25,7 @@ def test_pieces_have_the_librarys_ids(path):
     encoder = PieceEncoder(path)
     got = [x.tolist() for i in range(0, len(texts), 5000) for x in encoder.texts([t.encode() for t in texts[i : i + 5000]])]
     assert got == [x.ids for x in library(path).encode_batch_fast(texts, add_special_tokens=False)]
-    encoder.rest()
+    encoder._forget()
     assert [x.tolist() for x in encoder.texts([t.encode() for t in texts[:2000]])] == got[:2000]
 
 
