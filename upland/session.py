@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
+
 from pyspark.sql import SparkSession
 
 CONF = {
@@ -15,3 +19,20 @@ CONF = {
 
 def session(app: str = "upland", **conf: str) -> SparkSession:
     return SparkSession.builder.appName(app).config(map=CONF | conf).getOrCreate()
+
+
+def ship(spark: SparkSession) -> SparkSession:
+    """Send this package to the Python workers, once per application; they may not have it on their path."""
+    sc = spark.sparkContext
+    if getattr(sc, "_upland_shipped", None) != sc.applicationId:
+        root = os.path.dirname(os.path.abspath(__file__))
+        path = os.path.join(tempfile.mkdtemp(), "upland.zip")
+        with zipfile.ZipFile(path, "w") as z:
+            for folder, _, names in os.walk(root):
+                for name in names:
+                    if name.endswith(".py"):
+                        full = os.path.join(folder, name)
+                        z.write(full, os.path.join("upland", os.path.relpath(full, root)))
+        sc.addPyFile(path)
+        sc._upland_shipped = sc.applicationId
+    return spark
