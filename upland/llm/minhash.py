@@ -165,7 +165,11 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     led = base.join(leaders, (base.digest == leaders.digest) & (base.doc_id == leaders.leader), "left_semi")
     spread = led.select(F.col("doc_id").alias("a"), F.explode("bands").alias("key"))
     pivots = spread.groupBy("key").agg(F.min("a").alias("b"), F.max("a").alias("z")).where("b < z").select("key", "b")
-    groups = components(spread.join(pivots, "key").where("a <> b").select("a", "b").distinct())
+    # a leader hangs on the least of its bands' leaders, and the others of them on that one: what a group
+    # of copies has in common is one edge then, not one for each copy
+    hung = spread.join(pivots, "key").where("a <> b").groupBy("a").agg(F.collect_set("b").alias("bs")).withColumn("p", F.array_min("bs"))
+    edge = F.explode(F.concat(F.array(F.struct(F.col("a"), F.col("p").alias("b"))), F.transform("bs", lambda b: F.struct(F.col("p").alias("a"), b.alias("b")))))
+    groups = components(hung.select(edge.alias("e")).select("e.a", "e.b").where("a <> b").distinct())
 
     # candidate groups: their size in shingles decides the number of blocks
     member = groups.join(led.select("doc_id", "digest", "n_shingles"), groups.node == led.doc_id).select("doc_id", "digest", "n_shingles", F.col("label").alias("group"))
