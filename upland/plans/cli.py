@@ -12,9 +12,9 @@ import sys
 
 from pyspark.sql import functions as F
 
-from ..session import session
+from ..session import session, ship
 from ..sources.coverage import boxes, fetch_chunk
-from ..sources.rasters import NumpyGrid, is_northward, settings
+from ..sources.rasters import NumpyGrid, is_northward, load_catalogue, settings
 from ..sources.tiles import decode_heights, tile_files
 from . import runs
 from .receipts import exit_status, note_in_manifest, write_receipt
@@ -62,7 +62,7 @@ def main(argv: list[str] | None = None) -> int:
         for box in boxes(a.e0, a.e1, a.n0, a.n1):
             print(*fetch_chunk(box, a.url, a.cache))
         return 0
-    spark = session()
+    spark = ship(session())
     if a.job == "build":
         print(json.dumps({k: v for k, v in runs.build_site(spark, a.name, a.e, a.n, a.size, a.out, a.cache, a.url).items() if k != "manifest"}, indent=1))
         return 0
@@ -82,8 +82,7 @@ def main(argv: list[str] | None = None) -> int:
         receipt = runs.earthworks_sweep(spark, grid, shape, origin, spacing, a.count, a.seconds, a.batch, a.seed)
         path, photons = os.path.join(folder, "earthworks_receipt.json"), receipt["photons_total"]
     else:
-        listed = spark.read.option("multiLine", True).json(a.cables)
-        parts = [listed.select(F.inline(x)) for x in ("cables", "rules")]
+        parts = load_catalogue(spark, a.cables)
         receipt = runs.cable_sweep(spark, grid, shape, origin, *parts, spacing, a.count, a.seconds, a.batch, a.seed)
         path, photons = os.path.join(folder, "cable_sweep_receipt.json"), receipt["photons_total"]
     digest = write_receipt(path, receipt)

@@ -434,7 +434,33 @@ def j17(spark, d):
     return grid.same_mask(s, s.withColumn("z", F.when(F.col("r") % 50 != 7, F.col("z") + 0.004))).withColumn("max_err_m", F.round("max_err_m", 6))
 
 
+@query("j10_piece_by_chainage", "WITH e AS (SELECT event_id AS k, (event_id * 7919 % 20000) / 1e3 AS s, 3 + event_id % 5 AS a, 10 + event_id % 7 AS b FROM events) SELECT k, ((s >= a)::INTEGER + (s >= a)::INTEGER + (s >= b)::INTEGER) AS slot FROM e")
+def j10(spark, d):
+    k = F.col("event_id")
+    starts = [F.lit(0.0), (3 + k % 5).cast("double"), (3 + k % 5).cast("double"), (10 + k % 7).cast("double")]
+    pieces = F.array(*[F.struct(F.lit(n).alias("slot"), x.alias("start")) for n, x in enumerate(starts)])
+    return table(spark, d, "events").select(k.alias("k"), cable.piece_at((k * 7919 % 20000) / 1e3, pieces)["slot"].alias("slot"))
+
+
 # ---------------------------------------------------------------- aggregates, windows, order
+@query("p17_inside_site", f"WITH {TRENCH_SQL}, w AS (SELECT g.*, length * n / 63e0 AS s FROM g, range(64) AS t(n)), v AS (SELECT *, CASE WHEN s <= l1 THEN 0 WHEN s <= l1 + la THEN 1 ELSE 2 END AS piece FROM w), u AS (SELECT *, s - CASE WHEN piece >= 1 THEN l1 ELSE 0 END - CASE WHEN piece = 2 THEN la ELSE 0 END AS uu FROM v), hh AS (SELECT *, CASE piece WHEN 0 THEN h WHEN 1 THEN h + sg * uu / radius ELSE h2 END AS b FROM u), xy AS (SELECT tid, CASE piece WHEN 0 THEN ax + uu * cos(b) WHEN 1 THEN cx + sin(b) * sg * radius ELSE dx + uu * cos(b) END AS x, CASE piece WHEN 0 THEN ay + uu * sin(b) WHEN 1 THEN cy - cos(b) * sg * radius ELSE dy + uu * sin(b) END AS y FROM hh) SELECT tid, min(x) > 15 AND min(y) > 15 AND max(x) < 60 AND max(y) < 75 AS inside FROM xy GROUP BY tid")
+def p17(spark, d):
+    return works.inside_site(works.trench_geometry(trenches(spark, d)), 75.0, 90.0, 15.0)
+
+
+@query("p21_route_rows", f"WITH {STRAIGHT_SQL} SELECT rid, round_even(x0 + 400000.0::DOUBLE, 3) AS start_e, round_even(y0 + 300000.0::DOUBLE, 3) AS start_n, round_even(degrees(h0), 3) AS heading_deg, 1::INTEGER AS legs, round_even(len, 3) AS leg_m, round_even(len, 4) AS plan_m FROM st")
+def p21(spark, d):
+    p = cable.plan(straights(spark, d)).withColumns({"sampled_m": F.col("plan_m"), "analytic_m": F.col("plan_m"), "disagreement": F.lit(0.0)})
+    return cable.route_rows(p, (400000.0, 300000.0)).select("rid", "start_e", "start_n", "heading_deg", F.size("legs_m").alias("legs"), F.col("legs_m")[0].alias("leg_m"), "plan_m")
+
+
+@query("t1_worst_samples", HEADED_SQL + ", x AS (SELECT tile, i, j, (base_cm + q) / 1e2 AS h_tile, abs((base_cm + q) / 1e2 - z) AS err FROM t JOIN (SELECT ix, iy, i, j, z FROM ct) USING (ix, iy, i, j) WHERE q <> 65535) SELECT tile, i, j, h_tile FROM x WHERE err IS NOT NULL ORDER BY err DESC, tile, i, j LIMIT 8")
+def t1(spark, d):
+    t, _ = _headed(spark, d)
+    h = verify.sample_heights(t, surface(spark, d), n_rows(spark, d), COLS, (0.0, 0.0)).withColumn("err_m", F.abs(F.col("h_tile") - F.col("h_source")))
+    return verify.worst(h, "err_m", "tile", "i", "j").select("tile", "i", "j", "h_tile")
+
+
 @query("w4_neighbours", f"WITH {surface_sql()}, {STENCIL_SQL} SELECT r, c, z, a, b, c_, d, f, g, h, k FROM nb")
 def w4(spark, d):
     return terrain.neighbours(surface(spark, d)).select("r", "c", "z", "a", "b", "c_", "d", "f", "g", "h", "k")
