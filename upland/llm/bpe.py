@@ -14,7 +14,6 @@ without doc_id and repeated rows are encoded like others; an empty table gives a
 
 from __future__ import annotations
 
-import functools
 import json
 from collections.abc import Iterator
 
@@ -24,7 +23,7 @@ import regex
 from pyspark.sql import DataFrame
 
 from .common import column, plain, small_batches
-from .tokens import PieceEncoder, byte_letters, vocabulary
+from .tokens import PieceEncoder, byte_letters, kept, vocabulary
 
 #: Fixed value: how byte-level vocabularies of this kind split a text.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -207,9 +206,7 @@ class ByteBPE:
         return b"".join(map(self.bytes.__getitem__, ids)).decode("utf-8", "replace")
 
 
-@functools.lru_cache(maxsize=1)
 def _own(path: str) -> tuple[ByteBPE, PieceEncoder]:
-    """Kept for the later tasks of a worker process."""
     bpe = ByteBPE(path)
     return bpe, PieceEncoder(path, bpe.encode_many)
 
@@ -220,10 +217,10 @@ def encode_decode(docs: DataFrame, tokenizer: str = "byte_bpe_50k.json") -> Data
     path = vocabulary(tokenizer)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe, encoder = _own(path)
-        for b in batches:
-            ids = encoder.texts(column(b, "text"))
-            cols = [b.column(0), pa.array([len(x) for x in ids], pa.int64()), pa.array([x.astype("<u4").tobytes() for x in ids], pa.binary()), pa.array([bpe.decode(x.tolist()) for x in ids], pa.string())]
-            yield pa.RecordBatch.from_arrays(cols, ["doc_id", "n_tokens", "ids", "decoded"])
+        with kept(("own", path), lambda: _own(path)) as (bpe, encoder):
+            for b in batches:
+                ids = encoder.texts(column(b, "text"))
+                cols = [b.column(0), pa.array([len(x) for x in ids], pa.int64()), pa.array([x.astype("<u4").tobytes() for x in ids], pa.binary()), pa.array([bpe.decode(x.tolist()) for x in ids], pa.string())]
+                yield pa.RecordBatch.from_arrays(cols, ["doc_id", "n_tokens", "ids", "decoded"])
 
     return plain(docs).mapInArrow(work, "doc_id long, n_tokens long, ids binary, decoded string")

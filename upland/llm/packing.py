@@ -108,18 +108,18 @@ def pieces(docs: DataFrame, tokenizer: str, end: int = END, room: int = ROOM) ->
     path = vocabulary(tokenizer)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = shared_encoder(path)
-        for b in batches:
-            rows = []
-            for doc, ids in zip(column(b, "doc_id"), encoder.texts(column(b, "text")), strict=True):
-                data = memoryview(np.append(ids, np.uint32(end)).astype("<u4").tobytes())
-                n = len(ids) + 1
-                first = (n - 1) % room + 1
-                for k, at in enumerate([0, *range(first, n, room)]):
-                    size = first if k == 0 else room
-                    rows.append((doc, k, at, size, zlib.crc32(data[4 * at : 4 * (at + size)])))
-            cols = list(zip(*rows, strict=True)) or [[]] * 5
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()), strict=True)], ["doc_id", "piece", "start", "length", "ids_crc32"])
+        with shared_encoder(path) as encoder:
+            for b in batches:
+                rows = []
+                for doc, ids in zip(column(b, "doc_id"), encoder.texts(column(b, "text")), strict=True):
+                    data = memoryview(np.append(ids, np.uint32(end)).astype("<u4").tobytes())
+                    n = len(ids) + 1
+                    first = (n - 1) % room + 1
+                    for k, at in enumerate([0, *range(first, n, room)]):
+                        size = first if k == 0 else room
+                        rows.append((doc, k, at, size, zlib.crc32(data[4 * at : 4 * (at + size)])))
+                cols = list(zip(*rows, strict=True)) or [[]] * 5
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()), strict=True)], ["doc_id", "piece", "start", "length", "ids_crc32"])
 
     return plain(docs).mapInArrow(cut, "doc_id long, piece int, start long, length long, ids_crc32 long")
 

@@ -184,7 +184,6 @@ def write_shards(docs: DataFrame, tokenizer: str = "word_bpe_49k.json", end: int
         raise ValueError("the format holds 16-bit ids")
 
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = shared_encoder(path)
         part, done = TaskContext.get().partitionId(), 0
         held: list[tuple[int | None, np.ndarray]] = []
         size = 0
@@ -196,14 +195,15 @@ def write_shards(docs: DataFrame, tokenizer: str = "word_bpe_49k.json", end: int
             held, size, done = [], 0, done + 1
             return out
 
-        for b in batches:
-            for doc, ids in zip(column(b, "doc_id"), encoder.texts(column(b, "text")), strict=True):
-                if held and size + len(ids) >= shard_tokens:
-                    yield flush()
-                held.append((doc, np.append(ids, np.uint32(end))))
-                size += len(ids) + 1
-        if held:
-            yield flush()
+        with shared_encoder(path) as encoder:
+            for b in batches:
+                for doc, ids in zip(column(b, "doc_id"), encoder.texts(column(b, "text")), strict=True):
+                    if held and size + len(ids) >= shard_tokens:
+                        yield flush()
+                    held.append((doc, np.append(ids, np.uint32(end))))
+                    size += len(ids) + 1
+            if held:
+                yield flush()
 
     ordered = plain(docs).repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
     return materialize(ordered.mapInArrow(shards, "part int, shard int, n_tokens long, image binary"))

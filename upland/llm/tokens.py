@@ -13,18 +13,23 @@ The ids of a piece are the tokenizers library's own (or another encoder's, hande
 
 from __future__ import annotations
 
-import functools
+import contextlib
+import ctypes
+import gc
 import json
 import os
 import re
+import threading
 import unicodedata
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 from tokenizers import Tokenizer, pre_tokenizers
 
 #: Pieces that a worker remembers; beyond it, those seen once only are forgotten, or all if that isn't enough.
-MEMORY = 600_000
+MEMORY = 500_000
+#: Seconds after which an idle worker drops what it remembers.
+IDLE_S = 2.0
 #: Pieces joined to one text for the library.
 JOINED = 1000
 
@@ -282,7 +287,48 @@ class PieceEncoder:
         return [gather(self.flat, self.starts[i], self.sizes[i]) for i in found]
 
 
-@functools.lru_cache(maxsize=1)
-def shared_encoder(path: str) -> PieceEncoder:
-    """The library's encoder, kept for the later tasks of a worker process."""
-    return PieceEncoder(path)
+class _Kept:
+    """One thing that a worker process keeps for its next task; an idle worker drops it and gives the memory back."""
+
+    def __init__(self):
+        self.lock, self.key, self.value, self.timer = threading.Lock(), None, None, None
+
+    @contextlib.contextmanager
+    def lend(self, key: tuple, make: Callable[[], object]) -> Iterator:
+        with self.lock:
+            if self.timer:
+                self.timer.cancel()
+                self.timer = None
+            if self.key != key:
+                self.key, self.value = key, None
+                self.value = make()
+            value = self.value
+        try:
+            yield value
+        finally:
+            del value
+            with self.lock:
+                self.timer = threading.Timer(IDLE_S, self.drop)
+                self.timer.daemon = True
+                self.timer.start()
+
+    def drop(self) -> None:
+        with self.lock:
+            if self.timer is None:
+                return  # lent again meanwhile
+            self.key = self.value = self.timer = None
+        gc.collect()
+        with contextlib.suppress(OSError, AttributeError):
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
+_KEPT = _Kept()
+
+
+def kept(key: tuple, make: Callable[[], object]) -> contextlib.AbstractContextManager:
+    """What make() gives, for the time of a task; later tasks of the worker with the same key get the same."""
+    return _KEPT.lend(key, make)
+
+
+def shared_encoder(path: str) -> contextlib.AbstractContextManager:
+    return kept(("library", path), lambda: PieceEncoder(path))
