@@ -6,8 +6,8 @@ shorter), and the pieces are placed in sequences of at most `room` ids.
 A plan needs the histogram of lengths only, which has `room` entries at any size of the corpus. Going
 down from the longest, a length's gap is filled exactly by one length, else by two, else by three,
 looked up among the sums of the lengths still available; a combination is used as often as its counts
-allow. What finds no complement is packed best fit: the longest that fits, again and again. Each
-combination used up empties a length, so a plan has a few thousand lines.
+allow. A length without an exact complement is packed best fit, by the combination that leaves least.
+Each combination used up empties a length, so a plan has a few thousand lines.
 
 Pieces find their place by their rank among those of equal length. Ranks are counted in buckets of a
 hash of doc_id, and the counts of earlier buckets are added, so that no task holds a length's pieces.
@@ -55,37 +55,39 @@ def _complement(have: np.ndarray, gap: int, used: int) -> list[int] | None:
     return None
 
 
+def _best_fit(have: np.ndarray, room: int, length: int) -> list[int]:
+    """A sequence that begins with `length`: its gap filled exactly if one, two or three lengths do that, else by
+    those that come nearest, and by what still fits behind them."""
+    lengths = [length]
+    gap = room - length
+    for fill in range(gap, 0, -1):
+        if not have[1 : fill + 1].any():
+            break
+        if found := _complement(have, fill, length):
+            lengths += found
+            gap -= fill
+            break
+    stock = have.copy()
+    for x in lengths:
+        stock[x] -= 1
+    while len(fit := np.flatnonzero(stock[: gap + 1] > 0)):
+        lengths.append(int(fit[-1]))
+        stock[fit[-1]] -= 1
+        gap -= int(fit[-1])
+    return lengths
+
+
 def plan(counts: np.ndarray, room: int = ROOM) -> list[tuple[list[int], int]]:
     """(lengths of a sequence, sequences like it) for counts[length], until all are placed."""
     have = counts.astype(np.int64).copy()
     out: list[tuple[list[int], int]] = []
-    if have[room]:
-        out.append(([room], int(have[room])))
-        have[room] = 0
-    left = np.zeros_like(have)
-
-    def use(lengths: list[int], stock: np.ndarray) -> None:
-        times = min(int(stock[x]) // lengths.count(x) for x in set(lengths))
-        out.append((lengths, times))
-        for x in lengths:
-            stock[x] -= times
-
-    for length in range(room - 1, 0, -1):
+    for length in range(room, 0, -1):
         while have[length]:
-            found = _complement(have, room - length, length)
-            if found is None:
-                left[length], have[length] = have[length], 0
-            else:
-                use([length, *found], have)
-    while left.any():
-        lengths: list[int] = []
-        gap = room
-        stock = left.copy()
-        while len(fit := np.flatnonzero(stock[: gap + 1])):
-            lengths.append(int(fit[-1]))
-            stock[fit[-1]] -= 1
-            gap -= int(fit[-1])
-        use(lengths, left)
+            lengths = _best_fit(have, room, length)
+            times = min(int(have[x]) // lengths.count(x) for x in set(lengths))
+            out.append((lengths, times))
+            for x in lengths:
+                have[x] -= times
     return out
 
 
