@@ -19,6 +19,8 @@ from .common import SPACE, let, materialize
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 #: A host is rejected when its shrunk failure rate reaches this.
 HOST_LIMIT = 0.9
+#: So many hosts at most are broadcast (some 10 MB); beyond it, hosts are joined by shuffling, a host's rows in SALTS parts.
+BROADCAST_HOSTS, SALTS = 100_000, 64
 SYMBOLS = "#*$%&|<>"
 
 
@@ -76,13 +78,21 @@ def host_verdicts(counts: DataFrame, limit: float = HOST_LIMIT) -> DataFrame:
     return hosts.join(F.broadcast(prior)).select("host", "n_docs", "n_failed", shrunk.alias("shrunk_rate")).withColumn("rejected", F.col("shrunk_rate") >= limit)
 
 
+def _with_hosts(rows: DataFrame, hosts: DataFrame, how: str) -> DataFrame:
+    """rows (host, ..) joined with hosts (host, ..), none of which need meet in one task."""
+    hosts = materialize(hosts)
+    if hosts.count() <= BROADCAST_HOSTS:
+        return rows.join(F.broadcast(hosts), "host", how)
+    salted = hosts.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return rows.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int")).join(salted, ["host", "salt"], how).drop("salt")
+
+
 def quality_rules(docs: DataFrame) -> DataFrame:
     """Counts, base_failed, the host's shrunk rate and kept, for every document."""
     counts = materialize(text_counts(docs))
-    hosts = host_verdicts(counts).select("host", "shrunk_rate", "rejected")
-    return counts.join(hosts, "host", "left").select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", (~F.col("base_failed") & ~F.coalesce("rejected", F.lit(False))).alias("kept"), "host", "shrunk_rate"
-    )
+    found = _with_hosts(counts, host_verdicts(counts).select("host", "shrunk_rate", "rejected"), "left")
+    kept = ~F.col("base_failed") & ~F.coalesce("rejected", F.lit(False))
+    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", kept.alias("kept"), "host", "shrunk_rate")
 
 
 def accepted(docs: DataFrame) -> DataFrame:
@@ -91,6 +101,6 @@ def accepted(docs: DataFrame) -> DataFrame:
     The counts are worked out twice, once for the hosts' rates and once beside the rows, which is
     cheaper at any size than to shuffle the texts.
     """
-    bad = host_verdicts(text_counts(docs)).where("rejected").select(F.col("host").alias("bad_host"))
-    rows = text_counts(docs.select(F.col("doc_id"), "text", "source", F.struct("*").alias("row")), "row").where("NOT base_failed")
-    return rows.join(bad, F.col("host") == F.col("bad_host"), "left_anti").select("row.*")
+    bad = host_verdicts(text_counts(docs)).where("rejected").select("host")
+    rows = text_counts(docs.select("doc_id", "text", "source", F.struct("*").alias("row")), "row").where("NOT base_failed")
+    return _with_hosts(rows, bad, "left_anti").select("row.*")
