@@ -1,6 +1,8 @@
 import duckdb
+import pytest
 from helpers import clashing, corpus, docs, words
 
+import upland.llm.quality as Q
 from upland.llm.quality import accepted, host_verdicts, quality_rules, text_counts
 from upland.llm.queries import ORACLE_SQL
 
@@ -22,7 +24,9 @@ def test_counts_match_brute_force(spark):
     assert got == sorted([(i, *plain(t)) for i, t, _ in rows], key=repr)
 
 
-def test_verdicts(spark):
+@pytest.mark.parametrize("broadcast", [100_000, 0])
+def test_verdicts(spark, monkeypatch, broadcast):
+    monkeypatch.setattr(Q, "BROADCAST_HOSTS", broadcast)
     good, bad = " ".join(f"w{i}" for i in range(60)), "a b"
     rows = [(i, good, "good") for i in range(30)] + [(100 + i, bad, "bad") for i in range(98)] + [(200, good, "bad"), (201, good, None), (202, bad, None)]
     d = docs(spark, rows)
