@@ -42,6 +42,7 @@ SHARD_TOKENS = 2_000_000
 #: A pair must be found so often in a shard to become a rule; rounds of replacing.
 LEAST, ROUNDS = 24, 4
 TOP = 1 << 16
+TABLE = 1 << 23
 HEAD = struct.Struct("<4s5I")
 
 
@@ -61,6 +62,21 @@ def _choose(codes: np.ndarray, counts: np.ndarray, room: int) -> np.ndarray:
     return np.sort(np.array(chosen, np.uint32))
 
 
+def _find(now: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    """The chosen pair that begins at each place, or -1: a table of left by right ids of the pairs, or a search if that is large."""
+    left, l = np.unique(chosen >> np.uint32(16), return_inverse=True)
+    right, r = np.unique(chosen & np.uint32(0xFFFF), return_inverse=True)
+    if (len(left) + 1) * (len(right) + 1) > TABLE:
+        code = (now[:-1] << np.uint32(16)) | now[1:]
+        at = np.minimum(np.searchsorted(chosen, code), len(chosen) - 1)
+        return np.where(chosen[at] == code, at, -1)
+    table = np.full((len(left) + 1) * (len(right) + 1), -1, np.int32)
+    table[(l + 1) * (len(right) + 1) + r + 1] = np.arange(len(chosen))
+    row, col = np.zeros(TOP, np.int32), np.zeros(TOP, np.int32)
+    row[left], col[right] = np.arange(1, len(left) + 1) * (len(right) + 1), np.arange(1, len(right) + 1)
+    return table[row[now[:-1]] + col[now[1:]]]
+
+
 def compress(symbols: np.ndarray, ends: np.ndarray, base: int, least: int = LEAST, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(symbols u16, first symbol of each document, rules as rows of two) for ids below base; ends: each document's last id."""
     now = symbols.astype(np.uint32)
@@ -71,22 +87,17 @@ def compress(symbols: np.ndarray, ends: np.ndarray, base: int, least: int = LEAS
     for _ in range(rounds):
         if len(now) < 2 or used >= TOP:
             break
-        code = (now[:-1] << np.uint32(16)) | now[1:]
         open_ = ~last[:-1]
-        ordered = np.sort(code[open_])
+        ordered = np.sort(((now[:-1] << np.uint32(16)) | now[1:])[open_])
         first = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1])) if len(ordered) else np.empty(0, np.int64)
         counts = np.diff(np.append(first, len(ordered)))
         often = counts >= least
         if not often.any():
             break
         chosen = _choose(ordered[first[often]], counts[often], TOP - used)
-        is_left, is_right = np.zeros(TOP, bool), np.zeros(TOP, bool)
-        is_left[chosen >> np.uint32(16)] = True
-        is_right[chosen & np.uint32(0xFFFF)] = True
-        at = np.flatnonzero(open_ & is_left[now[:-1]] & is_right[now[1:]])
-        rule = np.minimum(np.searchsorted(chosen, code[at]), len(chosen) - 1)
-        hit = chosen[rule] == code[at]
-        at, rule = at[hit], rule[hit]
+        found = _find(now, chosen)
+        at = np.flatnonzero(open_ & (found >= 0))
+        rule = found[at]
         # only pairs of equal ids can overlap, in runs: every second one is taken
         run = np.cumsum(np.append(True, np.diff(at) > 1)) if len(at) else at
         place = np.arange(len(at)) - np.flatnonzero(np.append(True, np.diff(run) > 0))[run - 1] if len(at) else at

@@ -283,8 +283,14 @@ class PieceEncoder:
                 self.flat = np.concatenate([self.flat, gather(self.flat, self.starts[parts].ravel(), size.ravel())])
             self.pieces[learnt:] = [None] * len(new)  # only their number counts now
             self.seen = np.concatenate([self.seen, np.zeros(len(new), np.int64)])
-        self.seen += np.bincount(np.concatenate(found), minlength=len(self.seen)) if found else 0
-        return [gather(self.flat, self.starts[i], self.sizes[i]) for i in found]
+        if not found:
+            return []
+        every = np.concatenate(found)
+        self.seen += np.bincount(every, minlength=len(self.seen))
+        sizes = self.sizes[every]
+        ids = gather(self.flat, self.starts[every], sizes)
+        ends = np.append(0, np.cumsum(sizes))[np.cumsum([0] + [len(i) for i in found])].tolist()
+        return [ids[a:b] for a, b in zip(ends, ends[1:], strict=False)]
 
 
 class _Kept:
