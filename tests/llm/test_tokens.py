@@ -90,6 +90,15 @@ def test_grammar_round_trip_and_random_access(parts, rng):
     assert (image.read_range(at, n) == flat[at : at + n]).all()
 
 
+def test_table_and_search_find_the_same(monkeypatch):
+    rng = np.random.default_rng(1)
+    now = rng.integers(0, 50, 5000).astype(np.uint32)
+    chosen = np.unique((rng.integers(0, 25, 60).astype(np.uint32) << np.uint32(16)) | rng.integers(25, 50, 60).astype(np.uint32))
+    table = R._find(now, chosen)
+    monkeypatch.setattr(R, "TABLE", 0)
+    assert (table == R._find(now, chosen)).all() and (table >= 0).any()
+
+
 def test_repeats_become_rules():
     text = np.tile(np.array([1, 2, 3, 4], np.uint32), 500)
     symbols, _, rules = R.compress(text, np.array([len(text) - 1]), 10, least=2, rounds=12)
