@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 #: ASCII white space, the only characters that end a word.
 SPACE = r"[\x20\x09-\x0D]"
 #: Rows and bytes of a batch handed to Python; a text can be long, so the bytes count.
-BATCH_ROWS, BATCH_BYTES = 2048, 8 << 20
+BATCH_ROWS, BATCH_BYTES = 1024, 3 << 20
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 

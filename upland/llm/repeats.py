@@ -38,7 +38,7 @@ from .common import column, hashes, materialize, mix, plain, small_batches
 WINDOW, GRAM = 50, 12
 SPAN = WINDOW - GRAM + 1
 #: Different contexts of one anchor that one task gathers; contexts that a finder gets at once, about.
-ANCHOR_CONTEXTS, CHUNK = 20_000, 40_000
+ANCHOR_CONTEXTS, CHUNK = 20_000, 20_000
 PLACE = np.uint64(26)
 STEP = np.uint64(0x9E3779B97F4A7C15)
 
