@@ -27,7 +27,7 @@ import numpy as np
 from tokenizers import Tokenizer, pre_tokenizers
 
 #: Pieces that a worker remembers; beyond it, those seen once only are forgotten, or all if that isn't enough.
-MEMORY = 350_000
+MEMORY = 450_000
 #: Seconds after which an idle worker drops what it remembers.
 IDLE_S = 2.0
 #: Pieces joined to one text for the library.
