@@ -56,6 +56,23 @@ def test_licences(spark):
     assert licence_scan(docs(spark, [])).count() == 0
 
 
+def test_licences_in_usual_wrappings(spark):
+    import textwrap
+
+    from upland.llm.licences import KNOWN
+
+    whole = [(name, text) for name, text in KNOWN if len(text) > 200]
+    rows, want = [], []
+    for name, text in whole:
+        for width in range(30, 101):
+            wrapped = "\n".join(textwrap.fill(p, width, break_long_words=False) for p in text.split("\n"))
+            for mark in ("", "# ", " * ", "// "):
+                rows.append((len(rows), "".join(f"{mark}{x}\n" for x in ["Copyright (c) 2020 A. Person", "Copyright Joyent, Inc. and others", "(c) 2019 B", "All rights reserved.", "", *wrapped.split("\n")]), "s"))
+                want.append((rows[-1][0], name))
+    got = sorted((r.doc_id, r.licence) for r in licence_scan(docs(spark, rows)).where("scope = 'document'").collect())
+    assert got == want
+
+
 def vectors(spark, items):
     return spark.createDataFrame(items, "vec_id long, embedding array<float>, label int")
 

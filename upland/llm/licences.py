@@ -1,11 +1,15 @@
 """Licence scan by canonical digests, in DataFrame functions only.
 
-A text is brought to a canonical form: lower case, copyright lines dropped, punctuation and white
-space to single spaces, equivalent spellings to one; its SHA-256 is looked up among the digests of known
+A text is brought to a canonical form: lower case, lines with copyright notices dropped, punctuation and
+white space to single spaces, equivalent spellings to one; its SHA-256 is looked up among the digests of known
 licences. Looked up are the entire text of a document and each line of it, as a notice is a line. The
 known licences are a table of fixed size; it is broadcast, and no text is shuffled. Texts without any word
 that a known licence must have aren't brought to the form, as they can't match.
 
+A notice is a line that begins, after comment marks, with "copyright", "(c)", a copyright sign or "all rights
+reserved", unless the next word is one that licences themselves put there ("copyright holders", "(c) you must"):
+such a line is part of a wrapped sentence. A notice's second line isn't dropped.
+
 Defined cases: null and empty texts, and those without a letter or digit, match nothing; a document of
 one line that is a notice matches as document and as line; repeated rows and rows without doc_id match
 like others; an empty table gives an empty result; further columns are ignored.
@@ -22,6 +26,9 @@ from pyspark.sql import functions as F
 #: Spellings that count as equal.
 SPELLINGS = [("licenc", "licens"), ("sub licens", "sublicens"), ("organis", "organiz"), ("authoris", "authoriz"), ("non commercial", "noncommercial"), ("copyright holder s", "copyright holders")]
 COPYRIGHT = r"(^|\n)[ \t]*(?:copyright|\(c\)|©|all rights reserved)[^\n]*"
+#: What OP4_SQL drops; here NOTICE holds, which keeps wrapped sentences and drops commented notices (DuckDB's expressions can't look ahead).
+_BODY = "holders?|owners?|notices?|and|laws?|licen[cs]e[ds]?|line|disclaimers?|interests?|patents?|trademarks?|statements?|permissions?|treaty|doctrines|ownership|protection|on|or|of|in|is|are|as|also|like|if|each|more|then|those|resulting|including|the (?:library|software|program|work|package)"
+NOTICE = rf"(^|\n)[ \t#*/;%!<>-]*(?:copyright(?![a-z])(?![^a-z0-9©]*(?:{_BODY})\b)|\(c\)(?![ \t\r\n]*(?:you|under|the licen[cs]es|representations)\b)|©|all rights reserved)[^\n]*"
 MARKS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F©“”‘’–—…\x{00A0}]+"
 
 _MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
@@ -61,7 +68,7 @@ KNOWN = [
 def canonical(text: Column) -> Column:
     out = F.lower(text)
     drop = F.contains(out, F.lit("copyright")) | F.contains(out, F.lit("(c)")) | F.contains(out, F.lit("©")) | F.contains(out, F.lit("all rights reserved"))
-    out = F.when(drop, F.regexp_replace(out, COPYRIGHT, "\n")).otherwise(out)
+    out = F.when(drop, F.regexp_replace(out, NOTICE, "\n")).otherwise(out)
     out = F.regexp_replace(out, MARKS, " ")
     for a, b in SPELLINGS:
         out = F.replace(out, F.lit(a), F.lit(b))
