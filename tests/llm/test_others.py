@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 import upland.llm.ann as A
 import upland.llm.chat as C
 from upland.llm.common import components
-from upland.llm.licences import _MIT, licence_scan
+from upland.llm.licences import _MIT, KNOWN, licence_scan
 
 CONV = "conv_id long, turn long, role string, text string"
 
@@ -59,8 +59,6 @@ def test_licences(spark):
 def test_licences_in_usual_wrappings(spark):
     import textwrap
 
-    from upland.llm.licences import KNOWN
-
     whole = [(name, text) for name, text in KNOWN if len(text) > 200]
     rows, want = [], []
     for name, text in whole:
@@ -73,6 +71,29 @@ def test_licences_in_usual_wrappings(spark):
     assert got == want
 
 
+def test_licences_of_the_whole_table(spark):
+    from upland.llm.licences import all_known
+
+    bsd = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.
+3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
+    want = {1: {"BSD-3-Clause"}, 2: {"BSD-3-Clause"}, 3: {"ISC"}, 4: {"BSD-3-Clause"}, 5: {"AGPL-3.0-only"}, 6: {"MPL-2.0"}, 7: {"CC-BY-NC-SA-4.0"}}
+    texts = [bsd, "BSD 3-Clause License\n\nCopyright (c) 2020, A\nAll rights reserved.\n\n" + bsd, "ISC License\n\nCopyright 2020 A\n\n" + dict(KNOWN)["ISC"]]
+    texts += ["x = 1\n# SPDX-License-Identifier: BSD-3-Clause", "/* SPDX-License-Identifier: AGPL-3.0-only */\nint x;", "Licensed under MPL 2.0.", "Released under CC BY-NC-SA 4.0."]
+    rows = [(k, t, "s") for k, t in enumerate(texts, 1)]
+    for name, text in all_known():
+        rows.append((len(rows) + 1, text, "s"))
+        want[len(rows)] = {name}
+    got = {}
+    for r in licence_scan(docs(spark, rows)).collect():
+        got.setdefault(r.doc_id, set()).add(r.licence)
+    same = {"GPL-3.0-only": "GPL-3.0"}
+    assert {k: {same.get(n, n) for n in v} for k, v in want.items()} == {k: {same.get(n, n) for n in v} for k, v in got.items()}
+    assert {"Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0", "BSD-2-Clause", "Unlicense", "CC0-1.0", "CC-BY-SA-4.0"} <= {n for n, t in all_known() if len(t) > 1000}
+
+
 def vectors(spark, items):
     return spark.createDataFrame(items, "vec_id long, embedding array<float>, label int")
 

@@ -3,8 +3,10 @@
 A text is brought to a canonical form: lower case, lines with copyright notices dropped, punctuation and
 white space to single spaces, equivalent spellings to one; its SHA-256 is looked up among the digests of known
 licences. Looked up are the entire text of a document and each line of it, as a notice is a line. The
-known licences are a table of fixed size; it is broadcast, and no text is shuffled. Texts without any word
-that a known licence must have aren't brought to the form, as they can't match.
+known licences are a table of fixed size: KNOWN, the texts in texts/ (whole licences and standard headers,
+with the titles of TITLES and without), "SPDX-License-Identifier: " with every identifier of the SPDX list, and
+notices in the words of VERBS and NAMES. It is broadcast, and no text is shuffled. Texts without any word that
+a known licence must have aren't brought to the form, as they can't match.
 
 A notice is a line that begins, after comment marks, with "copyright", "(c)", a copyright sign or "all rights
 reserved", unless the next word is one that licences themselves put there ("copyright holders", "(c) you must"):
@@ -17,8 +19,10 @@ like others; an empty table gives an empty result; further columns are ignored.
 
 from __future__ import annotations
 
-from functools import reduce
+import hashlib
+from functools import cache, reduce
 from operator import or_
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,7 +45,7 @@ Permission is granted to anyone to use this software for any purpose, including
 1. The origin of this software must not be misrepresented; you must not claim that you wrote the original software. If you use this software in a product, an acknowledgment in the product documentation would be appreciated but is not required.
 2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software.
 3. This notice may not be removed or altered from any source distribution."""
-#: Fixed values: (licence, text) of whole licences and of the usual notices.
+#: Fixed values: (licence, text) of whole licences and of the usual notices; OP4_SQL looks up these.
 KNOWN = [
     ("MIT", _MIT),
     ("MIT", "MIT License\n" + _MIT),
@@ -63,6 +67,47 @@ KNOWN = [
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("CC0-1.0", "Released under CC0 1.0."),
 ]
+#: Titles that stand before the text of a licence, and the words of notices.
+TITLES = {
+    "MIT": ["MIT", "MIT License", "MIT License (MIT)", "The MIT License", "The MIT License (MIT)", "The MIT License (Expat)"],
+    "ISC": ["ISC", "ISC License", "ISC License (ISC)", "The ISC License", "The ISC License (ISC)"],
+    "0BSD": ["0BSD", "BSD Zero Clause License", "Zero-Clause BSD", "BSD Zero Clause License (0BSD)"],
+    "Zlib": ["zlib License", "The zlib License", "The zlib/libpng License"],
+    "BSD-2-Clause": ["BSD License", "The BSD License", "BSD 2-Clause License", "The BSD 2-Clause License", "The 2-Clause BSD License", "Simplified BSD License", "BSD 2-Clause \"Simplified\" License"],
+    "BSD-3-Clause": ["BSD License", "The BSD License", "BSD 3-Clause License", "The BSD 3-Clause License", "The 3-Clause BSD License", "New BSD License", "BSD 3-Clause \"New\" or \"Revised\" License"],
+    "Unlicense": ["Unlicense", "The Unlicense"],
+}
+VERBS = ["Licensed under", "Released under", "Distributed under", "This work is licensed under", "This project is licensed under"]
+NAMES = {
+    "MIT": ["the MIT License"],
+    "ISC": ["the ISC License"],
+    "Zlib": ["the zlib License"],
+    "Unlicense": ["the Unlicense"],
+    "BSD-2-Clause": ["the BSD 2-Clause License", "the 2-Clause BSD License", "the Simplified BSD License"],
+    "BSD-3-Clause": ["the BSD 3-Clause License", "the 3-Clause BSD License", "the New BSD License"],
+    "Apache-2.0": ["the Apache License, Version 2.0", "the Apache License 2.0", "the Apache 2.0 License"],
+    "MPL-2.0": ["the Mozilla Public License, version 2.0", "the Mozilla Public License 2.0", "MPL 2.0"],
+    "GPL-2.0": ["the GNU General Public License, version 2", "GPL 2", "GPLv2"],
+    "GPL-3.0": ["the GNU General Public License, version 3", "GPL 3", "GPLv3"],
+    "LGPL-2.1": ["the GNU Lesser General Public License, version 2.1", "LGPL 2.1", "LGPLv2.1"],
+    "LGPL-3.0": ["the GNU Lesser General Public License, version 3", "LGPL 3", "LGPLv3"],
+    "AGPL-3.0": ["the GNU Affero General Public License, version 3", "AGPL 3", "AGPLv3"],
+    "CC0-1.0": ["CC0 1.0", "CC0 1.0 Universal"],
+}
+_CREATIVE = {"BY": "Attribution", "BY-SA": "Attribution-ShareAlike", "BY-NC": "Attribution-NonCommercial", "BY-ND": "Attribution-NoDerivatives", "BY-NC-SA": "Attribution-NonCommercial-ShareAlike", "BY-NC-ND": "Attribution-NonCommercial-NoDerivatives"}
+NAMES |= {f"CC-{a}-4.0": [f"CC {a} 4.0", f"a Creative Commons {b} 4.0 International License", f"the Creative Commons {b} 4.0 International License"] for a, b in _CREATIVE.items()}
+
+
+@cache
+def all_known() -> list[tuple[str, str]]:
+    """(licence, text) of everything that is looked up; the driver reads it."""
+    folder = Path(__file__).parent / "texts"
+    whole = [(f.name.rsplit(".", 2)[0], f.read_text("utf-8")) for f in sorted(folder.glob("*.*.txt"))]
+    bodies = [("MIT", _MIT), *KNOWN[3:6], *whole]
+    titled = [(name, f"{title}\n{text}") for name, text in bodies for title in TITLES.get(name, [])]
+    identifiers = [(i, f"SPDX-License-Identifier: {i}") for i in (folder / "identifiers.txt").read_text("utf-8").split()]
+    notices = [(name, f"{verb} {words}.") for name, found in NAMES.items() for words in found for verb in VERBS]
+    return KNOWN + whole + titled + identifiers + notices
 
 
 def canonical(text: Column) -> Column:
@@ -76,28 +121,41 @@ def canonical(text: Column) -> Column:
 
 
 def known_licences(spark: SparkSession, known: list[tuple[str, str]]) -> DataFrame:
-    """licence, plain, digest, each digest once."""
+    """licence, plain, each plain once."""
     texts = spark.createDataFrame(known, "licence string, text string").select("licence", canonical(F.col("text")).alias("plain"))
-    return texts.groupBy("plain").agg(F.min("licence").alias("licence")).withColumn("digest", F.sha2("plain", 256))
+    return texts.groupBy("plain").agg(F.min("licence").alias("licence"))
 
 
 def key_words(texts: list[str]) -> list[str]:
-    """A word of each canonical text, its longest that no equivalent spelling touches. Canonical words stand in the
-    text itself, as marks only part words, so a text without any of these words is none of the known ones."""
+    """Words such that each canonical text has one of them, few and long ones. Canonical words stand in the text
+    itself, as marks only part words, so a text without any of these words is none of the known ones. Of words that
+    equivalent spellings touch, only the common part of licence and license is used."""
     touched = [b.split()[-1] for _, b in SPELLINGS]
-    found = set()
+    found, left = [], []
     for text in texts:
-        words = [w for w in text.split() if not any(t in w or w in t for t in touched)]
-        if not words:
-            return []
-        found.add(max(words, key=lambda w: (len(w), w)))
+        if "licens" not in text:
+            words = {w for w in text.split() if not any(t in w or w in t for t in touched)}
+            if not words:
+                return []
+            left.append(words)
+        elif not found:
+            found.append("licen")
+    while left:
+        many: dict[str, int] = {}
+        for w in (w for words in left for w in words):
+            many[w] = many.get(w, 0) + 1
+        best = max(many, key=lambda w: (min(len(w), 10), many[w], w))
+        found.append(best)
+        left = [words for words in left if best not in words]
     return sorted(found)
 
 
-def licence_scan(docs: DataFrame, known: list[tuple[str, str]] = KNOWN) -> DataFrame:
+def licence_scan(docs: DataFrame, known: list[tuple[str, str]] | None = None) -> DataFrame:
     """doc_id, scope (document or line), line (from 0, null for the document), licence, digest of all matches."""
-    table = known_licences(docs.sparkSession, known)
-    words = key_words([r["plain"] for r in table.select("plain").collect()])  # the list of known licences has a fixed size
+    spark = docs.sparkSession
+    rows = known_licences(spark, all_known() if known is None else known).collect()  # a list of fixed size
+    words = key_words([r["plain"] for r in rows])
+    table = spark.createDataFrame([(r["licence"], hashlib.sha256(r["plain"].encode()).hexdigest()) for r in rows], "licence string, digest string")
 
     def likely(frame: DataFrame) -> DataFrame:
         hits = [F.contains(F.lower("text"), F.lit(w)) for w in words]
@@ -108,4 +166,4 @@ def licence_scan(docs: DataFrame, known: list[tuple[str, str]] = KNOWN) -> DataF
     lines = likely(docs.select("doc_id", F.lit("line").alias("scope"), F.posexplode(F.split("text", "\n", -1)).alias("line", "text")))
     plain = units.unionByName(lines).withColumn("plain", canonical(F.col("text"))).where("plain <> ''")
     found = plain.select("doc_id", "scope", "line", F.sha2("plain", 256).alias("digest"))
-    return found.join(F.broadcast(table.select("licence", "digest")), "digest").select("doc_id", "scope", "line", "licence", "digest")
+    return found.join(F.broadcast(table), "digest").select("doc_id", "scope", "line", "licence", "digest")
