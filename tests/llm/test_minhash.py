@@ -73,6 +73,15 @@ def test_pipeline_form_keeps_rows(spark):
     assert sorted(i for i in ids if i is not None) == sorted(kept) and ids.count(None) == 2 and got.columns == d.columns
 
 
+def test_pipeline_form_keeps_other_texts_of_a_doc_id(spark):
+    rng = random.Random(8)
+    a, b, c, d = (sentence(rng, 80) for _ in range(4))
+    rows = [(1, a, "s"), (2, a, "s"), (2, b, "s"), (2, b, "s"), (2, None, "s"), (3, c, "s"), (3, d, "s"), (3, c + " x", "s"), (4, d, "s"), (5, b, "s")]
+    got = [(r.doc_id, r.text) for r in M.one_of_each(clashing(docs(spark, rows)), 80).collect()]
+    texts = [t.removesuffix(" x") for _, t in got if t]
+    assert sorted(texts) == sorted([a, b, c, d]) and (1, a) in got and got.count((2, None)) == 1 and len(got) == 5
+
+
 def test_empty(spark):
     assert M.near_duplicates(docs(spark, [])).count() == 0 and M.one_of_each(docs(spark, [])).count() == 0
     assert M.near_duplicates(docs(spark, [(1, None, None), (2, "", "s"), (3, " ", "s")])).where("kept").count() == 3

@@ -206,9 +206,21 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, percent: int = 80) -> DataFrame:
-    """The rows of docs, unchanged, one for each component of near-duplicates and for each doc_id; those without doc_id stay."""
-    gone = near_duplicates(docs, percent).where("NOT kept").select("doc_id").distinct()
-    known = docs.where("doc_id IS NOT NULL").hint("merge").join(gone, "doc_id", "left_anti")
-    first = F.row_number().over(Window.partitionBy(F.col("row.doc_id")).orderBy(F.xxhash64("row.text")))
-    known = known.select(F.struct("*").alias("row")).withColumn("nth", first).where("nth = 1").select("row.*")
+    """The rows of docs, unchanged, one for each component of near-duplicates; those without doc_id stay.
+
+    Rows that share a doc_id are copies if their texts are equal and else documents of their own: the text with the
+    least hash goes by its doc_id, each other by a number of 2^62 or more, so that a component keeps its least doc_id."""
+    known = docs.where("doc_id IS NOT NULL").select(F.struct("*").alias("row"))
+    tag = F.xxhash64("row.text")
+    shared = known.groupBy(F.col("row.doc_id").alias("shared")).agg(F.min(tag).alias("first"), F.max(tag).alias("last")).where("first <> last")
+    shared = materialize(shared.select("shared", "first"))
+    if shared.isEmpty():
+        known = known.withColumn("node", F.col("row.doc_id"))
+    else:
+        own = F.xxhash64("row.doc_id", "row.text").bitwiseAND(F.lit((1 << 62) - 1)).bitwiseOR(F.lit(1 << 62))
+        node = F.when(F.col("first") != tag, own).otherwise(F.col("row.doc_id"))
+        known = materialize(known.hint("merge").join(shared, F.col("row.doc_id") == F.col("shared"), "left").select("row", node.alias("node")))
+    gone = near_duplicates(known.select(F.col("node").alias("doc_id"), F.col("row.text").alias("text")), percent).where("NOT kept").select(F.col("doc_id").alias("gone")).distinct()
+    known = known.hint("merge").join(gone, F.col("node") == F.col("gone"), "left_anti")
+    known = known.withColumn("nth", F.row_number().over(Window.partitionBy("node").orderBy(F.xxhash64("row.text")))).where("nth = 1").select("row.*")
     return known.select(*docs.columns).unionByName(docs.where("doc_id IS NULL"))
