@@ -159,3 +159,14 @@ def test_digests_of_the_query(spark, tmp_path):
         ids = lib.encode(t or "", add_special_tokens=False).ids
         want.append((i, len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(), hashlib.sha256((t or "").encode()).hexdigest()))
     assert sorted(map(tuple, QUERIES["op9_bpe"](spark, str(tmp_path)).collect()), key=repr) == sorted(want, key=repr)
+
+
+def test_rules_of_production_go_on_until_no_pair_is_frequent():
+    from upland.llm.repair import LEAST, compress
+
+    passage = np.arange(64, dtype=np.uint16)
+    now, _, rules = compress(np.tile(np.append(passage, 100), 40).astype(np.uint16), np.arange(64, 40 * 65, 65), 200)
+    lengths = np.ones(200 + len(rules), np.int64)
+    for k, (a, b) in enumerate(rules.tolist()):
+        lengths[200 + k] = lengths[a] + lengths[b]
+    assert LEAST == 24 and lengths.max() >= 64 and len(now) == 40 and lengths[now].sum() == 40 * 65

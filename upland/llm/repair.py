@@ -26,6 +26,7 @@ from __future__ import annotations
 import struct
 import zlib
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -39,8 +40,8 @@ from .tokens import library, shared_encoder, vocabulary
 
 END = 1
 SHARD_TOKENS = 2_000_000
-#: A pair must be found so often in a shard to become a rule; rounds of replacing.
-LEAST, ROUNDS = 24, 4
+#: A pair must be found so often in a shard to become a rule; rounds of replacing aren't limited.
+LEAST, ROUNDS = 24, None
 TOP = 1 << 16
 TABLE = 1 << 23
 HEAD = struct.Struct("<4s5I")
@@ -77,14 +78,15 @@ def _find(now: np.ndarray, chosen: np.ndarray) -> np.ndarray:
     return table[row[now[:-1]] + col[now[1:]]]
 
 
-def compress(symbols: np.ndarray, ends: np.ndarray, base: int, least: int = LEAST, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(symbols u16, first symbol of each document, rules as rows of two) for ids below base; ends: each document's last id."""
+def compress(symbols: np.ndarray, ends: np.ndarray, base: int, least: int = LEAST, rounds: int | None = ROUNDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(symbols u16, first symbol of each document, rules as rows of two) for ids below base; ends: each document's last id.
+    Without rounds, it ends when no pair is found often enough or the ids are used up."""
     now = symbols.astype(np.uint32)
     last = np.zeros(len(now), bool)
     last[ends] = True
     rules: list[np.ndarray] = []
     used = base
-    for _ in range(rounds):
+    for _ in count() if rounds is None else range(rounds):
         if len(now) < 2 or used >= TOP:
             break
         open_ = ~last[:-1]
