@@ -1,11 +1,12 @@
 import hashlib
 
+import numpy as np
 import pytest
 from helpers import clashing, corpus, docs, words
 
 import upland.llm.repeats as R
 from upland.llm.suffix_array import repeated_passages, without_repeats
-from upland.llm.suffix_tree import without_repeated_windows
+from upland.llm.suffix_tree import build, without_repeated_windows
 
 
 def removed(rows):
@@ -37,17 +38,38 @@ def want_rows(rows):
     return sorted(out, key=repr)
 
 
-@pytest.mark.parametrize("limit", [20_000, 1])
+def test_subtree_nodes():
+    words = np.array([1, 2, 3, 9, 1, 2, 4, 9, 1, 2, 3, 9, 7, 7, 7, 7])
+    at, doc = np.array([0, 4, 8, 12]), np.array([5, 6, 7, 8])
+    tree = build(words, at, np.zeros(4, np.int64), doc, 4)
+    found = {(int(d), tuple(sorted(at[tree.order[a:b]].tolist())), int(low)) for d, a, b, low in zip(tree.depth, tree.first, tree.last, tree.least, strict=True)}
+    # the root, the common beginning 1 2, and the whole suffix that two documents share
+    assert found == {(0, (0, 4, 8, 12), 5), (2, (0, 4, 8), 5), (4, (0, 8), 5)}
+    assert all(tree.depth[p] < d for p, d in zip(tree.parent, tree.depth, strict=True) if p >= 0)
+
+
+@pytest.mark.parametrize("limit", [500, 1, 3])
 def test_tree_matches_brute_force(spark, monkeypatch, limit):
-    """With limit 1, all windows go the way of anchors with too many contexts."""
-    monkeypatch.setattr(R, "ANCHOR_CONTEXTS", limit)
+    """With small limits, windows are dealt by growing prefixes."""
+    monkeypatch.setattr(R, "GROUP", limit)
     rows = corpus(long_words=3000)
     got = without_repeated_windows(clashing(docs(spark, rows)))
     assert sorted(map(tuple, got.collect()), key=repr) == want_rows(rows)
 
 
-def test_array_spans_match_brute_force(spark, monkeypatch):
+def test_common_passage_with_many_surroundings(spark, monkeypatch):
+    """Groups that stay large up to the prefix of a whole window."""
+    monkeypatch.setattr(R, "GROUP", 4)
+    passage = " ".join(f"p{k}" for k in range(90))
+    rows = [(i, f"{' '.join(f'a{i}x{k}' for k in range(60))} {passage} {' '.join(f'b{i % 3}x{k}' for k in range(60))}", "s") for i in range(12)]
+    got = without_repeated_windows(docs(spark, rows))
+    assert sorted(map(tuple, got.collect()), key=repr) == want_rows(rows)
+
+
+@pytest.mark.parametrize("limit", [500, 2])
+def test_array_spans_match_brute_force(spark, monkeypatch, limit):
     monkeypatch.setattr(R, "CHUNK", 5)
+    monkeypatch.setattr(R, "GROUP", limit)
     rows = corpus(long_words=3000)
     got = {}
     for r in repeated_passages(clashing(docs(spark, rows))).collect():

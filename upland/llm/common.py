@@ -93,6 +93,23 @@ def plain(docs: DataFrame, *names: str) -> DataFrame:
     return docs.select(F.col("doc_id"), F.col("text").cast("binary").alias("text"), *names)
 
 
+#: Keys that join_counted broadcasts, at most.
+HEAVY = 10_000
+
+
+def join_counted(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+    """left joined with right, which holds a key once and in n how many rows of left have it.
+
+    Keys with more than the HEAVY-th part of all those rows are HEAVY at most: they are broadcast, so their
+    rows stay where they are; the others are joined by shuffling, where no key holds more than that part.
+    how is inner or left; left and right are read twice and should be tables.
+    """
+    total = right.agg(F.sum("n")).first()[0] or 0
+    heavy = F.broadcast(right.where(F.col("n") > total // HEAVY))
+    rest = left.join(heavy.select(*on), on, "left_anti").join(right.where(F.col("n") <= total // HEAVY).hint("merge"), on, how)
+    return left.join(heavy, on).unionByName(rest)
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node long, label long): the least node reachable, for each node of the undirected edges.
 

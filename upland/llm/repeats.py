@@ -1,4 +1,4 @@
-"""What the two substring operators share: candidate contexts, and the way from repeated windows to spans.
+"""What the two substring operators share: candidate contexts, their partition, and the way back to spans.
 
 A window is WINDOW consecutive words of one document. It is repeated, for a document, if its words also
 start in a document with a smaller doc_id. The work is split by content:
@@ -9,23 +9,26 @@ start in a document with a smaller doc_id. The work is split by content:
 2. Windows with the same anchor place form one context: the words from the first window's start to the
    last one's end. Equal contexts are one row with the least and the greatest doc_id, summed before
    they are shuffled, so a passage that a third of all documents share is one row.
-3. Where an anchor has several different contexts, the words of each are read from one document that
-   has it and go to tasks by anchor; a finder (suffix arrays or suffix trees) gives each window the
-   least doc_id among equal windows. Should an anchor have more than ANCHOR_CONTEXTS different
-   contexts, they aren't gathered: their windows are grouped by their whole content instead.
-4. Runs of windows go back to the occurrences of their context and become spans of words.
+3. The words of each context are read from one document that has it and go to tasks by anchor. An anchor
+   with more than GROUP different contexts doesn't go as a whole: its windows are dealt by their own first
+   words instead, by prefixes that grow through PREFIXES until a group has GROUP windows at most. A
+   prefix that lies in one document only is dropped, and one of WINDOW words is a repeat as it is.
+4. In each group a finder (suffix array or suffix tree) gives every window the least doc_id among
+   equal windows. Runs of windows go back to the occurrences of their context and become spans of words.
 
-Words are compared by 32-bit hashes, 50 at a time: two windows that differ in one word are taken for
-equal with probability 2^-32.
+Finders compare the words themselves. Equal contexts and long prefixes are known by 128-bit digests of
+their words. Joins by anchor or context deal out keys that many rows have (join_counted).
 
 Defined cases: null and empty texts and texts of fewer than WINDOW words have no spans; repeats within
-one document and between rows that share a doc_id don't count; rows without doc_id are left alone; an
-empty table gives an empty result; further columns are ignored.
+one document and between rows that share a doc_id don't count; rows without doc_id are left alone; very
+long texts are read whole, a batch of few rows at a time; equal windows of several documents go by the
+least doc_id; an empty table gives an empty result; further columns are ignored.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -33,24 +36,28 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import column, hashes, materialize, mix, plain, small_batches
+from .common import column, hashes, join_counted, materialize, mix, plain, small_batches
 
 WINDOW, GRAM = 50, 12
 SPAN = WINDOW - GRAM + 1
-#: Different contexts of one anchor that one task gathers; contexts that a finder gets at once, about.
-ANCHOR_CONTEXTS, CHUNK = 20_000, 20_000
+#: Contexts or windows of a group at most; contexts that a finder gets at once, about.
+GROUP, CHUNK = 500, 5_000
+#: Words of the prefixes that deal out the windows of anchors with too many contexts.
+PREFIXES = (20, 35, WINDOW)
 PLACE = np.uint64(26)
 STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
 class Contexts:
-    """Contexts, in the order of their anchors' hashes; words are one array with a start for each."""
+    """Contexts, in the order of their groups; words are numbered, equal numbers for equal words, in one array with a start for each."""
 
-    def __init__(self, anchor: np.ndarray, lead: np.ndarray, words: list[bytes], low: np.ndarray):
-        self.anchor, self.lead, self.low = anchor, lead, low
-        self.size = np.fromiter(map(len, words), np.int64, len(words)) // 4
+    def __init__(self, group: np.ndarray, lead: np.ndarray, words: list[bytes], low: np.ndarray):
+        self.group, self.lead, self.low = group, lead, low
+        split = [x.split(b" ") for x in words]
+        self.size = np.fromiter(map(len, split), np.int64, len(split))
         self.start = np.cumsum(self.size) - self.size
-        self.words = np.frombuffer(b"".join(words), np.uint32)
+        number: dict[bytes, int] = {}
+        self.words = np.fromiter((number.setdefault(w, len(number)) for x in split for w in x), np.int64, int(self.size.sum()))
         self.windows = self.size - WINDOW + 1
 
 
@@ -113,53 +120,100 @@ def occurrences(docs: DataFrame) -> DataFrame:
     """anchor, digest, lead, windows, doc_id, tag, at: the contexts of anchors that several documents have."""
     spread = materialize(_spread_anchors(docs))
     each = spread.select("doc_id", F.explode("anchors").alias("anchor"))
-    shared = each.groupBy("anchor").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").select("anchor")
-    wanted = each.join(shared, "anchor").groupBy("doc_id").agg(F.collect_set("anchor").alias("anchors"))
+    shared = each.groupBy("anchor").agg(F.count("*").alias("n"), F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").select("anchor", "n")
+    wanted = join_counted(each, materialize(shared), ["anchor"]).groupBy("doc_id").agg(F.collect_set("anchor").alias("anchors"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows: list[tuple] = []
             for doc, tag, text, keep in zip(*(column(b, x) for x in ("doc_id", "tag", "text", "anchors")), strict=True):
-                full = hashes((text or b"").split())
-                gram = grams(full)
+                words = (text or b"").split()
+                gram = grams(hashes(words))
                 place = anchors(gram)
                 if not len(place):
                     continue
-                short = (full >> np.uint64(32)).astype("<u4").tobytes()
                 first = np.flatnonzero(np.append(True, place[1:] != place[:-1]))
                 last = np.append(first[1:], len(place)) - 1
                 at = place[first]
                 own = gram[at].view(np.int64)
                 for i in np.flatnonzero(np.isin(own, np.array(keep, np.int64))).tolist():
                     lead = int(at[i] - first[i])
-                    digest = xxhash.xxh3_64_intdigest(short[4 * first[i] : 4 * (last[i] + WINDOW)], lead) - (1 << 63)
+                    digest = xxhash.xxh3_128_digest(b" ".join(words[first[i] : last[i] + WINDOW]), lead)
                     rows.append((int(own[i]), digest, lead, int(last[i] - first[i] + 1), doc, tag, int(first[i])))
             cols = list(zip(*rows, strict=True)) or [[]] * 7
-            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32())
+            kinds = (pa.int64(), pa.binary(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32())
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], ["anchor", "digest", "lead", "windows", "doc_id", "tag", "at"])
 
     # shuffled at any size: how many texts hold repeats isn't known
     found = docs.hint("merge").join(wanted, "doc_id").select("doc_id", "tag", "text", "anchors")
-    return materialize(found.mapInArrow(work, "anchor long, digest long, lead int, windows int, doc_id long, tag long, at int"))
+    return materialize(found.mapInArrow(work, "anchor long, digest binary, lead int, windows int, doc_id long, tag long, at int"))
 
 
-def context_words(docs: DataFrame, kinds: DataFrame) -> DataFrame:
-    """kinds (anchor, digest, low, high, lead, windows, many, doc_id, tag, at) with their words, read from the one document that each names."""
-    fields = ("anchor", "digest", "low", "high", "lead", "many", "at", "windows")
-    asked = kinds.groupBy("doc_id", "tag").agg(F.collect_list(F.struct(*fields)).alias("asked"))
+#: A context or window whose words are wanted: it has `windows` windows, starting with window w of its context, in n occurrences.
+ASKED = ("group", "anchor", "digest", "w", "lead", "low", "high", "n", "at", "windows")
+
+
+def _read(docs: DataFrame, asked: DataFrame, rows_of: Callable[[list[bytes], dict], list[tuple]], shape: dict[str, pa.DataType]) -> DataFrame:
+    """rows_of(words of the document, row asked for) of all rows of asked (ASKED, doc_id, tag), as a table."""
+    wanted = asked.groupBy("doc_id", "tag").agg(F.collect_list(F.struct(*ASKED)).alias("asked"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows = []
-            for text, wanted in zip(column(b, "text"), column(b, "asked"), strict=True):
-                short = (hashes((text or b"").split()) >> np.uint64(32)).astype("<u4").tobytes()
-                rows += [(*(x[k] for k in fields[:6]), short[4 * x["at"] : 4 * (x["at"] + x["windows"] + WINDOW - 1)]) for x in wanted]
-            cols = list(zip(*rows, strict=True)) or [[]] * 7
-            types = (pa.int64(),) * 4 + (pa.int32(), pa.bool_(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], [*fields[:6], "words"])
-
-    found = docs.hint("merge").join(asked, ["doc_id", "tag"]).select("text", "asked")
-    return materialize(found.mapInArrow(work, "anchor long, digest long, low long, high long, lead int, many boolean, words binary"))
+            rows: list[tuple] = []
+            for doc, tag, text, asked in zip(*(column(b, x) for x in ("doc_id", "tag", "text", "asked")), strict=True):
+                words = (text or b"").split()
+                for x in asked:
+                    rows += rows_of(words, x | {"doc_id": doc, "tag": tag})
+            cols = list(zip(*rows, strict=True)) or [[]] * len(shape)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, shape.values(), strict=True)], list(shape))
+
+    # one row of a text is enough, should there be several
+    texts = docs.hint("merge").join(wanted, ["doc_id", "tag"]).select("doc_id", "tag", "text", "asked").dropDuplicates(["doc_id", "tag"])
+    names = {pa.int64(): "long", pa.int32(): "int", pa.binary(): "binary"}
+    return materialize(texts.mapInArrow(work, ", ".join(f"{x} {names[t]}" for x, t in shape.items())))
+
+
+_LONG, _INT, _BYTES = pa.int64(), pa.int32(), pa.binary()
+_WORDED = {"group": _LONG, "anchor": _LONG, "digest": _BYTES, "w": _INT, "lead": _INT, "low": _LONG, "high": _LONG, "n": _LONG, "words": _BYTES}
+_PREFIXED = {"anchor": _LONG, "digest": _BYTES, "low": _LONG, "high": _LONG, "n": _LONG, "doc_id": _LONG, "tag": _LONG, "w": _INT, "at": _INT} | {f"p{i}": _BYTES for i in range(len(PREFIXES))}
+
+
+def _worded(words: list[bytes], x: dict) -> list[tuple]:
+    return [(*(x[k] for k in ASKED[:8]), b" ".join(words[x["at"] : x["at"] + x["windows"] + WINDOW - 1]))]
+
+
+def _prefixed(words: list[bytes], x: dict) -> list[tuple]:
+    """The windows of a context, with the digests of their prefixes."""
+    own = tuple(x[k] for k in ("anchor", "digest", "low", "high", "n", "doc_id", "tag"))
+    at = range(x["at"], x["at"] + x["windows"])
+    return [(*own, w, i, *(xxhash.xxh3_128_digest(b" ".join(words[i : i + p])) for p in PREFIXES)) for w, i in enumerate(at)]
+
+
+def dealt(docs: DataFrame, kinds: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
+    """What finders get (ASKED, doc_id, tag), in groups of at most GROUP rows, and the runs (anchor, digest, n, w0, w1, least)
+    that are known by the longest prefix; kinds: anchor, digest, lead, windows, low, high, n, doc_id, tag, at."""
+    several = kinds.groupBy("anchor").agg(F.count("*").alias("n")).where(F.col("n") > GROUP)
+    several = materialize(several)
+    whole = kinds.withColumn("group", F.col("anchor")).withColumn("w", F.lit(0))
+    if several.isEmpty():
+        return whole.select(*ASKED, "doc_id", "tag"), []
+    marked = join_counted(whole.withColumnRenamed("n", "times"), several.withColumn("crowded", F.lit(True)), ["anchor"], "left").drop("n").withColumnRenamed("times", "n")
+    marked = materialize(marked)
+    parts = [marked.where("crowded IS NULL").select(*ASKED, "doc_id", "tag")]
+    rest = _read(docs, marked.where("crowded").select(*ASKED, "doc_id", "tag"), _prefixed, _PREFIXED)
+    known: list[DataFrame] = []
+    for i, length in enumerate(PREFIXES):
+        p = f"p{i}"
+        groups = rest.groupBy(p).agg(F.count("*").alias("n"), F.min("low").alias("least"), F.max("high").alias("most")).where("least < most")
+        joined = join_counted(rest.withColumnRenamed("n", "times"), materialize(groups), [p]).withColumnRenamed("n", "size").withColumnRenamed("times", "n")
+        if length == WINDOW:
+            known.append(joined.where("least < high").select("anchor", "digest", "n", F.col("w").alias("w0"), F.col("w").alias("w1"), "least"))
+            break
+        joined = materialize(joined)
+        own = joined.where(F.col("size") <= GROUP).withColumn("group", F.xxhash64(p)).withColumn("lead", F.lit(0)).withColumn("windows", F.lit(1))
+        parts.append(own.select(*ASKED, "doc_id", "tag"))
+        rest = joined.where(F.col("size") > GROUP).select(*rest.columns)
+    return reduce(DataFrame.unionByName, parts), known
 
 
 def _runs(c: Contexts, high: np.ndarray, least: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -173,27 +227,29 @@ def _runs(c: Contexts, high: np.ndarray, least: np.ndarray) -> tuple[np.ndarray,
     return owner[first], place[first], place[last], least[first]
 
 
+def _answer(rows: pa.Table, find: Finder) -> pa.RecordBatch:
+    """Runs of the windows of whole groups."""
+    rows = rows.sort_by("group")
+    get = lambda name: rows.column(name).to_numpy()
+    c = Contexts(get("group"), get("lead").astype(np.int64), rows.column("words").to_pylist(), get("low"))
+    owner, w0, w1, least = _runs(c, get("high"), find(c))
+    digest = rows.column("digest").combine_chunks().take(pa.array(owner))
+    base = get("w")[owner]
+    cols = [pa.array(get("anchor")[owner]), digest, pa.array(get("n")[owner]), pa.array((base + w0).astype(np.int32)), pa.array((base + w1).astype(np.int32)), pa.array(least)]
+    return pa.RecordBatch.from_arrays(cols, ["anchor", "digest", "n", "w0", "w1", "least"])
+
+
 def repeated_spans(docs: DataFrame, find: Finder) -> DataFrame:
     """doc_id, tag (of the text), start, stop (words), first_doc: spans of repeated windows; those of one document may overlap."""
     small_batches(docs.sparkSession)
     docs = tagged(docs).where("doc_id IS NOT NULL")
     found = occurrences(docs)
-    one = materialize(found.groupBy("anchor", "digest").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.min(F.struct("doc_id", "tag", "at")).alias("in"), F.min("lead").alias("lead"), F.min("windows").alias("windows")))
-    number = one.groupBy("anchor").agg(F.count("*").alias("n"))
-    kinds = one.join(number, "anchor")
-    # equal contexts need no comparison: all their windows have the same least document
-    alike = kinds.where("n = 1 AND low < high").select("anchor", "digest", F.lit(0).alias("w0"), (F.col("windows") - 1).alias("w1"), F.col("low").alias("least"))
-    several = kinds.where("n > 1").select("anchor", "digest", "low", "high", "lead", "windows", (F.col("n") > ANCHOR_CONTEXTS).alias("many"), "in.doc_id", "in.tag", "in.at")
-    worded = context_words(docs, several)
-    shape = "anchor long, digest long, w0 int, w1 int, least long"
-
-    def answer(rows: pa.Table) -> pa.RecordBatch:
-        rows = rows.sort_by([("anchor", "ascending"), ("digest", "ascending")])
-        anchor, high = rows.column("anchor").to_numpy(), rows.column("high").to_numpy()
-        c = Contexts(anchor, rows.column("lead").to_numpy().astype(np.int64), rows.column("words").to_pylist(), rows.column("low").to_numpy())
-        owner, w0, w1, least = _runs(c, high, find(c))
-        cols = (anchor[owner], rows.column("digest").to_numpy()[owner], w0.astype(np.int32), w1.astype(np.int32), least)
-        return pa.RecordBatch.from_arrays([pa.array(x) for x in cols], ["anchor", "digest", "w0", "w1", "least"])
+    kinds = found.groupBy("anchor", "digest").agg(
+        F.count("*").alias("n"), F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.min(F.struct("doc_id", "tag", "at")).alias("in"), F.min("lead").alias("lead"), F.min("windows").alias("windows")
+    )
+    kinds = materialize(kinds.select("anchor", "digest", "n", "low", "high", "lead", "windows", "in.doc_id", "in.tag", "in.at"))
+    asked, known = dealt(docs, kinds)
+    worded = _read(docs, asked, _worded, _WORDED)
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -205,32 +261,20 @@ def repeated_spans(docs: DataFrame, find: Finder) -> DataFrame:
             n += b.num_rows
             if n >= CHUNK:
                 rows = pa.Table.from_batches(held)
-                anchor = rows.column("anchor").to_numpy()
-                cut = int(np.searchsorted(anchor, anchor[-1], "left"))  # the last anchor may go on
+                groups = rows.column("group").to_numpy()
+                cut = int(np.searchsorted(groups, groups[-1], "left"))  # the last group may go on
                 if cut:
-                    yield answer(rows.slice(0, cut))
+                    yield _answer(rows.slice(0, cut), find)
                     held, n = rows.slice(cut).to_batches(), len(rows) - cut
         if held:
-            yield answer(pa.Table.from_batches(held))
-
-    def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            rows = []
-            for anchor, digest, low, high, words in zip(*(column(b, x) for x in ("anchor", "digest", "low", "high", "words")), strict=True):
-                for w in range(len(words) // 4 - WINDOW + 1):
-                    whole = xxhash.xxh3_128_intdigest(words[4 * w : 4 * (w + WINDOW)])
-                    rows.append((anchor, digest, low, high, w, (whole >> 64) - (1 << 63), (whole & ((1 << 64) - 1)) - (1 << 63)))
-            cols = list(zip(*rows, strict=True)) or [[]] * 7
-            names = ["anchor", "digest", "low", "high", "w", "p", "q"]
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int32() if x == "w" else pa.int64()) for c, x in zip(cols, names, strict=True)], names)
-
-    few = worded.where("NOT many").select("anchor", "digest", "low", "high", "lead", "words")
-    by_anchor = few.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(gather, shape)
-    single = worded.where("many").select("anchor", "digest", "low", "high", "words").mapInArrow(explode, "anchor long, digest long, low long, high long, w int, p long, q long")
-    by_window = single.join(single.groupBy("p", "q").agg(F.min("low").alias("least")), ["p", "q"]).where("least < high").select("anchor", "digest", F.col("w").alias("w0"), F.col("w").alias("w1"), "least")
-    runs = alike.union(by_anchor).union(by_window)
-    back = found.select("anchor", "digest", "doc_id", "tag", "at").join(runs, ["anchor", "digest"]).where("least < doc_id")
-    return materialize(back.select("doc_id", "tag", (F.col("at") + F.col("w0")).alias("start"), (F.col("at") + F.col("w1") + WINDOW).alias("stop"), F.col("least").alias("first_doc")))
+            yield _answer(pa.Table.from_batches(held), find)
+
+    runs = worded.repartition("group").sortWithinPartitions("group").mapInArrow(gather, "anchor long, digest binary, n long, w0 int, w1 int, least long")
+    runs = reduce(DataFrame.unionByName, known, runs)
+    of_context = runs.groupBy("anchor", "digest").agg(F.first("n").alias("n"), F.collect_list(F.struct("w0", "w1", "least")).alias("runs"))
+    back = join_counted(found.select("anchor", "digest", "doc_id", "tag", "at"), materialize(of_context), ["anchor", "digest"])
+    back = back.select("doc_id", "tag", "at", F.explode("runs").alias("run")).where("run.least < doc_id")
+    return materialize(back.select("doc_id", "tag", (F.col("at") + F.col("run.w0")).alias("start"), (F.col("at") + F.col("run.w1") + WINDOW).alias("stop"), F.col("run.least").alias("first_doc")))
 
 
 def covered(n: int, spans: list) -> np.ndarray:

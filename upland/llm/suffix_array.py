@@ -1,11 +1,12 @@
 """Sparse suffix arrays: repeated passages of at least 50 words.
 
-Only the suffixes that start at anchors (minimiser positions, see repeats.py) are kept. They are sorted
-by the words from the anchor on, and neighbours are compared: lcp is the number of words that a suffix
-shares with the one before. The same is done with the words before the anchors, read backwards, so a
-match extends to the left. Suffixes whose neighbours all share enough words are one class; a window
+Only the suffixes that start at anchors (minimiser positions, see repeats.py) are kept. Each group of them
+is sorted by the words from the anchor on, and neighbours are compared: lcp is the number of words that a
+suffix shares with the one before. The same is done with the words before the anchors, read backwards, so
+a match extends to the left. Suffixes whose neighbours all share enough words are one class; a window
 that begins d words before its anchor is equal in two places just if they are of one class for 50 - d
-words to the right and of one class for d words to the left. No pairs are formed.
+words to the right and of one class for d words to the left. No pairs are formed. Where an anchor has too
+many surroundings for a group, the suffixes kept are those of its windows' starts, grouped by longer prefixes.
 """
 
 from __future__ import annotations
@@ -23,19 +24,19 @@ from .repeats import SPAN, WINDOW, Contexts, covered, repeated_spans, with_spans
 
 def _sorted_lcp(c: Contexts, width: int, step: int) -> tuple[np.ndarray, np.ndarray]:
     """Order of the suffixes by `width` words from the anchor on (step 1) or before it backwards (step -1),
-    within equal anchors, and each one's lcp with the one before it in that order."""
+    within each group, and each one's lcp with the one before it in that order."""
     anchor_at = c.start + c.lead
     have = c.size - c.lead if step > 0 else c.lead
     at = anchor_at[:, None] + (np.arange(width) if step > 0 else -1 - np.arange(width))
     beyond = np.arange(width) >= have[:, None]
-    words = c.words[np.clip(at, 0, max(len(c.words) - 1, 0))].astype(np.int64)
+    words = c.words[np.clip(at, 0, max(len(c.words) - 1, 0))]
     # behind its end, a suffix equals no other: each has a number of its own there
     words[beyond] = -1 - np.broadcast_to(np.arange(len(have))[:, None], words.shape)[beyond]
-    order = np.lexsort([*words.T[::-1], c.anchor])
+    order = np.lexsort([*words.T[::-1], c.group])
     rows = words[order]
     same = rows[1:] == rows[:-1]
     lcp = np.where(same.all(axis=1), width, np.argmin(same, axis=1))
-    lcp[c.anchor[order][1:] != c.anchor[order][:-1]] = -1
+    lcp[c.group[order][1:] != c.group[order][:-1]] = -1
     return order, np.append(-1, lcp) if len(order) else lcp
 
 
@@ -63,7 +64,8 @@ def find(c: Contexts) -> np.ndarray:
 
 def repeated_passages(docs: DataFrame) -> DataFrame:
     """doc_id, start_word, stop_word, n_words, first_doc_id: every maximal run of words that lie in windows
-    of 50 words which also start in a document with a smaller doc_id; first_doc_id is the least of those."""
+    of 50 words which also start in a document with a smaller doc_id; first_doc_id is the least of those.
+    Nulls, short, repeated and long texts, ties and further columns: see repeats.py."""
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
