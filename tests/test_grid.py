@@ -1,8 +1,10 @@
 import hashlib
 import json
+import zlib
 
 import numpy as np
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
 from upland.functions import scalars as S
@@ -109,21 +111,85 @@ def test_three_bilinears(spark):
 
 def test_fetch_is_polite_and_cached(tmp_path):
     calls, waits = [], []
+    image = rasters.write_geotiff(np.zeros((2, 2)), 0.0, 2.0)
 
     def opener(url):
         calls.append(url)
         if len(calls) < 3:
             raise OSError("down")
-        return "image/tiff", b"II*\0data"
-
-    path, size, fresh = coverage.fetch_chunk((0, 10, 0, 10), "http://x", str(tmp_path), opener, waits.append)
-    assert fresh and size == 8 and waits == [3.0, 6.0] and calls[0].endswith("subset=E(0,10)&subset=N(0,10)")
-    assert coverage.fetch_chunk((0, 10, 0, 10), "http://x", str(tmp_path), opener, waits.append) == (path, 8, False)
-    with pytest.raises(RuntimeError):
-        coverage.fetch_chunk((1, 10, 0, 10), "http://x", str(tmp_path), lambda u: ("text/xml", b"<x/>"), waits.append)
+        return "image/tiff", image
+
+    service = coverage.Coverage("http://x", "some", str(tmp_path), opener, waits.append)
+    path, size, fresh = service.chunk((0, 10, 0, 10))
+    assert fresh and size == len(image) and waits == [3.0, 6.0] and calls[0].endswith("CoverageId=some&format=image/tiff&subset=E(0,10)&subset=N(0,10)")
+    assert service.chunk((0, 10, 0, 10)) == (path, size, False)
+    for kind, body in (("text/xml", b"<x/>"), ("image/tiff", b"<ExceptionReport/>"), ("image/tiff", b"II")):
+        with pytest.raises(RuntimeError):
+            coverage.Coverage("http://x", "some", str(tmp_path), lambda u, a=(kind, body): a, waits.append).chunk((1, 10, 0, 10))
+    assert [f for _, _, _, f in service.chunks([(0, 10, 0, 10), (0, 10, 10, 20)])] == [False, True] and waits[-1] == 1.0
     assert coverage.boxes(0, 2049, 0, 1000) == [(0, 1000, 0, 1000), (1000, 2000, 0, 1000), (2000, 2049, 0, 1000)]
 
 
+def _lzw(data):
+    """The packing that unpack_lzw undoes."""
+    table, width, held, bits, out = {bytes([i]): i for i in range(256)}, 9, 0, 0, bytearray()
+
+    def put(code, width):
+        nonlocal held, bits
+        held, bits = (held << width) | code, bits + width
+        while bits >= 8:
+            bits -= 8
+            out.append(held >> bits & 255)
+        held &= (1 << bits) - 1
+
+    put(256, 9)
+    now, size = b"", 258
+    for i in data:
+        if now + bytes([i]) in table:
+            now += bytes([i])
+            continue
+        put(table[now], width)
+        table[now + bytes([i])] = size
+        size, now = size + 1, bytes([i])
+        if size in (512, 1024, 2048):
+            width += 1
+        if size == 4094:
+            put(256, width)
+            table, width, size = {bytes([i]): i for i in range(256)}, 9, 258
+    put(table[now], width)
+    put(257, width)
+    put(0, 7)
+    return bytes(out)
+
+
+def test_geotiff_compressions(spark, tmp_path):
+    y, x = np.mgrid[0:97, 0:83]
+    z = (50 + 10 * np.sin(x / 9) * np.cos(y / 7)).astype("f4").astype(float)
+    z[3, 4] = -9999.0
+    packs = {5: _lzw, 8: zlib.compress, 32773: lambda d: b"".join(bytes([len(p) - 1]) + p for p in (d[i : i + 100] for i in range(0, len(d), 100))), 50000: lambda d: zstandard.ZstdCompressor().compress(d)}
+    for number, pack in packs.items():
+        for predictor in (1, 3):
+            g = rasters.read_geotiff(rasters.write_geotiff(z, 400000.0, 300097.0, -9999.0, packed=(number, pack), predictor=predictor))
+            assert (g["z"] == z).all() and g["nodata"] == -9999.0 and (g["west_e"], g["north_n"], g["dx"], g["dy"]) == (400000.0, 300097.0, 1.0, 1.0)
+    assert rasters.unpack_bits(bytes([254, 7, 128, 1, 8, 9])) == bytes([7, 7, 7, 8, 9])
+    with pytest.raises(ValueError, match="compression 7"):
+        rasters.read_geotiff(rasters.write_geotiff(z, 0.0, 0.0, packed=(7, bytes)))
+    (tmp_path / "a.tif").write_bytes(rasters.write_geotiff(z, 400000.0, 300097.0, -9999.0))
+    spark.dataSource.register(rasters.GeoTiff)
+    got = spark.read.format("geotiff").load(str(tmp_path))
+    assert got.count() == z.size and got.where("e = 400004 AND n = 300093").first()["z"] == -9999.0 and got.agg(F.min("n"), F.max("e")).first()[0:2] == (300000.0, 400082.0)
+
+
+def test_affine_forms():
+    tie = {rasters.PIXEL_SCALE: (2.0, 3.0, 0.0), rasters.TIEPOINT: (1.0, 2.0, 0.0, 100.0, 200.0, 0.0)}
+    whole = {rasters.TRANSFORM: (2.0, 0.0, 0.0, 98.0, 0.0, -3.0, 0.0, 206.0, *[0.0] * 8)}
+    assert rasters.affine(tie, False).tolist() == rasters.affine(whole, False).tolist() == [[2.0, 0.0, 98.0], [0.0, -3.0, 206.0]]
+    assert rasters.affine(tie, True)[:, 2].tolist() == [97.0, 207.5]
+    for bad in ({}, {rasters.TRANSFORM: (2.0, 0.1, 0.0, 98.0, 0.1, -3.0, 0.0, 206.0, *[0.0] * 8)}):
+        with pytest.raises(ValueError):
+            rasters.affine(bad, False)
+
+
 def test_build_site(spark, tmp_path):
     def opener(url):
         e = [int(v) for v in url.split("subset=E(")[1].split(")")[0].split(",")]
@@ -131,7 +197,7 @@ def test_build_site(spark, tmp_path):
         north, east = np.meshgrid(np.arange(n[1] - 1, n[0] - 1, -1), np.arange(e[0], e[1]), indexing="ij")
         return "image/tiff", rasters.write_geotiff((east % 97) * 0.5 + (north % 89) * 0.25, float(e[0]), float(n[1]))
 
-    got = runs.build_site(spark, "site", 400100, 300100, 256, str(tmp_path / "out"), str(tmp_path / "cache"), "http://x", opener, lambda s: None, lambda s: None)
+    got = runs.build_site(spark, "site", 400100, 300100, 256, str(tmp_path / "out"), str(tmp_path / "cache"), "http://x", "some", opener, lambda s: None, lambda s: None)
     assert got["chunks"] == 1 and got["max_err_m"] <= 0.005 + 1e-9 and len(got["manifest"]["tiles"]) == 1 and got["nodata"] == 0
     assert (got["manifest"]["site"]["origin_e"] % 256, runs.snapped_box(400100, 300100, 256)) == (0, (got["manifest"]["site"]["origin_e"], got["manifest"]["site"]["origin_n"]))
     with pytest.raises(ValueError):

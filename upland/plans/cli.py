@@ -13,7 +13,7 @@ import sys
 from pyspark.sql import functions as F
 
 from ..session import session, ship
-from ..sources.coverage import boxes, fetch_chunk
+from ..sources.coverage import Coverage, boxes
 from ..sources.rasters import NumpyGrid, is_northward, load_catalogue, settings
 from ..sources.tiles import decode_heights, tile_files
 from . import runs
@@ -35,7 +35,7 @@ def main(argv: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(prog="upland")
     sub = p.add_subparsers(dest="job", required=True)
     b = sub.add_parser("build")
-    for name, kind in (("--name", str), ("--e", float), ("--n", float), ("--out", str), ("--cache", str), ("--url", str)):
+    for name, kind in (("--name", str), ("--e", float), ("--n", float), ("--out", str), ("--cache", str), ("--url", str), ("--coverage", str)):
         b.add_argument(name, type=kind, required=True)
     b.add_argument("--size", type=int, default=2048)
     f = sub.add_parser("fetch")
@@ -43,6 +43,7 @@ def main(argv: list[str] | None = None) -> int:
         f.add_argument(name, type=int)
     f.add_argument("cache")
     f.add_argument("--url", required=True)
+    f.add_argument("--coverage", required=True)
     for job, most, count, seconds, batch in (("verify", "--points", 1 << 22, 20.0, 1 << 20), ("earthworks", "--trenches", 4000, 20.0, 250), ("cables", "--routes", 40_000, 60.0, 2000)):
         s = sub.add_parser(job)
         s.add_argument("--tiles", required=True)
@@ -59,12 +60,12 @@ def main(argv: list[str] | None = None) -> int:
     a = p.parse_args(argv)
 
     if a.job == "fetch":
-        for box in boxes(a.e0, a.e1, a.n0, a.n1):
-            print(*fetch_chunk(box, a.url, a.cache))
+        for found in Coverage(a.url, a.coverage, a.cache).chunks(boxes(a.e0, a.e1, a.n0, a.n1)):
+            print(*found)
         return 0
     spark = ship(session())
     if a.job == "build":
-        print(json.dumps({k: v for k, v in runs.build_site(spark, a.name, a.e, a.n, a.size, a.out, a.cache, a.url).items() if k != "manifest"}, indent=1))
+        print(json.dumps({k: v for k, v in runs.build_site(spark, a.name, a.e, a.n, a.size, a.out, a.cache, a.url, a.coverage).items() if k != "manifest"}, indent=1))
         return 0
     folder = a.site if a.job == "slope" else a.tiles
     grid, shape, origin, spacing = _source(spark, getattr(a, "source", None) or os.path.join(folder, "source.npy"))

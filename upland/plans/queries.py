@@ -87,10 +87,10 @@ def tiled(spark: SparkSession, d: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------- sources and sinks
-@query("s1_coverage_url", "SELECT s_suppkey AS k, 'https://example.org/wcs?service=WCS&version=2.0.1&request=GetCoverage&CoverageId=Lidar_Composite_Elevation_DTM_1m&format=image/tiff&subset=E(' || s_suppkey * 1000 || ',' || (s_suppkey * 1000 + 1000) || ')&subset=N(' || s_suppkey * 7 || ',' || (s_suppkey * 7 + 500) || ')' AS url FROM supplier")
+@query("s1_coverage_url", "SELECT s_suppkey AS k, 'https://example.org/wcs?service=WCS&version=2.0.1&request=GetCoverage&CoverageId=heights_1m&format=image/tiff&subset=E(' || s_suppkey * 1000 || ',' || (s_suppkey * 1000 + 1000) || ')&subset=N(' || s_suppkey * 7 || ',' || (s_suppkey * 7 + 500) || ')' AS url FROM supplier")
 def s1(spark, d):
     k = F.col("s_suppkey")
-    return table(spark, d, "supplier").select(k.alias("k"), coverage.coverage_url("https://example.org/wcs", k * 1000, k * 1000 + 1000, k * 7, k * 7 + 500).alias("url"))
+    return table(spark, d, "supplier").select(k.alias("k"), coverage.coverage_url("https://example.org/wcs", "heights_1m", k * 1000, k * 1000 + 1000, k * 7, k * 7 + 500).alias("url"))
 
 
 @query("s2_chunk_ranges", "SELECT k, a, least(a + 1000, hi) AS b FROM (SELECT c_custkey AS k, c_custkey + c_custkey * 7 % 3700 AS hi, unnest(range(c_custkey, c_custkey + c_custkey * 7 % 3700, 1000)) AS a FROM customer)")
