@@ -49,11 +49,16 @@ def edge_cases(edges: DataFrame, per_edge: int = 8, top: int = 8) -> DataFrame:
     return edges.where("differs").withColumn("nth", nth).where(F.col("nth") <= per_edge).drop("nth").orderBy("a", "side", "sample").limit(top)
 
 
+def tile_cells(tiles: DataFrame) -> DataFrame:
+    """The cell table of every tile: tile, i, j and four corners."""
+    return cell_table(tiles.select("tile", "i", "j", dequantise(F.col("base_cm"), F.col("q")).alias("h")), ("tile",), "i", "j", "h")
+
+
 def sample_heights(tiles: DataFrame, source: DataFrame, rows: int, cols: int, origin: tuple[float, float], spacing: float = 1.0) -> DataFrame:
-    """tile, i, j, x, y, h_tile, h_source of every sample."""
+    """tile, i, j, x, y, h_tile, h_source of every sample; source: cell table."""
     at = tiles.select("tile", "i", "j", node(F.col("oe"), F.col("j"), F.col("spacing")).alias("x"), node(F.col("on"), F.col("i"), F.col("spacing")).alias("y"), dequantise(F.col("base_cm"), F.col("q")).alias("h_tile"))
     at = at.withColumnsRenamed({"i": "ti", "j": "tj"}).withColumn("gx", (F.col("x") - origin[0]) / spacing).withColumn("gy", (F.col("y") - origin[1]) / spacing)
-    out = height_inside(at, cell_table(source), rows, cols, out="h_source")
+    out = height_inside(at, source, rows, cols, out="h_source")
     return out.select("tile", F.col("ti").alias("i"), F.col("tj").alias("j"), "x", "y", "h_tile", "h_source")
 
 
@@ -62,16 +67,14 @@ def worst(frame: DataFrame, error: str, *keys: str, top: int = 8) -> DataFrame:
     return frame.where(F.col(error).isNotNull()).orderBy(F.desc(error), *keys).limit(top)
 
 
-def point_heights(points: DataFrame, tiles: DataFrame, source: DataFrame, rows: int, cols: int, origin: tuple[float, float], spacing: float = 1.0, samples: int = 257) -> DataFrame:
-    """points (pid, tile, u, v) with x, y, three heights in the tile (h_lerp, h_poly, h_weights) and h_source."""
-    heights = tiles.select("tile", "i", "j", dequantise(F.col("base_cm"), F.col("q")).alias("h"))
-    corner = tile_corners(points, cell_table(heights, ("tile",), "i", "j", "h"), samples).drop("i", "j")
+def point_heights(points: DataFrame, tiles: DataFrame, headers: DataFrame, source: DataFrame, rows: int, cols: int, origin: tuple[float, float], spacing: float = 1.0, samples: int = 257) -> DataFrame:
+    """points (pid, tile, u, v) with x, y, three heights in the tile (h_lerp, h_poly, h_weights) and h_source; tiles, source: cell tables."""
+    corner = tile_corners(points, tiles, samples).drop("i", "j")
     c = [F.col(x) for x in ("h00", "h10", "h01", "h11", "fx", "fy")]
     got = corner.select("pid", "tile", "u", "v", two_lerps(*c).alias("h_lerp"), polynomial(*c).alias("h_poly"), corner_weights(*c).alias("h_weights"))
-    place = tiles.where("i = 0 AND j = 0").select("tile", "oe", "on", F.col("spacing").alias("sp"))
-    got = got.join(place, "tile").withColumn("x", F.col("oe") + F.col("u") * F.col("sp")).withColumn("y", F.col("on") + F.col("v") * F.col("sp")).drop("oe", "on", "sp")
+    got = got.join(headers.select("tile", "oe", "on", F.col("spacing").alias("sp")), "tile").withColumn("x", F.col("oe") + F.col("u") * F.col("sp")).withColumn("y", F.col("on") + F.col("v") * F.col("sp")).drop("oe", "on", "sp")
     got = got.withColumn("gx", (F.col("x") - origin[0]) / spacing).withColumn("gy", (F.col("y") - origin[1]) / spacing)
-    return height_inside(got, cell_table(source), rows, cols, out="h_source").drop("gx", "gy")
+    return height_inside(got, source, rows, cols, out="h_source").drop("gx", "gy")
 
 
 def point_counts(points: DataFrame) -> DataFrame:

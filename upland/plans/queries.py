@@ -320,7 +320,7 @@ def p18(spark, d):
 @query("j5_samples_against_source", HEADED_SQL + " SELECT count(*) AS samples, count(*) FILTER (WHERE q = 65535 AND z IS NULL) AS nodata_both, count(*) FILTER (WHERE (q = 65535) <> (z IS NULL)) AS nodata_mismatch, count(*) FILTER (WHERE (q = 65535) <> (z IS NULL) OR abs((base_cm + q) / 1e2 - z) > 0.005 + 1e-9) AS photons, round(max(abs((base_cm + q) / 1e2 - z)) FILTER (WHERE q <> 65535), 6) AS max_err_m FROM t JOIN (SELECT ix, iy, i, j, z FROM ct) USING (ix, iy, i, j)")
 def j5(spark, d):
     t, _ = _headed(spark, d)
-    got = verify.sample_counts(verify.sample_heights(t, surface(spark, d), n_rows(spark, d), COLS, (0.0, 0.0)))
+    got = verify.sample_counts(verify.sample_heights(t, grid.cell_table(surface(spark, d)), n_rows(spark, d), COLS, (0.0, 0.0)))
     return got.withColumn("max_err_m", F.round("max_err_m", 6))
 
 
@@ -334,7 +334,7 @@ def _tile_points(spark: SparkSession, d: str, t: DataFrame) -> DataFrame:
     k = F.col("event_id")
     bands = -(-(n_rows(spark, d) - 1) // TILE)
     p = table(spark, d, "events").select(k.alias("pid"), (k % bands * 1000 + k % 3).cast("int").alias("tile"), ((k * 7919 % (TILE * 1000)).cast("double") / 1e3).alias("u"), ((k * 104729 % (TILE * 1000)).cast("double") / 1e3).alias("v"))
-    return verify.point_heights(p, t, surface(spark, d), n_rows(spark, d), COLS, (0.0, 0.0), samples=TILE + 1)
+    return verify.point_heights(p, verify.tile_cells(t), t.where("i = 0 AND j = 0"), grid.cell_table(surface(spark, d)), n_rows(spark, d), COLS, (0.0, 0.0), samples=TILE + 1)
 
 
 @query("j21_point_counts")
@@ -362,7 +362,12 @@ def j8(spark, d):
     return grid.ground_height(p, grid.cell_table(surface(spark, d)), n_rows(spark, d), COLS).select("pid", F.round("h", 9).alias("h"))
 
 
-@query("j11_near_cells", f"WITH {TRENCH_SQL}, k AS (SELECT g.*, unnest(range(0, floor(length / 0.5)::BIGINT + 2)) AS n, floor(length / 0.5)::BIGINT + 2 AS m FROM g), w AS (SELECT *, 0.0::DOUBLE + n * (length - 0.0::DOUBLE) / (m - 1) AS s FROM k), pc AS (SELECT *, CASE WHEN s <= l1 THEN 0 WHEN s <= l1 + la THEN 1 ELSE 2 END AS piece FROM w), v AS (SELECT *, s - CASE WHEN piece >= 1 THEN l1 ELSE 0 END - CASE WHEN piece = 2 THEN la ELSE 0 END AS uu FROM pc), hh AS (SELECT *, CASE piece WHEN 0 THEN h WHEN 1 THEN h + sg * uu / radius ELSE h2 END AS b FROM v), xy AS (SELECT tid, width, -sin(b) AS nx, cos(b) AS ny, CASE piece WHEN 0 THEN ax + uu * cos(b) WHEN 1 THEN cx + sin(b) * sg * radius ELSE dx + uu * cos(b) END AS x, CASE piece WHEN 0 THEN ay + uu * sin(b) WHEN 1 THEN cy - cos(b) * sg * radius ELSE dy + uu * sin(b) END AS y FROM hh), tt AS (SELECT *, unnest(range(0, greatest(2, floor(width / 0.5)::BIGINT + 2))) AS q, greatest(2, floor(width / 0.5)::BIGINT + 2) AS mm FROM xy), c0 AS (SELECT DISTINCT tid, floor(x + (-width / 2 + q * width / (mm - 1)) * nx)::INTEGER AS ix, floor(y + (-width / 2 + q * width / (mm - 1)) * ny)::INTEGER AS iy FROM tt), c9 AS (SELECT DISTINCT tid, ix + da AS ix, iy + db AS iy FROM c0, (VALUES (-1), (0), (1)) AS a(da), (VALUES (-1), (0), (1)) AS b(db)) SELECT tid, count(*) AS n, sum(ix)::BIGINT AS sx, sum(iy)::BIGINT AS sy FROM c9 GROUP BY tid")
+#: The pieces of trenches, and the cells near them.
+PIECES_SQL = "pcs AS (SELECT tid, 0 AS slot, width, depth, ax AS x, ay AS y, h, 0.0::DOUBLE AS k, l1 AS len FROM g UNION ALL SELECT tid, 1, width, depth, bx, by_, h, sg / radius, la FROM g WHERE la > 0 UNION ALL SELECT tid, 2, width, depth, dx, dy, h2, 0.0, l2 FROM g WHERE l2 > 0)"
+NEAR_SQL = f"{PIECES_SQL}, bx AS (SELECT *, unnest(range(floor(x - len - 2)::BIGINT, floor(x + len + 3)::BIGINT)) AS ix FROM pcs), bxy AS (SELECT *, unnest(range(floor(y - len - 2)::BIGINT, floor(y + len + 3)::BIGINT)) AS iy FROM bx), lo AS (SELECT *, (ix + 0.5 - x) * cos(h) + (iy + 0.5 - y) * sin(h) AS al, (iy + 0.5 - y) * cos(h) - (ix + 0.5 - x) * sin(h) AS off FROM bxy), tu AS (SELECT *, least(greatest(atan2(al, 1 / abs(k) - sign(k) * off), 0), len * abs(k)) AS turn FROM lo), di AS (SELECT *, CASE WHEN k = 0 THEN sqrt(power(al - least(greatest(al, 0), len), 2) + off * off) ELSE sqrt(power(al - sin(turn) / abs(k), 2) + power(sign(k) * off - 1 / abs(k) + cos(turn) / abs(k), 2)) END AS far FROM tu), near AS (SELECT DISTINCT tid, ix, iy FROM di WHERE far <= width / 2 + 0.7072)"
+
+
+@query("j11_near_cells", f"WITH {TRENCH_SQL}, {NEAR_SQL} SELECT tid, count(*) AS n, sum(ix)::BIGINT AS sx, sum(iy)::BIGINT AS sy FROM near GROUP BY tid")
 def j11(spark, d):
     n = works.near_cells(works.trench_geometry(trenches(spark, d)))
     return n.groupBy("tid").agg(F.count("*").alias("n"), F.sum("ix").alias("sx"), F.sum("iy").alias("sy"))
@@ -457,7 +462,7 @@ def p21(spark, d):
 @query("t1_worst_samples", HEADED_SQL + ", x AS (SELECT tile, i, j, (base_cm + q) / 1e2 AS h_tile, abs((base_cm + q) / 1e2 - z) AS err FROM t JOIN (SELECT ix, iy, i, j, z FROM ct) USING (ix, iy, i, j) WHERE q <> 65535) SELECT tile, i, j, h_tile FROM x WHERE err IS NOT NULL ORDER BY err DESC, tile, i, j LIMIT 8")
 def t1(spark, d):
     t, _ = _headed(spark, d)
-    h = verify.sample_heights(t, surface(spark, d), n_rows(spark, d), COLS, (0.0, 0.0)).withColumn("err_m", F.abs(F.col("h_tile") - F.col("h_source")))
+    h = verify.sample_heights(t, grid.cell_table(surface(spark, d)), n_rows(spark, d), COLS, (0.0, 0.0)).withColumn("err_m", F.abs(F.col("h_tile") - F.col("h_source")))
     return verify.worst(h, "err_m", "tile", "i", "j").select("tile", "i", "j", "h_tile")
 
 
