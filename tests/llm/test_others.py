@@ -34,17 +34,15 @@ def test_snapshots_collapse(spark, monkeypatch):
         rows += [(c, 10 + k, r, t) for k, (r, t) in enumerate(talk[:n])]
     rows += [(6, 0, "user", "hi"), (6, 1, "assistant", "other"), (7, None, None, None), (8, 0, "user", "x"), (8, 0, "user", "x"), (None, 0, "user", "hi")]
     rows += [(9, k, "user", f"t{k}") for k in range(40)] + [(10, k, "user", f"t{k}") for k in range(39)] + [(11, 0, "user", "hi"), (11, 0, "assistant", "tie")]
+    rows += [(12, 5, r, t) for r, t in [("user", "b"), ("user", "a"), ("assistant", "c"), ("user", "d")]] + [(13, 5, "user", f"{k % 7} tie {k}") for k in range(30)] + [(13, 6, "user", "end")]
+    rows += [(14, *x[1:]) for x in rows if x[0] == 13 and x[1] == 5]
     frame = spark.createDataFrame(rows, CONV)
-    for segment in (1024, 7):
+    for segment, crowded in ((1024, 4096), (7, 4)):
         monkeypatch.setattr(C, "SEGMENT", segment)
-        got = {}
-        for r in C.format_chats(clashing(frame)).orderBy("conv_id", "segment").collect():
-            old = got.get(r.conv_id, (r.n_turns, r.n_copies, ""))
-            assert old[:2] == (r.n_turns, r.n_copies)
-            got[r.conv_id] = (*old[:2], old[2] + r.text)
-        if segment == 1024:
-            assert sorted((c, *v) for c, v in got.items()) == [x for x in chat_plain(rows) if x[0] != 11] + [x for x in chat_plain(rows) if x[0] == 11]
-        assert {c: v[:2] for c, v in got.items()} == {x[0]: x[1:3] for x in chat_plain(rows)}
+        monkeypatch.setattr(C, "CROWDED", crowded)
+        got = C.format_chats(clashing(frame)).collect()
+        assert sorted(map(tuple, got)) == chat_plain(rows)
+    assert 14 not in {r.conv_id for r in got}
     assert C.format_chats(spark.createDataFrame([], CONV)).count() == 0
 
 
@@ -107,7 +105,6 @@ def test_search_recall_and_cases(spark, monkeypatch):
     items = [(k, v.tolist(), 0) for k, v in enumerate(x)]
     items += [(2000, None, 0), (2020, [0.0] * 32, 0), (2040, [float("nan")] + [1.0] * 31, 0), (2060, [None] + [1.0] * 31, 0), (2080, [1.0, 2.0], 0), (None, x[0].tolist(), 0), (2100, [float("inf")] * 32, 0)]
     monkeypatch.setattr(A, "BLOCK", 400)
-    monkeypatch.setattr(A, "QUERIES", 30)
     got = {}
     for r in A.search(clashing(vectors(spark, items))).orderBy("query_id", "rank").collect():
         got.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
@@ -124,6 +121,46 @@ def test_search_recall_and_cases(spark, monkeypatch):
     assert [v for _, v, _ in got[20]][:2] == [3, 7]  # ties: the smaller id first
 
 
+def test_search_repeated_ids_and_common_vectors(spark, monkeypatch):
+    """Rows that share an id count once; a vector that most rows hold is searched like others."""
+    monkeypatch.setattr(A, "BLOCK", 16)
+    rng = np.random.default_rng(2)
+    x = rng.standard_normal((40, 8)).astype(np.float32)
+    items = [(k, x[0 if k % 3 else k % 40].tolist(), 0) for k in range(200)] * 2 + [(20, (x[0] + 9).tolist(), 0)]
+    d = {}
+    for k, v, _ in items:
+        d[k] = min(d.get(k, v), v)
+    ids = np.array(sorted(d))
+    v = np.array([d[k] for k in ids], np.float64)
+    got = {}
+    for r in A.search(vectors(spark, items)).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append((r.vec_id, r.score))
+    assert set(got) == set(range(0, 200, 20))
+    hit = 0
+    for q, found in got.items():
+        score = (v * v[ids == q]).sum(axis=1)
+        best = [(int(ids[i]), float(score[i])) for i in np.lexsort((ids, -score)) if ids[i] != q][:20]
+        assert len({i for i, _ in found}) == 20 and all(i != q for i, _ in found)
+        hit += len(set(best) & set(found))
+    assert hit >= 0.9 * 20 * len(got)
+
+
+def test_buckets_hold_all_codes_within_the_radius():
+    rng = np.random.default_rng(3)
+    codes = A.Codes(rng.standard_normal((300, 16)), 9.0, 5, 300)
+    own = rng.integers(0, 1 << codes.width, (400, codes.tables)).astype(np.uint32)
+    low = codes.width - 2
+    for radius in (0, 7, 30, codes.whole):
+        reach, code, found = codes.reach(radius), own[5] ^ np.uint32(1), []
+        for t in range(codes.tables):
+            for start in range(4):
+                part = np.flatnonzero(own[:, t] >> low == start)
+                found += part[A.Buckets(own[part], t, low).within(code, start, reach)].tolist()
+        apart = np.bitwise_count(own ^ code)
+        assert len(found) == len(set(found)) and set(found) == set(np.flatnonzero((apart <= reach).any(axis=1)).tolist())
+        assert set(np.flatnonzero(apart.sum(axis=1) <= radius).tolist()) <= set(found)
+
+
 def test_search_small_tables(spark):
     assert A.search(vectors(spark, [])).count() == 0
     assert A.search(vectors(spark, [(0, None, 0)])).count() == 0

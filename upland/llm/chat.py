@@ -6,12 +6,14 @@ role, text), two sums of 64-bit terms each, so it is a window sum and adds up ov
 conversation whose whole hash is another's hash before its end goes (an anti-join), of equal ones the
 least conv_id stays, and those left are rendered.
 
-Turns are numbered and rendered in blocks of SEGMENT turn numbers, so no task gathers a whole
-conversation of any length; a conversation that spans several blocks is rendered as several rows.
+Turns are numbered, summed and rendered in blocks of neighbouring turns: SEGMENT turn numbers, or, where those have
+more than CROWDED turns, the turns of one number, role and beginning of the text. A conversation's blocks
+are put together at the end, so only its finished text is ever in one place, as one row, which Spark
+limits to 2 GB; joins by conversation deal out long ones.
 
-Defined cases: turns are ordered by turn (null first), then role, then hash of the text; a null role or
-text is empty; rows that are equal in all of these are one; rows without conv_id are left out; an empty
-table gives an empty result; further columns are ignored.
+Defined cases: turns are ordered by turn (null first), then role, then text (by bytes); a null role or text
+is empty; rows that are equal in all of these are one; rows without conv_id are left out; a very long
+text is a turn like others; an empty table gives an empty result; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -19,35 +21,42 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import join_counted, materialize
 
-SEGMENT = 1024
+SEGMENT, CROWDED, BEGINNING = 1024, 4096, 8
 #: The marks of the rendered form.
 OPEN, CLOSE = "<|im_start|>", "<|im_end|>\n"
 
 
-def _turns(conversations: DataFrame) -> DataFrame:
+def distinct_turns(conversations: DataFrame) -> DataFrame:
+    """conv_id, block, turn, role, text: each turn once; blocks are ordered as their turns are."""
     role, text = F.coalesce("role", F.lit("")), F.coalesce("text", F.lit(""))
-    block = F.coalesce(F.floor(F.col("turn") / SEGMENT), F.lit(-(2**53))).cast("long")
-    turns = conversations.where("conv_id IS NOT NULL").select("conv_id", block.alias("block"), F.col("turn").cast("long").alias("turn"), role.alias("role"), text.alias("text"))
-    return turns.withColumn("h1", F.xxhash64("role", "text")).withColumn("h2", F.xxhash64("text", "role", F.lit(1)))
+    turn = F.col("turn").cast("long")
+    rows = conversations.where("conv_id IS NOT NULL").select("conv_id", F.floor(turn / SEGMENT).alias("part"), turn.alias("turn"), role.alias("role"), text.alias("text"))
+    rows = rows.withColumn("part", F.coalesce("part", F.lit(-(2**53)))).distinct()
+    rows = materialize(rows)
+    crowded = rows.groupBy("conv_id", "part").agg(F.count("*").alias("n")).where(F.col("n") > CROWDED)
+    rows = join_counted(rows, materialize(crowded), ["conv_id", "part"], "left")
+    fine = lambda c: F.when(F.col("n").isNotNull(), c)
+    block = F.struct("part", fine(F.col("turn")).alias("turn"), fine(F.col("role")).alias("role"), fine(F.left("text", F.lit(BEGINNING))).alias("beginning"))
+    return rows.select("conv_id", block.alias("block"), "turn", "role", "text")
 
 
 def rolling_hashes(turns: DataFrame) -> DataFrame:
     """conv_id, k, n, s1, s2: the hash of the first k of n turns."""
-    rows = turns.select("conv_id", "block", "turn", "role", "h1", "h2").distinct()
-    inside = Window.partitionBy("conv_id", "block").orderBy("turn", "role", "h1", "h2")
+    inside = Window.partitionBy("conv_id", "block").orderBy("turn", "role", "text")
     whole, before = Window.partitionBy("conv_id"), Window.partitionBy("conv_id").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = rows.groupBy("conv_id", "block").agg(F.count("*").alias("size"))
+    blocks = turns.groupBy("conv_id", "block").agg(F.count("*").alias("size"))
     blocks = blocks.select("conv_id", "block", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("before"), F.sum("size").over(whole).alias("n"))
-    placed = rows.withColumn("r", F.row_number().over(inside)).join(blocks, ["conv_id", "block"]).withColumn("k", F.col("before") + F.col("r"))
+    own = turns.select("conv_id", "block", F.row_number().over(inside).alias("r"), F.xxhash64("role", "text").alias("h1"), F.xxhash64("text", "role", F.lit(1)).alias("h2"), F.length("role").alias("role"))
+    placed = own.join(blocks, ["conv_id", "block"]).withColumn("k", F.col("before") + F.col("r"))
     term = lambda *c: F.xxhash64(*c).cast("decimal(20,0)")
     placed = placed.withColumn("t1", term("k", "role", "h1", "h2")).withColumn("t2", term("h2", "k", "h1", F.lit(2)))
     # the blocks' own sums are added up apart, so a long conversation's turns needn't meet
     sums = placed.groupBy("conv_id", "block").agg(F.sum("t1").alias("b1"), F.sum("t2").alias("b2"))
     zero = F.lit(0).cast("decimal(38,0)")
     sums = sums.select("conv_id", "block", *[F.coalesce(F.sum(b).over(before).cast("decimal(38,0)"), zero).alias(f"before_{b}") for b in ("b1", "b2")])
-    upto = inside.rowsBetween(Window.unboundedPreceding, 0)
+    upto = Window.partitionBy("conv_id", "block").orderBy("r").rowsBetween(Window.unboundedPreceding, 0)
     local = placed.select("conv_id", "block", "k", "n", F.sum("t1").over(upto).alias("l1"), F.sum("t2").over(upto).alias("l2"))
     total = lambda b, l: (F.col(b) + F.col(l)).cast("string")
     return local.join(sums, ["conv_id", "block"]).select("conv_id", "k", "n", total("before_b1", "l1").alias("s1"), total("before_b2", "l2").alias("s2"))
@@ -61,9 +70,11 @@ def maximal(hashes: DataFrame) -> DataFrame:
 
 
 def format_chats(conversations: DataFrame) -> DataFrame:
-    """conv_id, segment, n_turns, n_copies, text of the conversations that stay."""
-    turns = _turns(conversations)
-    kept = maximal(materialize(rolling_hashes(turns)))
-    rows = turns.join(kept, "conv_id").groupBy("conv_id", "block", "n_turns", "n_copies").agg(F.array_sort(F.collect_set(F.struct("turn", "role", "h1", "h2", "text"))).alias("turns"))
+    """conv_id, n_turns, n_copies, text of the conversations that stay, a row each."""
+    turns = materialize(distinct_turns(conversations))
+    kept = materialize(maximal(materialize(rolling_hashes(turns))).withColumn("n", F.col("n_turns")))
+    rows = join_counted(turns, kept, ["conv_id"]).groupBy("conv_id", "block", "n_turns", "n_copies").agg(F.array_sort(F.collect_list(F.struct("turn", "role", "text"))).alias("turns"))
     text = F.array_join(F.transform("turns", lambda x: F.concat(F.lit(OPEN), x["role"], F.lit("\n"), x["text"], F.lit(CLOSE))), "")
-    return rows.select("conv_id", F.col("block").alias("segment"), "n_turns", "n_copies", text.alias("text"))
+    blocks = rows.select("conv_id", "n_turns", "n_copies", "block", text.alias("text"))
+    whole = blocks.groupBy("conv_id", "n_turns", "n_copies").agg(F.array_sort(F.collect_list(F.struct("block", "text"))).alias("blocks"))
+    return whole.select("conv_id", "n_turns", "n_copies", F.array_join(F.col("blocks.text"), "").alias("text"))

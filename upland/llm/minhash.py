@@ -5,15 +5,17 @@
    value as a register of 6 bits for the count of leading zeros and 10 bits of mantissa. Empty
    buckets borrow from others in a fixed pseudo-random order, so short documents band as well.
 2. Documents with equal sets are one class, led by the least doc_id; only leaders go on.
-3. Bands of registers are hashed. Leaders that share a band hang on the band's least leader; what
-   hangs together is a candidate group. No pairs are formed.
-4. A group is worked on in one task, or, if its sets exceed GROUP_SHINGLES, in tasks of two blocks
-   each so that every pair of members meets in some task. There, rows of links are worked out only
-   for members outside the largest class found so far: a pair of different classes always has such
-   a member, so no link between classes is missed, and a group of copies needs a few rows only. A
-   row is filtered by size and by the Jaccard estimate, corrected for chance collisions of
-   registers, with a margin of six standard deviations; what remains is compared on the full sets.
-5. Links give the components.
+3. Bands of registers are hashed. Leaders that share a band are candidates. Each is held against the band's
+   pivot, its least leader, on the full sets; a pivot's members are dealt out, so a pivot that a third of
+   all documents share is no single task. Links make classes (components).
+4. A band whose members are of one class, or that has two members, is done. In the others, members that
+   aren't of the pivot's class may still be linked to others than the pivot. Jaccard distance is a metric, so a
+   member closer to the pivot than the nearest of these, less the distance that links, can't be: it is left out. What
+   remains goes to tasks by band (bands with the same members once). There, rows of links are worked out only for
+   members outside the largest class: a row is filtered by size and by the Jaccard estimate, corrected
+   for chance collisions of registers, with a margin of six standard deviations, and compared on the full sets.
+   Should the sets of a band exceed GROUP_SHINGLES even so, its members are dealt to tasks of two blocks each.
+5. All links give the components. Copies of a set and pairs of a band are never expanded into all pairs.
 
 With t the threshold, a linked pair shares no band with probability at most 1e-7.
 
@@ -34,12 +36,14 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import MIX, column, components, gram_hashes, hashes, materialize, mix, plain, small_batches
+from .common import MIX, column, components, gram_hashes, hashes, join_counted, materialize, mix, plain, small_batches
 
 SHINGLE, MANTISSA = 5, 10
 #: Shingles that the two blocks of one task hold at most, but for single documents beyond it.
 GROUP_SHINGLES = 4_000_000
 MISS = 1e-7
+#: Members of a pivot that one task holds against it, about.
+DEALT = 2_000
 
 
 def banding(percent: int) -> tuple[int, int]:
@@ -104,17 +108,20 @@ def _collisions(n: np.ndarray, m: int, k: int) -> np.ndarray:
     return (zeros(n) * zeros(np.array([m]))).sum(axis=0) / (1 << MANTISSA)
 
 
-def linked_members(ids: np.ndarray, sets: list[np.ndarray], regs: np.ndarray, percent: int) -> list[tuple[int, int]]:
-    """(member, class's least member) for each class of at least two, within one candidate group."""
+def linked_members(ids: np.ndarray, sets: list[np.ndarray], regs: np.ndarray, percent: int, known: np.ndarray | None = None) -> list[tuple[int, int]]:
+    """(member, class's least member) for each class of at least two, within one candidate group; members with the same
+    number in known are of one class beforehand."""
     n, k = len(ids), regs.shape[1]
     sizes = np.fromiter(map(len, sets), np.int64, n)
     starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
     names, flat = np.unique(np.concatenate(sets), return_inverse=True)
     mark = np.zeros(len(names), bool)
-    label, spent = np.arange(n), np.zeros(n, bool)
+    label, spent = np.arange(n) if known is None else np.unique(known, return_inverse=True)[1], np.zeros(n, bool)
     t = percent / 100
     while True:
         count = np.bincount(label, minlength=n)
+        if known is not None and count.max() == n:
+            break
         todo = np.flatnonzero((label != count.argmax()) & ~spent)
         if not len(todo):
             break
@@ -145,6 +152,68 @@ def linked_members(ids: np.ndarray, sets: list[np.ndarray], regs: np.ndarray, pe
     return [(int(ids[i]), int(least[label[i]])) for i in np.flatnonzero(count[label] > 1) if ids[i] != least[label[i]]]
 
 
+def _set_rows(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, set of the rows of docs that wanted (doc_id, want: digest of the set) names."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            sets = [shingles(x) for x in column(b, "text")]
+            same = [xxhash.xxh3_128_digest(s.tobytes()) == w for s, w in zip(sets, column(b, "want"), strict=True)]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], ["doc_id", "n_shingles", "set"]).filter(pa.array(same, pa.bool_()))
+
+    # shuffled at any size: how many texts have near-copies isn't known
+    found = plain(docs).hint("merge").join(wanted, "doc_id").select("doc_id", "text", "want")
+    return materialize(found.mapInArrow(work, "doc_id long, n_shingles long, set binary"))
+
+
+def _against_pivots(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """pairs (a, b) with linked and far, their Jaccard distance (null where a document has several sets)."""
+    parts = materialize(pairs.groupBy("b").agg(F.count("*").alias("n")).withColumn("parts", F.ceil(F.col("n") / DEALT).cast("int")))
+    pivots = parts.join(sets.withColumnRenamed("doc_id", "b"), "b").select("b", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(None).cast("long").alias("a"), "set")
+    counted = join_counted(pairs, parts, ["b"])
+    members = counted.select("a", "b", F.pmod(F.xxhash64("a"), F.col("parts")).cast("int").alias("part")).join(sets.withColumnRenamed("doc_id", "a"), "a").select("b", "part", "a", "set")
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, held = None, []
+        for batch in batches:
+            rows = []
+            for b, part, a, data in zip(*(column(batch, x) for x in ("b", "part", "a", "set")), strict=True):
+                now = np.frombuffer(data, np.uint64)
+                if (b, part) != key:
+                    key, held = (b, part), []
+                if a is None:  # pivots come first
+                    held.append(now)
+                    continue
+                for pivot in held:
+                    both = len(np.intersect1d(now, pivot, assume_unique=True))
+                    union = len(now) + len(pivot) - both
+                    rows.append((a, b, 100 * both >= percent * union, 1 - both / union))
+            cols = list(zip(*rows, strict=True)) or [[]] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.bool_(), pa.float64()), strict=True)], ["a", "b", "linked", "far"])
+
+    dealt = pivots.unionByName(members).repartition("b", "part").sortWithinPartitions("b", "part", "a")
+    found = dealt.mapInArrow(work, "a long, b long, linked boolean, far double").groupBy("a", "b")
+    return materialize(found.agg(F.max("linked").alias("linked"), F.when(F.count("*") == 1, F.min("far")).alias("far")))
+
+
+def _unsettled(members: DataFrame, checked: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """key, doc_id, label of the members (key, a, b: its pivot) of bands that may still hold a link between classes."""
+    own = members.join(labels.withColumnRenamed("node", "a"), "a", "left").withColumn("label", F.coalesce("label", "a"))
+    own = materialize(own.join(checked.select("a", "b", "far"), ["a", "b"], "left").select("key", "a", "label", (F.col("a") == F.col("b")).alias("is_pivot"), "far"))
+    classes = own.groupBy("key").agg(F.count("*").alias("n"), F.min("label").alias("lo"), F.max("label").alias("hi"), F.max(F.when(F.col("is_pivot"), F.col("label"))).alias("main")).where("n > 2 AND lo < hi").select("key", "n", "main")
+    several = materialize(join_counted(own, materialize(classes), ["key"]).where("NOT is_pivot").select("key", "a", "label", "main", "far"))
+    # none of the others is nearer to the pivot than this
+    nearest = several.groupBy("key").agg(F.count("*").alias("n"), F.min(F.when(F.col("label") != F.col("main"), F.coalesce("far", F.lit(0.0)))).alias("nearest"))
+    reach = F.col("nearest") - (100 - percent) / 100 - 1e-9
+    left = join_counted(several, materialize(nearest), ["key"]).where(F.col("far").isNull() | (F.col("far") >= reach)).select("key", "a", "label")
+    left = materialize(left)
+    # bands with the same members are one; a digest of 128 bits stands for the members
+    sums = [F.sum(F.xxhash64("a", F.lit(k)).cast("decimal(20,0)")).alias(f"s{k}") for k in (1, 2)]
+    lists = left.groupBy("key").agg(F.count("*").alias("n"), F.min("label").alias("lo"), F.max("label").alias("hi"), *sums).where("lo < hi")
+    chosen = lists.groupBy("n", "s1", "s2").agg(F.min("key").alias("key")).select("key", "n")
+    return join_counted(left, materialize(chosen), ["key"]).select("key", F.col("a").alias("doc_id"), "label")
+
+
 def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id, kept, n_copies (documents with the same set) of every document."""
     spark = docs.sparkSession
@@ -161,48 +230,43 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(digest, pa.binary()), pa.ListArray.from_arrays(offsets, pa.array(keys.reshape(-1)))], ["doc_id", "n_shingles", "digest", "bands"])
 
     base = materialize(plain(docs).mapInArrow(sketch, "doc_id long, n_shingles long, digest binary, bands array<long>"))
-    leaders = base.where("digest IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("leader"), F.count("*").alias("n_copies"))
-    led = base.join(leaders, (base.digest == leaders.digest) & (base.doc_id == leaders.leader), "left_semi")
-    spread = led.select(F.col("doc_id").alias("a"), F.explode("bands").alias("key"))
-    pivots = spread.groupBy("key").agg(F.min("a").alias("b"), F.max("a").alias("z")).where("b < z").select("key", "b")
-    # a leader hangs on the least of its bands' leaders, and the others of them on that one: what a group
-    # of copies has in common is one edge then, not one for each copy
-    hung = spread.join(pivots, "key").where("a <> b").groupBy("a").agg(F.collect_set("b").alias("bs")).withColumn("p", F.array_min("bs"))
-    edge = F.explode(F.concat(F.array(F.struct(F.col("a"), F.col("p").alias("b"))), F.transform("bs", lambda b: F.struct(F.col("p").alias("a"), b.alias("b")))))
-    groups = components(hung.select(edge.alias("e")).select("e.a", "e.b").where("a <> b").distinct())
-
-    # candidate groups: their size in shingles decides the number of blocks
-    member = groups.join(led.select("doc_id", "digest", "n_shingles"), groups.node == led.doc_id).select("doc_id", "digest", "n_shingles", F.col("label").alias("group"))
-    member = materialize(member)
-    size = member.groupBy("group").agg(F.ceil(F.sum("n_shingles") * 2 / GROUP_SHINGLES).alias("half"), F.sum("n_shingles").alias("total"))
+    full = base.where("digest IS NOT NULL")
+    leaders = materialize(full.groupBy("digest").agg(F.min("doc_id").alias("leader"), F.count("*").alias("n")))
+    led = join_counted(full, leaders, ["digest"]).where("doc_id = leader").select("doc_id", "digest", "bands")
+    spread = materialize(led.select(F.col("doc_id").alias("a"), "digest", F.explode("bands").alias("key")))
+    pivots = spread.groupBy("key").agg(F.count("*").alias("n"), F.min("a").alias("b"), F.max("a").alias("z")).where("b < z").select("key", "n", "b")
+    members = materialize(join_counted(spread, materialize(pivots), ["key"]).select("key", "a", "digest", "b").distinct())
+    sets = _set_rows(docs, members.select(F.col("a").alias("doc_id"), F.col("digest").alias("want")).distinct())
+    members = members.select("key", "a", "b").distinct()
+    checked = _against_pivots(members.where("a <> b").select("a", "b").distinct(), sets, percent)
+    near = checked.where("linked").select("a", "b")
+    labels = components(near)
+
+    # what is left, by band
+    left = materialize(_unsettled(members, checked, labels, percent))
+    member = left.join(sets.select("doc_id", "n_shingles"), "doc_id")
+    size = member.groupBy("key").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("total"), F.ceil(F.sum("n_shingles") * 2 / GROUP_SHINGLES).alias("half"))
     blocks = F.when(F.col("total") <= GROUP_SHINGLES, F.lit(1)).otherwise(F.greatest(F.col("half"), F.lit(2))).cast("int")
-    placed = member.join(size.select("group", blocks.alias("n_blocks")), "group").withColumn("own", F.pmod(F.xxhash64("doc_id"), F.col("n_blocks")).cast("int"))
-    # shuffled at any size: how many texts have near-copies isn't known
-    texts = plain(docs).hint("merge").join(placed.select("doc_id", F.col("digest").alias("want"), "group", "n_blocks", "own"), "doc_id")
-
-    def full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            sets = [shingles(x) for x in column(b, "text")]
-            regs = registers(sets, rows * bands)
-            same = [xxhash.xxh3_128_digest(s.tobytes()) == w for s, w in zip(sets, column(b, "want"), strict=True)]
-            out = pa.RecordBatch.from_arrays([b.column(0), b.column(3), b.column(4), b.column(5), pa.array([s.tobytes() for s in sets], pa.binary()), pa.array([r.tobytes() for r in regs], pa.binary())], ["doc_id", "group", "n_blocks", "own", "set", "regs"])
-            yield out.filter(pa.array(same))
-
-    sets = texts.mapInArrow(full_sets, "doc_id long, group long, n_blocks int, own int, set binary, regs binary")
+    placed = join_counted(left, materialize(size.select("key", "n", blocks.alias("n_blocks"))), ["key"]).withColumn("own", F.pmod(F.xxhash64("doc_id"), F.col("n_blocks")).cast("int"))
     others = F.when(F.col("n_blocks") == 1, F.array(F.lit(0))).otherwise(F.filter(F.sequence(F.lit(0), F.col("n_blocks") - 1), lambda o: o != F.col("own")))
-    dealt = sets.select("doc_id", "group", "set", "regs", "own", F.explode(others).alias("other")).select("doc_id", "group", "set", "regs", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+    dealt = placed.select("key", "doc_id", "label", "own", F.explode(others).alias("other")).select("key", "doc_id", "label", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+    dealt = dealt.join(sets.select("doc_id", "set"), "doc_id")
 
     def link(group: pa.Table) -> pa.Table:
-        ids = np.array(group.column("doc_id").to_pylist(), np.int64)
+        ids = group.column("doc_id").to_numpy()
         sets = [np.frombuffer(x, np.uint64) for x in group.column("set").to_pylist()]
-        regs = np.frombuffer(b"".join(group.column("regs").to_pylist()), np.uint16).reshape(len(ids), -1)
-        found = linked_members(ids, sets, regs, percent)
+        found = linked_members(ids, sets, registers(sets, rows * bands), percent, group.column("label").to_numpy())
         return pa.table({"a": pa.array([x[0] for x in found], pa.int64()), "b": pa.array([x[1] for x in found], pa.int64())})
 
-    labels = components(dealt.groupBy("group", "i", "j").applyInArrow(link, "a long, b long"))
-    classes = leaders.join(labels, leaders.leader == labels.node, "left").select("digest", "n_copies", F.coalesce("label", "leader").alias("component"))
-    component = F.coalesce("component", "doc_id")
-    return base.select("doc_id", "n_shingles", "digest").join(classes, "digest", "left").select("doc_id", "n_shingles", component.alias("component_id"), (F.col("doc_id") == component).alias("kept"), "n_copies")
+    more = dealt.groupBy("key", "i", "j").applyInArrow(link, "a long, b long")
+    more = materialize(more.distinct())
+    if not more.isEmpty():
+        labels = components(near.union(more))
+    classes = leaders.join(labels, leaders.leader == labels.node, "left").select("digest", "n", F.coalesce("label", "leader").alias("component"))
+    named = join_counted(full.select("doc_id", "n_shingles", "digest"), materialize(classes), ["digest"]).select("doc_id", "n_shingles", "component", F.col("n").alias("n_copies"))
+    # documents without shingles are linked with nothing
+    alone = base.where("digest IS NULL").select("doc_id", "n_shingles", F.col("doc_id").alias("component"), F.lit(None).cast("long").alias("n_copies"))
+    return named.unionByName(alone).select("doc_id", "n_shingles", F.col("component").alias("component_id"), (F.col("doc_id") == F.col("component")).alias("kept"), "n_copies")
 
 
 def one_of_each(docs: DataFrame, percent: int = 80) -> DataFrame:

@@ -80,9 +80,9 @@ WITH t AS (SELECT DISTINCT conv_id, turn, coalesce(role, '') AS role, coalesce(t
 c AS (SELECT conv_id, list({'r': role, 't': text} ORDER BY turn NULLS FIRST, role, text) AS l, count(*) AS n FROM t GROUP BY conv_id),
 one AS (SELECT l, n, min(conv_id) AS conv_id, count(*) AS n_copies FROM c GROUP BY l, n),
 kept AS (SELECT * FROM one a WHERE NOT EXISTS (SELECT 1 FROM one b WHERE b.n > a.n AND b.l[1] = a.l[1] AND list_slice(b.l, 1, a.n) = a.l))
-SELECT conv_id, coalesce(floor(turn / 1024)::BIGINT, -9007199254740992) AS segment, any_value(n)::BIGINT AS n_turns, any_value(n_copies)::BIGINT AS n_copies,
+SELECT conv_id, any_value(n)::BIGINT AS n_turns, any_value(n_copies)::BIGINT AS n_copies,
   string_agg('<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10), '' ORDER BY turn NULLS FIRST, role, text) AS text
-FROM kept JOIN t USING (conv_id) GROUP BY conv_id, segment
+FROM kept JOIN t USING (conv_id) GROUP BY conv_id
 """
 
 
