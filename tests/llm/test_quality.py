@@ -39,6 +39,22 @@ def test_verdicts(spark, monkeypatch, broadcast):
     assert accepted(d).columns == d.columns
 
 
+def test_hosts_are_held_against_the_corpus(spark):
+    """Host rates about the corpus' change nothing; a host that fails far more often goes, in the SQL as well."""
+    good, bad = " ".join(f"w{i}" for i in range(60)), "a b"
+    rows = [(1000 * h + i, bad if i % 10 == 0 or (h == 3 and i % 4) or (h == 4 and i % 6 == 1) else good, f"h{h}") for h in range(6) for i in range(200)]
+    rows += [(9000 + i, bad if i else good, "small") for i in range(3)]
+    cols = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
+    got = sorted(map(tuple, quality_rules(docs(spark, rows)).select(*cols).collect()))
+    changed = {r[0] // 1000 for r in got if not r[6] and not r[7]}
+    assert changed == {3}  # 80 % fail; 25 % or two of three don't suffice
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR, lang VARCHAR, source VARCHAR, n_chars BIGINT)")
+    con.executemany("INSERT INTO documents VALUES (?, ?, 'en', ?, 0)", rows)
+    assert sorted(con.execute(f"SELECT {', '.join(cols)} FROM ({ORACLE_SQL['op7_quality_rules']})").fetchall()) == got
+    assert {r.doc_id for r in accepted(docs(spark, rows)).collect()} == {r[0] for r in got if r[7]}
+
+
 def test_empty(spark):
     d = docs(spark, [])
     assert quality_rules(d).count() == 0 and accepted(d).count() == 0

@@ -2,11 +2,14 @@
 
 Every document gets its counts in one pass over its row, with no shuffle of text. The failures of
 the base rules are summed by host, a host's failure rate is shrunk towards the corpus by a beta
-prior fitted to all hosts (method of moments), and the verdict goes back to the documents.
+prior fitted to all hosts (method of moments), and the verdict goes back to the documents. A host is
+rejected if its odds to fail are surely over ODDS times those of the corpus: its shrunk rate, less
+SURE standard deviations of its posterior, exceeds the rate with those odds. So a host that fails
+as others do, or has few documents, keeps its clean documents, whatever the corpus' rate is.
 
 Defined cases: a null or empty text has no words and fails; a document without a host gets no host
-verdict; repeated rows are judged one by one; an empty table gives an empty result; further columns
-of the input are ignored.
+verdict; repeated rows are judged one by one; a very long text is counted whole; a host on the limit is
+not rejected; an empty table gives an empty result; further columns of the input are ignored.
 """
 
 from __future__ import annotations
@@ -17,8 +20,8 @@ from pyspark.sql import functions as F
 from .common import SPACE, let, materialize
 
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
-#: A host is rejected when its shrunk failure rate reaches this.
-HOST_LIMIT = 0.9
+#: What makes a host's verdict (see above).
+ODDS, SURE = 4.0, 2.0
 #: So many hosts at most are broadcast (some 10 MB); beyond it, hosts are joined by shuffling, a host's rows in SALTS parts.
 BROADCAST_HOSTS, SALTS = 100_000, 64
 SYMBOLS = "#*$%&|<>"
@@ -60,7 +63,7 @@ def text_counts(docs: DataFrame, *names: str) -> DataFrame:
     )
 
 
-def host_verdicts(counts: DataFrame, limit: float = HOST_LIMIT) -> DataFrame:
+def host_verdicts(counts: DataFrame) -> DataFrame:
     """host, n_docs, n_failed, shrunk_rate, rejected: one row per host.
 
     The prior is a beta distribution with the mean and variance of the hosts' rates, weighted by
@@ -75,7 +78,11 @@ def host_verdicts(counts: DataFrame, limit: float = HOST_LIMIT) -> DataFrame:
     prior = prior.select("mean", F.when(fit > 0, fit).otherwise(F.lit(1.0)).alias("weight"))
     # one row of totals: it is broadcast whatever the size of the corpus
     shrunk = (F.col("n_failed") + F.col("mean") * F.col("weight")) / (F.col("n_docs") + F.col("weight"))
-    return hosts.join(F.broadcast(prior)).select("host", "n_docs", "n_failed", shrunk.alias("shrunk_rate")).withColumn("rejected", F.col("shrunk_rate") >= limit)
+    found = hosts.join(F.broadcast(prior)).withColumn("shrunk_rate", shrunk)
+    rate = F.col("shrunk_rate")
+    spread = F.sqrt(rate * (1 - rate) / (F.col("n_docs") + F.col("weight") + 1))
+    limit = ODDS * F.col("mean") / (1 + (ODDS - 1) * F.col("mean"))
+    return found.withColumn("rejected", rate - SURE * spread > limit).select("host", "n_docs", "n_failed", "shrunk_rate", "rejected")
 
 
 def _with_hosts(rows: DataFrame, hosts: DataFrame, how: str) -> DataFrame:
@@ -98,9 +105,10 @@ def quality_rules(docs: DataFrame) -> DataFrame:
 def accepted(docs: DataFrame) -> DataFrame:
     """The rows of docs, unchanged, that the rules keep.
 
-    The counts are worked out twice, once for the hosts' rates and once beside the rows, which is
-    cheaper at any size than to shuffle the texts.
+    The counts are worked out once: a table holds each document's host and whether it failed, and the rows of
+    those that didn't. The hosts' rates are read from its narrow columns, then the rows by the hosts' verdicts.
     """
-    bad = host_verdicts(text_counts(docs)).where("rejected").select("host")
-    rows = text_counts(docs.select("doc_id", "text", "source", F.struct("*").alias("row")), "row").where("NOT base_failed")
-    return _with_hosts(rows, bad, "left_anti").select("row.*")
+    counts = text_counts(docs.select("doc_id", "text", "source", F.struct("*").alias("row")), "row")
+    judged = materialize(counts.select("doc_id", "host", "base_failed", F.when(~F.col("base_failed"), F.col("row")).alias("row")))
+    bad = host_verdicts(judged.select("host", "base_failed")).where("rejected").select("host")
+    return _with_hosts(judged.where("NOT base_failed"), bad, "left_anti").select("row.*")

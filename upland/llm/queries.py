@@ -25,7 +25,7 @@ def op1_chat_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_repair_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_shards(write_shards(table(spark, sf_dir, "documents")))
+    return read_shards(spark, write_shards(table(spark, sf_dir, "documents")))
 
 
 def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -121,7 +121,8 @@ b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_fail
 h AS (SELECT source, count(*) AS n, count(*) FILTER (WHERE base_failed) AS f FROM b WHERE source IS NOT NULL GROUP BY source),
 m AS (SELECT sum(f)::DOUBLE / sum(n) AS mean, sum(n * (f::DOUBLE / n) * (f::DOUBLE / n)) / sum(n) - (sum(f)::DOUBLE / sum(n)) * (sum(f)::DOUBLE / sum(n)) AS var FROM h),
 p AS (SELECT mean, CASE WHEN var > 0 AND mean * (1 - mean) / var - 1 > 0 THEN mean * (1 - mean) / var - 1 ELSE 1.0 END AS weight FROM m),
-v AS (SELECT source, (f + mean * weight) / (n + weight) >= 0.9 AS rejected FROM h, p)
+q AS (SELECT source, n, mean, weight, (f + mean * weight) / (n + weight) AS rate FROM h, p),
+v AS (SELECT source, rate - 2 * sqrt(rate * (1 - rate) / (n + weight + 1)) > 4 * mean / (1 + 3 * mean) AS rejected FROM q)
 SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols, n_dup_lines::BIGINT AS n_dup_lines,
   n_repeat_words::BIGINT AS n_repeat_words, base_failed, NOT base_failed AND NOT coalesce(rejected, false) AS kept
 FROM b LEFT JOIN v USING (source)

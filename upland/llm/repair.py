@@ -2,146 +2,180 @@
 
 Documents are encoded in ascending doc_id order (range partitions, sorted) and gathered to shards of
 about SHARD_TOKENS ids, each document ended by an end id. In a shard, frequent pairs of neighbours are
-replaced by nonterminals, round after round: a round takes pairs by falling frequency such that no
-chosen pair's right id is another's left id, so their places can't overlap and all are replaced at
-once as if one after the other. No pair reaches over the end of a document.
+replaced by nonterminals until no pair is left that pays, that is, whose rule takes less room than it saves (LEAST
+occurrences). Pairs are replaced in rounds: of pairs that overlap, the one found more often goes first, and a pair whose
+places, less those that went to others, no longer pay waits for the next round. After the first round only
+places beside a replaced pair or with a pair that waits are looked at. No pair reaches over the end of a document.
 
-A shard is one row of a table in the shared folder (any file system that Spark writes), its image being
+A shard is a file of its own, written and read by Spark, so on any file system that Spark has:
 
-    "RPR1", then as little-endian u32: base (first nonterminal), rules, documents, symbols, ids
-    rules:     left u16, right u16, for base, base + 1, ...
-    lengths:   u32, ids that each rule expands to
-    documents: u64 doc_id (two's complement), u8 whether it is null, u32 first symbol, u32 first id
-    symbols:   u16
+    "RPR2", then as little-endian u32: base (first nonterminal), rules, documents, symbols, ids, bytes of the body
+    body, packed by zstd:
+        rules:     left and right, for base, base + 1, ...: low u16 of all, then high u8
+        lengths:   u32, ids that each rule expands to
+        documents: u64 doc_id (two's complement), u8 whether it is null, u32 first symbol, u32 first id
+        symbols:   low u16 of all, then high u8
+    a line end
 
-deflated by zstd. read_range() expands only the symbols that hold the wanted ids.
+Files are named by partition and number, which is their order. read_range() expands only the symbols that hold
+the wanted ids; read_shards() gets documents by it.
 
 Defined cases: a null or empty text has the end id only; rows without doc_id come first; repeated rows
-are kept; a document longer than a shard has a shard to itself; an empty table gives an empty result;
-further columns of the input are ignored.
+are kept, equal doc_ids in order of their texts; a document longer than a shard has a shard to itself; an empty
+table gives an empty result; further columns of the input are ignored.
 """
 
 from __future__ import annotations
 
 import struct
+import uuid
 import zlib
 from collections.abc import Iterator
-from itertools import count
 
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import column, materialize, plain, small_batches
+from .common import column, materialize, plain, shared_dir, small_batches
 from .tokens import library, shared_encoder, vocabulary
 
 END = 1
 SHARD_TOKENS = 2_000_000
-#: A pair must be found so often in a shard to become a rule; rounds of replacing aren't limited.
-LEAST, ROUNDS = 24, None
-TOP = 1 << 16
-TABLE = 1 << 23
-HEAD = struct.Struct("<4s5I")
-
-
-def _choose(codes: np.ndarray, counts: np.ndarray, room: int) -> np.ndarray:
-    """Pairs by falling count such that no one's right id is another's left; sorted."""
-    order = np.lexsort((codes, -counts))
-    left, right, chosen = set(), set(), []
-    for code in codes[order].tolist():
-        a, b = code >> 16, code & 0xFFFF
-        if a in right or b in left or (a == b and (a in left or b in right)):
-            continue
-        left.add(a)
-        right.add(b)
-        chosen.append(code)
-        if len(chosen) == room:
-            break
-    return np.sort(np.array(chosen, np.uint32))
-
-
-def _find(now: np.ndarray, chosen: np.ndarray) -> np.ndarray:
-    """The chosen pair that begins at each place, or -1: a table of left by right ids of the pairs, or a search if that is large."""
-    left, l = np.unique(chosen >> np.uint32(16), return_inverse=True)
-    right, r = np.unique(chosen & np.uint32(0xFFFF), return_inverse=True)
-    if (len(left) + 1) * (len(right) + 1) > TABLE:
-        code = (now[:-1] << np.uint32(16)) | now[1:]
-        at = np.minimum(np.searchsorted(chosen, code), len(chosen) - 1)
-        return np.where(chosen[at] == code, at, -1)
-    table = np.full((len(left) + 1) * (len(right) + 1), -1, np.int32)
-    table[(l + 1) * (len(right) + 1) + r + 1] = np.arange(len(chosen))
-    row, col = np.zeros(TOP, np.int32), np.zeros(TOP, np.int32)
-    row[left], col[right] = np.arange(1, len(left) + 1) * (len(right) + 1), np.arange(1, len(right) + 1)
-    return table[row[now[:-1]] + col[now[1:]]]
-
-
-def compress(symbols: np.ndarray, ends: np.ndarray, base: int, least: int = LEAST, rounds: int | None = ROUNDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(symbols u16, first symbol of each document, rules as rows of two) for ids below base; ends: each document's last id.
-    Without rounds, it ends when no pair is found often enough or the ids are used up."""
-    now = symbols.astype(np.uint32)
-    last = np.zeros(len(now), bool)
-    last[ends] = True
-    rules: list[np.ndarray] = []
-    used = base
-    for _ in count() if rounds is None else range(rounds):
-        if len(now) < 2 or used >= TOP:
-            break
-        open_ = ~last[:-1]
-        ordered = np.sort(((now[:-1] << np.uint32(16)) | now[1:])[open_])
-        first = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1])) if len(ordered) else np.empty(0, np.int64)
-        counts = np.diff(np.append(first, len(ordered)))
+#: Bytes of a symbol and of a rule with its length; a pair pays from LEAST occurrences on.
+SYMBOL_BYTES, RULE_BYTES = 3, 10
+LEAST = RULE_BYTES // SYMBOL_BYTES + 1
+#: Documents that are read at once.
+READ = 64
+#: Shards whose places are broadcast, at most (24 bytes each).
+BROADCAST_SHARDS = 200_000
+HEAD = struct.Struct("<4s6I")
+
+
+def _waiting(now: np.ndarray, after: np.ndarray, at: np.ndarray, used: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """Codes (left and right symbol) of the pairs at the places at, sorted, with their places, and the bits of a symbol.
+    In runs of one symbol, pairs overlap: every second one counts."""
+    end = len(now) - 1
+    at = at[after[at] < end]
+    left, right = now[at], now[after[at]]
+    alike = np.flatnonzero(left == right)
+    if len(alike):
+        run = at[alike]
+        first = np.flatnonzero(np.append(True, after[run[:-1]] != run[1:]))
+        place = np.arange(len(run)) - np.repeat(first, np.diff(np.append(first, len(run))))
+        at, left, right = (np.delete(x, alike[place % 2 == 1]) for x in (at, left, right))
+    bits, place_bits = int(used).bit_length(), end.bit_length()
+    if 2 * bits + place_bits > 64:
+        raise ValueError("the shard is too long")
+    # sorted with the place in the low bits, which is quicker than to sort places by codes
+    code = (((left.astype(np.uint64) << np.uint64(bits)) | right) << np.uint64(place_bits)) | at.astype(np.uint64)
+    code.sort()
+    return code >> np.uint64(place_bits), (code & np.uint64((1 << place_bits) - 1)).astype(np.int32), bits
+
+
+def compress(symbols: np.ndarray, ends: np.ndarray, base: int, least: int = LEAST) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(symbols, first symbol of each document, rules as rows of two) for ids below base; ends: each document's last id."""
+    n = len(symbols)
+    if not n:
+        return np.empty(0, np.uint32), np.empty(0, np.int64), np.empty((0, 2), np.uint32)
+    # places are linked; n stands for "none", and no link crosses the end of a document
+    now = np.append(symbols, 0).astype(np.uint32)
+    after, before = np.arange(1, n + 2, dtype=np.int32), np.arange(-1, n, dtype=np.int32)
+    after[[*ends, n]] = n
+    before[[0, *(ends[:-1] + 1)]] = n
+    gone, alive, rank = np.zeros(n + 1, bool), np.zeros(n + 1, bool), np.zeros(n + 1, np.int32)
+    at, used, rules = np.arange(n, dtype=np.int32), base, [np.empty((0, 2), np.uint32)]
+    while True:
+        code, at, bits = _waiting(now, after, at, used)
+        first = np.flatnonzero(np.append(True, code[1:] != code[:-1])) if len(code) else np.empty(0, np.int64)
+        counts = np.diff(np.append(first, len(code)))
         often = counts >= least
         if not often.any():
             break
-        chosen = _choose(ordered[first[often]], counts[often], TOP - used)
-        found = _find(now, chosen)
-        at = np.flatnonzero(open_ & (found >= 0))
-        rule = found[at]
-        # only pairs of equal ids can overlap, in runs: every second one is taken
-        run = np.cumsum(np.append(True, np.diff(at) > 1)) if len(at) else at
-        place = np.arange(len(at)) - np.flatnonzero(np.append(True, np.diff(run) > 0))[run - 1] if len(at) else at
-        keep = place % 2 == 0
-        at, rule = at[keep], rule[keep]
-        now[at] = used + rule
-        last[at] |= last[at + 1]
-        stay = np.ones(len(now), bool)
-        stay[at + 1] = False
-        now, last = now[stay], last[stay]
-        rules.append(np.stack([chosen >> np.uint32(16), chosen & np.uint32(0xFFFF)], 1))
-        used += len(chosen)
-    starts = np.append(0, np.flatnonzero(last)[:-1] + 1) if len(now) else np.empty(0, np.int64)
-    return now.astype(np.uint16), starts, np.concatenate(rules).astype(np.uint16) if rules else np.empty((0, 2), np.uint16)
+        at, pair, counts = at[np.repeat(often, counts)], code[first[often]], counts[often]
+        # a pair's rank is higher the more often it is found; where pairs overlap, the higher rank stays
+        order = np.lexsort((pair, counts))
+        ranks = np.empty(len(order), np.int32)
+        ranks[order] = np.arange(1, len(order) + 1)
+        rank[at] = np.repeat(ranks, counts)
+        at = np.flatnonzero(rank) if len(at) > n // 16 else np.sort(at)
+        own = rank[at]
+        stays = (own > rank[before[at]]) & (own > rank[after[at]])
+        rank[at] = 0
+        chosen, own = at[stays], own[stays]
+        pays = np.bincount(own, minlength=len(order) + 1) >= least
+        taken = np.flatnonzero(pays)[::-1]
+        number = np.zeros(len(pays), np.uint32)
+        number[taken] = used + np.arange(len(taken))
+        chosen, own = chosen[pays[own]], own[pays[own]]
+        made = pair[order[taken - 1]]
+        rules.append(np.stack([made >> np.uint64(bits), made & np.uint64((1 << bits) - 1)], 1).astype(np.uint32))
+        used += len(taken)
+        second = after[chosen]
+        third = after[second]
+        now[chosen], after[chosen], before[third], gone[second] = number[own], third, chosen, True
+        beside = before[chosen]
+        alive[at] = alive[chosen] = alive[beside] = True
+        alive[second] = alive[n] = False
+        at = np.flatnonzero(alive) if len(chosen) > n // 64 else np.unique(np.concatenate([at, chosen, beside]))
+        at = at[alive[at]]
+        alive[at] = False
+    stay = ~gone[:n]
+    starts = np.append(0, ends[:-1] + 1)
+    return now[:n][stay], np.cumsum(stay)[starts] - 1, np.concatenate(rules)
+
+
+def rule_levels(rules: np.ndarray, base: int) -> list[tuple[int, int]]:
+    """Stretches of rules that name only what comes before the stretch."""
+    newest, out, at = rules.max(axis=1, initial=0).astype(np.int64) - base, [], 0
+    while at < len(rules):
+        later = newest[at:] >= at
+        stop = at + int(np.argmax(later)) if later.any() else len(rules)
+        out.append((at, stop))
+        at = stop
+    return out
 
 
 def rule_lengths(rules: np.ndarray, base: int) -> np.ndarray:
     lengths = np.ones(base + len(rules), np.int64)
-    for i, (a, b) in enumerate(rules.tolist()):
-        lengths[base + i] = lengths[a] + lengths[b]
+    for a, b in rule_levels(rules, base):
+        lengths[base + a : base + b] = lengths[rules[a:b]].sum(axis=1)
     return lengths
 
 
+def _planes(x: np.ndarray) -> bytes:
+    """Numbers below 2^24: the low 16 bits of all, then the high 8."""
+    return (x & 0xFFFF).astype("<u2").tobytes() + (x >> 16).astype(np.uint8).tobytes()
+
+
 def build_image(docs: list[int | None], ids: list[np.ndarray], base: int) -> bytes:
     sizes = np.fromiter(map(len, ids), np.int64, len(ids))
     flat = np.concatenate(ids)
     symbols, first, rules = compress(flat, np.cumsum(sizes) - 1, base)
+    if base + len(rules) > 1 << 24:
+        raise ValueError("the format holds symbols of 24 bits")
     known = np.array([x or 0 for x in docs], np.int64)
-    parts = [rules.astype("<u2"), rule_lengths(rules, base)[base:].astype("<u4"), known.astype("<i8"), np.array([x is None for x in docs], np.uint8), first.astype("<u4"), (np.cumsum(sizes) - sizes).astype("<u4"), symbols.astype("<u2")]
-    head = HEAD.pack(b"RPR1", base, len(rules), len(docs), len(symbols), len(flat))
-    return zstandard.ZstdCompressor(level=1).compress(head + b"".join(x.tobytes() for x in parts))
+    parts = [rule_lengths(rules, base)[base:].astype("<u4"), known.astype("<i8"), np.array([x is None for x in docs], np.uint8), first.astype("<u4"), (np.cumsum(sizes) - sizes).astype("<u4")]
+    body = zstandard.ZstdCompressor(level=1).compress(_planes(rules.ravel()) + b"".join(x.tobytes() for x in parts) + _planes(symbols))
+    return HEAD.pack(b"RPR2", base, len(rules), len(docs), len(symbols), len(flat), len(body)) + body
+
+
+def image_ids(data: bytes) -> int:
+    """How many ids an image holds, by its head."""
+    magic, _, _, _, _, n, _ = HEAD.unpack_from(data)
+    if magic != b"RPR2":
+        raise ValueError("not a shard image")
+    return n
 
 
 class Image:
     """A shard read back."""
 
     def __init__(self, data: bytes):
-        raw = zstandard.ZstdDecompressor().decompress(data)
-        magic, self.base, n_rules, n_docs, n_symbols, self.n_ids = HEAD.unpack_from(raw)
-        if magic != b"RPR1":
-            raise ValueError("not a shard image")
-        at = HEAD.size
+        self.n_ids = image_ids(data)
+        _, self.base, n_rules, n_docs, n_symbols, _, size = HEAD.unpack_from(data)
+        raw, at = zstandard.ZstdDecompressor().decompress(data[HEAD.size : HEAD.size + size]), 0
 
         def part(kind: str, n: int) -> np.ndarray:
             nonlocal at
@@ -149,21 +183,25 @@ class Image:
             at += out.nbytes
             return out
 
-        self.rules = part("<u2", 2 * n_rules).reshape(-1, 2)
+        def planes(n: int) -> np.ndarray:
+            return part("<u2", n).astype(np.int64) | part("u1", n).astype(np.int64) << 16
+
+        self.rules = planes(2 * n_rules).reshape(-1, 2)
         lengths = part("<u4", n_rules).astype(np.int64)
         docs, null = part("<i8", n_docs), part("u1", n_docs)
         self.docs = [None if n else d for d, n in zip(docs.tolist(), null.tolist(), strict=True)]
         self.first_symbol, self.first_id = part("<u4", n_docs).astype(np.int64), part("<u4", n_docs).astype(np.int64)
-        self.symbols = part("<u2", n_symbols).astype(np.int64)
+        self.symbols = planes(n_symbols)
         self.size = np.concatenate([np.ones(self.base, np.int64), lengths])
-        # expansions of all rules, one after the other; a rule comes after those that it names
+        # expansions of all rules, one after the other; a level of rules is laid out from those before it
         self.offset = np.concatenate([np.arange(self.base), self.base + np.cumsum(lengths) - lengths])
         self.table = np.empty(self.base + int(lengths.sum()), np.uint32)
         self.table[: self.base] = np.arange(self.base)
-        for i, (a, b) in enumerate(self.rules.tolist()):
-            o, m = self.offset[self.base + i], self.size[a]
-            self.table[o : o + m] = self.table[self.offset[a] : self.offset[a] + m]
-            self.table[o + m : o + m + self.size[b]] = self.table[self.offset[b] : self.offset[b] + self.size[b]]
+        for a, b in rule_levels(self.rules, self.base):
+            start = self.offset[self.base + a]
+            laid = self.expand(self.rules[a:b].ravel())
+            self.table[start : start + len(laid)] = laid
+        self.ends = np.cumsum(self.size[self.symbols])
 
     def expand(self, symbols: np.ndarray) -> np.ndarray:
         size = self.size[symbols]
@@ -172,41 +210,37 @@ class Image:
 
     def read_range(self, start: int, n: int) -> np.ndarray:
         """Ids start .. start + n of the shard."""
-        doc = int(np.searchsorted(self.first_id, start, "right")) - 1
-        at, seen = int(self.first_symbol[doc]), int(self.first_id[doc])
-        stop_doc = int(np.searchsorted(self.first_id, start + n, "left"))
-        stop = int(self.first_symbol[stop_doc]) if stop_doc < len(self.docs) else len(self.symbols)
-        ends = seen + np.cumsum(self.size[self.symbols[at:stop]])
-        i, j = np.searchsorted(ends, start, "right"), np.searchsorted(ends, start + n, "left")
-        skip = start - (int(ends[i - 1]) if i else seen)
-        return self.expand(self.symbols[at + i : at + j + 1])[skip : skip + n]
+        i, j = int(np.searchsorted(self.ends, start, "right")), int(np.searchsorted(self.ends, start + n, "left"))
+        skip = start - (int(self.ends[i - 1]) if i else 0)
+        return self.expand(self.symbols[i : j + 1])[skip : skip + n]
 
     def documents(self) -> Iterator[tuple[int | None, np.ndarray]]:
-        ids = self.expand(self.symbols)
+        """Every document's ids, some documents at a time."""
         bounds = np.append(self.first_id, self.n_ids)
-        for k, doc in enumerate(self.docs):
-            yield doc, ids[bounds[k] : bounds[k + 1]]
+        for k in range(0, len(self.docs), READ):
+            stop = min(k + READ, len(self.docs))
+            ids = self.read_range(int(bounds[k]), int(bounds[stop] - bounds[k]))
+            for d in range(k, stop):
+                yield self.docs[d], ids[bounds[d] - bounds[k] : bounds[d + 1] - bounds[k]]
 
 
-def write_shards(docs: DataFrame, tokenizer: str = "word_bpe_49k.json", end: int = END, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
-    """part, shard (ascending with doc_id), n_tokens, image: the table of shards, written and read back."""
-    small_batches(docs.sparkSession)
+def write_shards(docs: DataFrame, folder: str | None = None, tokenizer: str = "word_bpe_49k.json", end: int = END, shard_tokens: int = SHARD_TOKENS) -> str:
+    """Write a file for each shard to a folder, by default a new one in the shared folder; returns the folder."""
+    spark = docs.sparkSession
+    small_batches(spark)
     path = vocabulary(tokenizer)
     base = library(path).get_vocab_size(with_added_tokens=True)
-    if base >= TOP:
-        raise ValueError("the format holds 16-bit ids")
+    folder = folder or f"{shared_dir(spark).rstrip('/')}/upland-shards-{uuid.uuid4().hex}"
 
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, done = TaskContext.get().partitionId(), 0
         held: list[tuple[int | None, np.ndarray]] = []
         size = 0
 
         def flush() -> pa.RecordBatch:
-            nonlocal held, size, done
+            nonlocal held, size
             image = build_image([x[0] for x in held], [x[1] for x in held], base)
-            out = pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([done], pa.int32()), pa.array([size], pa.int64()), pa.array([image], pa.binary())], ["part", "shard", "n_tokens", "image"])
-            held, size, done = [], 0, done + 1
-            return out
+            held, size = [], 0
+            return pa.RecordBatch.from_arrays([pa.array([image], pa.binary())], ["image"])
 
         with shared_encoder(path) as encoder:
             for b in batches:
@@ -219,14 +253,35 @@ def write_shards(docs: DataFrame, tokenizer: str = "word_bpe_49k.json", end: int
                 yield flush()
 
     ordered = plain(docs).repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    return materialize(ordered.mapInArrow(shards, "part int, shard int, n_tokens long, image binary"))
+    # the text writer writes bytes as they are; one record a file
+    images = ordered.mapInArrow(shards, "image binary").select(F.col("image").cast("string").alias("value"))
+    images.write.option("maxRecordsPerFile", 1).option("compression", "none").text(folder)
+    return folder
+
+
+def shard_files(spark: SparkSession, folder: str) -> DataFrame:
+    """part, shard (their order), image of the files of a folder."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(folder).where("length > 1")
+    number = lambda k: F.regexp_extract("path", r"part-(\d+)-.*-c(\d+)[^/]*$", k).cast("int")
+    return files.select(number(1).alias("part"), number(2).alias("shard"), F.col("content").alias("image"))
 
 
-def read_shards(shards: DataFrame) -> DataFrame:
-    """doc_id, start, n_tokens, ids_crc32 of all documents, from the shards alone."""
-    # one row of counts per shard: their running sum is one small task
-    before = F.coalesce(F.sum("n_tokens").over(Window.orderBy("part", "shard").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    base = shards.select("part", "shard", "n_tokens").select("part", "shard", before.alias("base"))
+def read_shards(spark: SparkSession, folder: str) -> DataFrame:
+    """doc_id, start, n_tokens, ids_crc32 of all documents, from the files alone."""
+    files = shard_files(spark, folder)
+
+    def heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            counts = [image_ids(x) for x in column(b, "image")]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(counts, pa.int64())], ["part", "shard", "n"])
+
+    counted = materialize(files.mapInArrow(heads, "part int, shard int, n long"))
+    # a row for each partition that wrote, then a running sum within each
+    before = F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    parts = counted.groupBy("part").agg(F.sum("n").alias("n")).select("part", before.alias("base"))
+    inside = F.coalesce(F.sum("n").over(Window.partitionBy("part").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    bases = materialize(counted.withColumn("inside", inside).join(parts, "part").select("part", "shard", (F.col("base") + F.col("inside")).alias("base")))
+    bases = F.broadcast(bases) if bases.count() <= BROADCAST_SHARDS else bases.hint("merge")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -237,4 +292,4 @@ def read_shards(shards: DataFrame) -> DataFrame:
                     start += len(ids)
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], ["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    return shards.join(base, ["part", "shard"]).select("base", "image").mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return files.join(bases, ["part", "shard"]).select("base", "image").mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
