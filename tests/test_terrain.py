@@ -1,5 +1,6 @@
 import math
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -88,3 +89,24 @@ def test_witness_is_another_plan(spark):
     assert w.horn_max_diff < 1e-9 and w.rook_max_diff < 1e-9 and w.class_mismatch == 0 and w.photons_witness <= w.photons_plan
     plan = terrain.witness(g)._jdf.queryExecution().executedPlan().toString()
     assert "Window" not in plan and math.isfinite(w.horn_max_diff)
+
+
+def test_exact_quantile(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    for values in (rng.lognormal(0, 3, 5000), np.round(rng.standard_normal(3000), 1), np.array([1.0, 2.0]), np.array([5.0] * 400 + [7.0] * 21), np.array([3.0]), np.repeat([0.0, 1e-300, 1.0], 50)):
+        frame = spark.createDataFrame([(float(v),) for v in values] + [(None,)], "x double")
+        for last in (100_000, 5):
+            monkeypatch.setattr(terrain, "LAST_VALUES", last)
+            for q in (0.0, 0.5, 0.95, 1.0):
+                assert terrain.exact_quantile(frame, "x", q) == pytest.approx(np.quantile(values, q), rel=1e-12, abs=0), (len(values), last, q)
+    assert terrain.exact_quantile(frame.where("x > 9"), "x", 0.5) is None
+
+
+def test_halo_tiles_join_without_seams(spark):
+    z = np.random.default_rng(4).standard_normal((20, 23))
+    z[5, 6] = np.nan
+    frame = spark.createDataFrame([(r, c, None if np.isnan(v) else float(v)) for (r, c), v in np.ndenumerate(z)], "r int, c int, z double")
+    whole, parts = (sorted(map(tuple, terrain.neighbours(frame, n).collect()), key=lambda x: x[:2]) for n in (256, 4))
+    assert whole == parts and len(whole) == 18 * 21
+    by = {x[:2]: x for x in whole}
+    assert by[4, 6][2:] == tuple(None if np.isnan(v) else v for v in (z[4, 6], z[5, 5], z[5, 6], z[5, 7], z[4, 5], z[4, 7], z[3, 5], z[3, 6], z[3, 7]))

@@ -1,19 +1,25 @@
 """Slope, aspect and curvature from 3x3 neighbourhoods, by two plans and a witness.
 
-The plans use lag and lead along rows and then along columns, which needs a row per node (NULL where
-there is no height); the witness scatters every height to its neighbours' sums with a kernel's weights
-and keeps the nodes that got all nine.
+The plans read neighbourhoods from halo tiles: a node goes to its tile and to those beside it that need it, so one
+shuffle brings all nine nodes together; that needs a row per node (NULL where there is no height). The witness scatters
+every height to its neighbours' sums with a kernel's weights and keeps the nodes that got all nine.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ..functions.scalars import NODATA_CLASS, SLOPE_EDGES, SLOPE_LABELS, TOL_SLOPE_PP, TOL_WITNESS, octant, photon, slope_class, slope_percent
 
+#: Nodes of a halo tile's side.
+HALO_TILE = 256
+#: Bins of a pass of exact_quantile, and values that are sorted at last.
+BINS, LAST_VALUES = 4096, 100_000
+
 
-# names of the neighbours: north row a b c, middle d z f, south g h k
 def _along() -> WindowSpec:
     return Window.partitionBy("r").orderBy("c")
 
@@ -22,16 +28,31 @@ def _across() -> WindowSpec:
     return Window.partitionBy("c").orderBy("r")
 
 
-def neighbours(grid: DataFrame) -> DataFrame:
+#: Names of the neighbours and where they lie: north row a b c_, middle d z f, south g h k.
+AROUND = {"z": (0, 0), "a": (1, -1), "b": (1, 0), "c_": (1, 1), "d": (0, -1), "f": (0, 1), "g": (-1, -1), "h": (-1, 0), "k": (-1, 1)}
+
+
+def neighbours(grid: DataFrame, size: int | None = None) -> DataFrame:
     """r, c, z and the eight neighbours' heights a b c_ d f g h k, of interior nodes."""
-    row = grid.select("r", "c", "z", F.lag("z").over(_along()).alias("d"), F.lead("z").over(_along()).alias("f"), F.lag(F.lit(1)).over(_along()).alias("west"), F.lead(F.lit(1)).over(_along()).alias("east"))
-    out = row.select(
-        "r", "c", "z", "d", "f", "west", "east",
-        F.lead("d").over(_across()).alias("a"), F.lead("z").over(_across()).alias("b"), F.lead("f").over(_across()).alias("c_"),
-        F.lag("d").over(_across()).alias("g"), F.lag("z").over(_across()).alias("h"), F.lag("f").over(_across()).alias("k"),
-        F.lag(F.lit(1)).over(_across()).alias("south"), F.lead(F.lit(1)).over(_across()).alias("north"),
-    )
-    return out.where("west = 1 AND east = 1 AND south = 1 AND north = 1").drop("west", "east", "south", "north")
+    size = size or HALO_TILE
+
+    def near(axis: str) -> Column:
+        at = F.col(axis)
+        return F.explode(F.array_distinct(F.array(*[F.floor((at + k) / size).cast("int") for k in (-1, 0, 1)])))
+
+    tiles = grid.select("r", "c", "z").withColumn("_i", near("r")).withColumn("_j", near("c"))
+
+    def work(t: pa.Table) -> pa.Table:
+        r0, c0 = t.column("_i")[0].as_py() * size - 1, t.column("_j")[0].as_py() * size - 1
+        r, c = t.column("r").to_numpy() - r0, t.column("c").to_numpy() - c0
+        z, here = np.full((size + 2, size + 2), np.nan), np.zeros((size + 2, size + 2), bool)
+        z[r, c], here[r, c] = t.column("z").to_numpy(zero_copy_only=False), True
+        own = here[1:-1, 1:-1] & here[2:, 1:-1] & here[:-2, 1:-1] & here[1:-1, 2:] & here[1:-1, :-2]
+        i, j = np.nonzero(own)
+        heights = {n: z[i + 1 + dr, j + 1 + dc] for n, (dr, dc) in AROUND.items()}
+        return pa.table({"r": (i + 1 + r0).astype(np.int32), "c": (j + 1 + c0).astype(np.int32)} | {n: pa.array(v, mask=np.isnan(v)) for n, v in heights.items()})
+
+    return tiles.groupBy("_i", "_j").applyInArrow(work, "r int, c int, " + ", ".join(f"{n} double" for n in AROUND))
 
 
 def horn(spacing: float = 1.0) -> tuple[Column, Column]:
@@ -56,11 +77,14 @@ def slopes(grid: DataFrame, spacing: float = 1.0) -> DataFrame:
     return out.withColumn("valid", both).withColumn("photon", photon(F.col("horn_pct"), F.col("rook_pct"), TOL_SLOPE_PP))
 
 
-def classes(grid: DataFrame, spacing: float = 1.0) -> DataFrame:
-    """r, c, cls, asp of every node; the border has no data."""
-    inner = slopes(grid, spacing).select("r", "c", slope_class(F.col("horn_pct")).alias("cls"), octant(F.col("p"), F.col("q"), F.col("horn_pct")).alias("asp"))
+def classes(grid: DataFrame, spacing: float = 1.0, slope: DataFrame | None = None) -> DataFrame:
+    """r, c, cls, asp of every node; the border has no data. slope: that of the grid, if it is at hand."""
+    slope = slopes(grid, spacing) if slope is None else slope
+    inner = slope.select("r", "c", slope_class(F.col("horn_pct")).alias("cls"), octant(F.col("p"), F.col("q"), F.col("horn_pct")).alias("asp"))
     none = F.lit(NODATA_CLASS)
-    return grid.select("r", "c").join(inner, ["r", "c"], "left").select("r", "c", F.coalesce("cls", none).alias("cls"), F.coalesce("asp", none).alias("asp"))
+    # a sum by node instead of a join, which needs no sorting: each node comes once from the grid and once, inside, with its class
+    both = inner.unionByName(grid.select("r", "c", F.lit(None).cast("int").alias("cls"), F.lit(None).cast("int").alias("asp")))
+    return both.groupBy("r", "c").agg(F.coalesce(F.max("cls"), none).alias("cls"), F.coalesce(F.max("asp"), none).alias("asp"))
 
 
 KERNELS = {
@@ -82,11 +106,37 @@ def witness(grid: DataFrame, spacing: float = 1.0) -> DataFrame:
     return got.select("r", "c", F.hypot("p", "q").alias("ph"), F.hypot("pz", "qz").alias("pr")).select("r", "c", (100.0 * F.col("ph")).alias("horn_pct"), (100.0 * F.col("pr")).alias("rook_pct"))
 
 
+def exact_quantile(frame: DataFrame, column: str, q: float) -> float | None:
+    """The interpolated quantile of a column's values, exactly, without gathering them: counts by bins show which bin
+    holds the rank, its values are binned again until few are left or all are equal, and those are sorted."""
+    values = frame.select(F.col(column).cast("double").alias("v")).where("v IS NOT NULL")
+    found = values.agg(F.count("*").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).first()
+    n, lo, hi = found["n"], found["lo"], found["hi"]
+    if not n:
+        return None
+    place = q * (n - 1)
+    # ranks below and above the place, from 0; `below` values are smaller than those still looked at
+    first, last, below = int(np.floor(place)), int(np.ceil(place)), 0
+    inside = n
+    between = lambda a, b: float(a) if a == b else float((last - place) * a + (place - first) * b)
+    while inside > LAST_VALUES and lo < hi:
+        bin_ = F.least(F.floor((F.col("v") - lo) / ((hi - lo) / BINS)), F.lit(BINS - 1)).cast("int")
+        rows = values.where(F.col("v").between(lo, hi)).groupBy(bin_.alias("bin")).agg(F.count("*").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).orderBy("bin").collect()
+        ends = below + np.cumsum([r["n"] for r in rows])
+        i, j = int(np.searchsorted(ends, first, "right")), int(np.searchsorted(ends, last, "right"))
+        if i < j:  # the greatest of one bin and the least of the next
+            return between(rows[i]["hi"], rows[j]["lo"])
+        below, lo, hi, inside = int(ends[i]) - rows[i]["n"], rows[i]["lo"], rows[i]["hi"], rows[i]["n"]
+    if lo == hi:
+        return lo
+    rest = np.sort(np.array([r["v"] for r in values.where(F.col("v").between(lo, hi)).collect()]))
+    return between(rest[first - below], rest[last - below])
+
+
 def breaks(slope: DataFrame) -> DataFrame:
-    """slope with brk (among the top 5 % of curvature of valid nodes) and near_brk (within one node of such)."""
-    limit = slope.where("valid").agg(F.expr("percentile(curvature, 0.95)").alias("cut"))
-    # one row, whatever the size of the grid
-    marked = slope.crossJoin(F.broadcast(limit)).withColumn("brk", F.coalesce((F.col("curvature") >= F.coalesce("cut", F.lit(0.0))) & (F.col("curvature") > 1e-6), F.lit(False)))
+    """slope with cut, brk (among the top 5 % of curvature of valid nodes) and near_brk (within one node of such)."""
+    cut = exact_quantile(slope.where("valid"), "curvature", 0.95)
+    marked = slope.withColumn("cut", F.lit(cut).cast("double")).withColumn("brk", F.coalesce((F.col("curvature") >= F.coalesce("cut", F.lit(0.0))) & (F.col("curvature") > 1e-6), F.lit(False)))
     # rows and columns are dense, so a frame of three rows is a node and its two neighbours
     near = marked.withColumn("m", F.max("brk").over(_across().rowsBetween(-1, 1))).withColumn("m", F.max("m").over(_along().rowsBetween(-1, 1)))
     return near.withColumn("near_brk", F.col("m") & F.col("valid")).drop("m")

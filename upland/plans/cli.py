@@ -10,8 +10,6 @@ import json
 import os
 import sys
 
-from pyspark.sql import functions as F
-
 from ..session import session, ship
 from ..sources.coverage import Coverage, boxes
 from ..sources.rasters import NumpyGrid, is_northward, load_catalogue, settings
@@ -71,7 +69,8 @@ def main(argv: list[str] | None = None) -> int:
     grid, shape, origin, spacing = _source(spark, getattr(a, "source", None) or os.path.join(folder, "source.npy"))
     if a.job == "verify":
         tiles = tile_files(spark, folder)
-        rows = decode_heights(tiles, strict=False).join(F.broadcast(tiles.select("path", "tile")), "path")
+        names = tiles.select("path", "tile").persist()
+        rows = decode_heights(tiles, strict=False).join(runs._small(names, names.count()), "path")
         receipt = runs.verify_tiles(spark, rows, grid, shape, origin, spacing, points=a.count, seconds=a.seconds, batch=a.batch, seed=a.seed)
         path, photons = os.path.join(folder, "pair_receipt.json"), receipt["photons_total"]
     elif a.job == "slope":

@@ -14,7 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.types import StructType
@@ -144,13 +144,21 @@ def decode_classes(files: DataFrame) -> DataFrame:
 
 
 def tile_files(spark, path: str, suffix: str = ".ght") -> DataFrame:
-    """path, content, tile (its place among the sorted paths) of all tiles under a folder."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", f"*{suffix}").load(path).select("path", "content")
-    # a listing: one short row per file
-    from pyspark.sql import Window
+    """path, content, tile (its place among the sorted paths) of all tiles under a folder.
 
-    names = files.select("path").withColumn("tile", F.row_number().over(Window.orderBy("path")) - 1)
-    return files.join(names, "path")
+    Paths are numbered by range partitions: a partition's count of paths, which are few numbers, gives where the next begins.
+    Contents take no part in it."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", f"*{suffix}").load(path).select("path", "content")
+    names = files.select("path").repartitionByRange("path").withColumn("part", F.spark_partition_id()).persist()
+    counts = [r for r in names.groupBy("part").count().orderBy("part").collect()]  # a row for each partition
+    starts, at = [], 0
+    for r in counts:
+        starts.append((r["part"], at))
+        at += r["count"]
+    first = F.broadcast(spark.createDataFrame(starts, "part int, first long"))
+    own = F.row_number().over(Window.partitionBy("part").orderBy("path")) - 1
+    numbered = names.withColumn("own", own).join(first, "part").select("path", (F.col("first") + F.col("own")).cast("int").alias("tile"))
+    return files.join(numbered, "path")
 
 
 class _File(InputPartition):
