@@ -6,6 +6,7 @@ functions here test for it first.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column
@@ -22,6 +23,11 @@ CHUNK_M, TILE_M = 1000, 256
 NODATA_Q = 65535
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value) with value written and worked out once, as a lambda's argument."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def nan_to_null(x: Column) -> Column:
     """Non-finite values become NULL."""
     return F.when(F.isnan(x) | (F.abs(x) == float("inf")), None).otherwise(x)

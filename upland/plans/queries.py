@@ -160,12 +160,13 @@ def s8(spark, d):
 CUT_SQL = TILES_SQL.split("qt AS")[0].strip().rstrip(",")
 
 
-@query("s9_class_tiles_round_trip", f"WITH {surface_sql(200)}, {STENCIL_SQL}, cl AS (SELECT s.r, s.c, coalesce({CLASS_SQL}, 255) AS z FROM s LEFT JOIN sl USING (r, c)), {CUT_SQL.replace('SELECT s.*', 'SELECT cl.*').replace('AS ix FROM s)', 'AS ix FROM cl)')} SELECT ix, iy, ({(TILE + 1) ** 2} - count(*) FILTER (WHERE z <> 255))::BIGINT AS nodata_count, count(*) FILTER (WHERE z >= 3 AND z <> 255)::BIGINT AS steep_count FROM ct GROUP BY ix, iy")
+@query("s9_class_tiles_round_trip", f"WITH {surface_sql(200)}, {STENCIL_SQL}, cl AS (SELECT s.r, s.c, coalesce({CLASS_SQL}, 255) AS cls, coalesce({ASPECT_SQL}, 255) AS asp, 0 AS z FROM s LEFT JOIN sl USING (r, c)), {CUT_SQL.replace('SELECT s.*', 'SELECT cl.*').replace('AS ix FROM s)', 'AS ix FROM cl)').replace(' r, c, z FROM (', ' r, c, cls, asp FROM (')} SELECT ix, iy, i, j, cls, asp, ({(TILE + 1) ** 2} - count(*) FILTER (WHERE cls <> 255) OVER w)::BIGINT AS nodata_count, (count(*) FILTER (WHERE cls >= 3 AND cls <> 255) OVER w)::BIGINT AS steep_count FROM ct WINDOW w AS (PARTITION BY ix, iy)")
 def s9(spark, d):
     cut = grid.cut(terrain.classes(surface(spark, d, 200)), n_rows(spark, d), COLS, TILE)
     files = tiles.encode_classes(cut, TILE + 1).select(F.concat_ws("_", "ix", "iy").alias("path"), F.col("data").alias("content"))
-    k = F.split("path", "_")
-    return tiles.decode_classes(files).where("i = 0 AND j = 0").select(k[0].cast("int").alias("ix"), k[1].cast("int").alias("iy"), "nodata_count", "steep_count")
+    k, last = F.split("path", "_"), n_rows(spark, d) - 1
+    at = tiles.decode_classes(files).withColumns({"ix": k[0].cast("int"), "iy": k[1].cast("int")})
+    return at.where((F.col("iy") * TILE + F.col("i") <= last) & (F.col("ix") * TILE + F.col("j") < COLS)).select("ix", "iy", "i", "j", "cls", "asp", "nodata_count", "steep_count")
 
 
 @query("s12_synthetic_grid")
@@ -178,7 +179,12 @@ def k1(spark, d):
     return grid.tile_summary(tiled(spark, d), TILE + 1)
 
 
-@query("k3_manifest_entries")
+def _le(value: str, size: int) -> str:
+    """The hexadecimal digits of a little-endian number in SQL."""
+    return "printf('" + "%02x" * size + "', " + ", ".join(f"({value})::BIGINT >> {8 * k} & 255" for k in range(size)) + ")"
+
+
+@query("k3_manifest_entries", f"WITH {surface_sql()}, {TILES_SQL}, sq AS (SELECT ix, iy, n, n // {TILE + 1} AS i, n % {TILE + 1} AS j FROM (SELECT DISTINCT ix, iy FROM qt), range({(TILE + 1) ** 2}) AS t(n)), bd AS (SELECT ix, iy, string_agg({_le('coalesce(q, 65535)', 2)}, '' ORDER BY n) AS body FROM sq LEFT JOIN qt USING (ix, iy, i, j) GROUP BY ix, iy), hd AS (SELECT ix, iy, '47474831' || {_le('1', 2)} || {_le(str(TILE + 1), 2)} || {_le('1000', 2)} || {_le('0', 2)} || {_le(f'ix * {TILE}', 4)} || {_le(f'iy * {TILE}', 4)} || {_le('any_value(base_cm)', 4)} || {_le('coalesce(min(q) FILTER (WHERE q <> 65535), 0)', 2)} || {_le('coalesce(max(q) FILTER (WHERE q <> 65535), 0)', 2)} || {_le(f'{(TILE + 1) ** 2} - count(*) FILTER (WHERE q <> 65535)', 4)} AS head FROM qt GROUP BY ix, iy) SELECT ix || '_' || iy AS key, sha256(unhex(head || body)) AS sha256, (ix * {TILE})::INTEGER AS e0, (iy * {TILE})::INTEGER AS n0, (length(head || body) // 2)::INTEGER AS bytes FROM hd JOIN bd USING (ix, iy)")
 def k3(spark, d):
     b = _blobs(spark, d)
     return b.select(F.concat_ws("_", "ix", "iy").alias("key"), F.sha2("data", 256).alias("sha256"), "e0", "n0", F.length("data").alias("bytes"))
@@ -324,7 +330,7 @@ def j5(spark, d):
     return got.withColumn("max_err_m", F.round("max_err_m", 6))
 
 
-@query("j6_tile_points", f"WITH {surface_sql()}, {TILES_SQL}, hq AS (SELECT ix, iy, i, j, CASE WHEN q <> 65535 THEN (base_cm + q) / 1e2 END AS h FROM qt), p AS (SELECT event_id AS pid, event_id % 3 AS ix, event_id % (SELECT max(iy) + 1 FROM qt) AS iy, (event_id * 7919 % {TILE * 1000})::DOUBLE / 1e3 AS u, (event_id * 104729 % {TILE * 1000})::DOUBLE / 1e3 AS v FROM events), a AS (SELECT *, least(floor(u), {TILE - 1})::INTEGER AS j, least(floor(v), {TILE - 1})::INTEGER AS i, u - least(floor(u), {TILE - 1}) AS fx, v - least(floor(v), {TILE - 1}) AS fy FROM p), x AS (SELECT a.pid, fx, fy, h00.h AS h00, h10.h AS h10, h01.h AS h01, h11.h AS h11 FROM a LEFT JOIN hq h00 ON h00.ix = a.ix AND h00.iy = a.iy AND h00.i = a.i AND h00.j = a.j LEFT JOIN hq h10 ON h10.ix = a.ix AND h10.iy = a.iy AND h10.i = a.i AND h10.j = a.j + 1 LEFT JOIN hq h01 ON h01.ix = a.ix AND h01.iy = a.iy AND h01.i = a.i + 1 AND h01.j = a.j LEFT JOIN hq h11 ON h11.ix = a.ix AND h11.iy = a.iy AND h11.i = a.i + 1 AND h11.j = a.j + 1) SELECT pid, round((h00 + (h10 - h00) * fx) + ((h01 + (h11 - h01) * fx) - (h00 + (h10 - h00) * fx)) * fy, 9) AS h_lerp, round(h00 + (h10 - h00) * fx + (h01 - h00) * fy + (h11 - h10 - h01 + h00) * fx * fy, 9) AS h_poly, round(h00 * (1 - fx) * (1 - fy) + h10 * fx * (1 - fy) + h01 * (1 - fx) * fy + h11 * fx * fy, 9) AS h_weights FROM x")
+@query("j6_tile_points", f"WITH {surface_sql()}, {TILES_SQL}, hq AS (SELECT ix, iy, i, j, CASE WHEN q <> 65535 THEN (base_cm + q) / 1e2 END AS h FROM qt), p AS (SELECT event_id AS pid, event_id % 13 AS ix, event_id % (SELECT max(iy) + 1 FROM qt) AS iy, (event_id * 7919 % {TILE * 1000})::DOUBLE / 1e3 AS u, (event_id * 104729 % {TILE * 1000})::DOUBLE / 1e3 AS v FROM events), a AS (SELECT *, least(floor(u), {TILE - 1})::INTEGER AS j, least(floor(v), {TILE - 1})::INTEGER AS i, u - least(floor(u), {TILE - 1}) AS fx, v - least(floor(v), {TILE - 1}) AS fy FROM p), x AS (SELECT a.pid, fx, fy, h00.h AS h00, h10.h AS h10, h01.h AS h01, h11.h AS h11 FROM a LEFT JOIN hq h00 ON h00.ix = a.ix AND h00.iy = a.iy AND h00.i = a.i AND h00.j = a.j LEFT JOIN hq h10 ON h10.ix = a.ix AND h10.iy = a.iy AND h10.i = a.i AND h10.j = a.j + 1 LEFT JOIN hq h01 ON h01.ix = a.ix AND h01.iy = a.iy AND h01.i = a.i + 1 AND h01.j = a.j LEFT JOIN hq h11 ON h11.ix = a.ix AND h11.iy = a.iy AND h11.i = a.i + 1 AND h11.j = a.j + 1) SELECT pid, round((h00 + (h10 - h00) * fx) + ((h01 + (h11 - h01) * fx) - (h00 + (h10 - h00) * fx)) * fy, 9) AS h_lerp, round(h00 + (h10 - h00) * fx + (h01 - h00) * fy + (h11 - h10 - h01 + h00) * fx * fy, 9) AS h_poly, round(h00 * (1 - fx) * (1 - fy) + h10 * fx * (1 - fy) + h01 * (1 - fx) * fy + h11 * fx * fy, 9) AS h_weights FROM x")
 def j6(spark, d):
     t, _ = _headed(spark, d, spoil=False)
     return _tile_points(spark, d, t).select("pid", *[F.round(x, 9).alias(x) for x in ("h_lerp", "h_poly", "h_weights")])
@@ -333,16 +339,29 @@ def j6(spark, d):
 def _tile_points(spark: SparkSession, d: str, t: DataFrame) -> DataFrame:
     k = F.col("event_id")
     bands = -(-(n_rows(spark, d) - 1) // TILE)
-    p = table(spark, d, "events").select(k.alias("pid"), (k % bands * 1000 + k % 3).cast("int").alias("tile"), ((k * 7919 % (TILE * 1000)).cast("double") / 1e3).alias("u"), ((k * 104729 % (TILE * 1000)).cast("double") / 1e3).alias("v"))
+    p = table(spark, d, "events").select(k.alias("pid"), (k % bands * 1000 + k % 13).cast("int").alias("tile"), ((k * 7919 % (TILE * 1000)).cast("double") / 1e3).alias("u"), ((k * 104729 % (TILE * 1000)).cast("double") / 1e3).alias("v"))
     return verify.point_heights(p, verify.tile_cells(t), t.where("i = 0 AND j = 0"), grid.cell_table(surface(spark, d)), n_rows(spark, d), COLS, (0.0, 0.0), samples=TILE + 1)
 
 
-@query("j21_point_counts")
+#: Points in spoilt tiles (pt_: three heights in the tile), and the source's height there (src).
+CHECK_SQL = HEADED_SQL + f""", hq AS (SELECT ix, iy, i, j, CASE WHEN q <> 65535 THEN (base_cm + q) / 1e2 END AS h FROM t),
+{CELLS_SQL}, p AS (SELECT event_id AS pid, event_id % 13 AS ix, event_id % (SELECT max(iy) + 1 FROM qt) AS iy, (event_id * 7919 % {TILE * 1000})::DOUBLE / 1e3 AS u, (event_id * 104729 % {TILE * 1000})::DOUBLE / 1e3 AS v FROM events),
+a AS (SELECT *, least(floor(u), {TILE - 1})::INTEGER AS j, least(floor(v), {TILE - 1})::INTEGER AS i, u - least(floor(u), {TILE - 1}) AS fx, v - least(floor(v), {TILE - 1}) AS fy FROM p),
+x AS (SELECT a.*, h00.h AS h00, h10.h AS h10, h01.h AS h01, h11.h AS h11 FROM a LEFT JOIN hq h00 ON h00.ix = a.ix AND h00.iy = a.iy AND h00.i = a.i AND h00.j = a.j LEFT JOIN hq h10 ON h10.ix = a.ix AND h10.iy = a.iy AND h10.i = a.i AND h10.j = a.j + 1 LEFT JOIN hq h01 ON h01.ix = a.ix AND h01.iy = a.iy AND h01.i = a.i + 1 AND h01.j = a.j LEFT JOIN hq h11 ON h11.ix = a.ix AND h11.iy = a.iy AND h11.i = a.i + 1 AND h11.j = a.j + 1),
+pt_ AS (SELECT pid, ix, iy, iy * 1000 + ix AS tile, ix * {TILE} + u AS gx, iy * {TILE} + v AS gy, (h00 + (h10 - h00) * fx) + ((h01 + (h11 - h01) * fx) - (h00 + (h10 - h00) * fx)) * fy AS l, h00 + (h10 - h00) * fx + (h01 - h00) * fy + (h11 - h10 - h01 + h00) * fx * fy AS y, h00 * (1 - fx) * (1 - fy) + h10 * fx * (1 - fy) + h01 * (1 - fx) * fy + h11 * fx * fy AS w FROM x),
+mr AS (SELECT max(r) AS mr FROM s),
+b1 AS (SELECT pt_.*, least(greatest(floor(gx), 0), 98)::INTEGER AS j, least(greatest(floor(gy), 0), mr - 1)::INTEGER AS i, gx BETWEEN 0 AND 99 AND gy BETWEEN 0 AND mr AS inside FROM pt_, mr),
+b2 AS (SELECT b1.*, h00, h10, h01, h11, least(greatest(gx - j, 0), 1) AS fx, least(greatest(gy - i, 0), 1) AS fy FROM b1 LEFT JOIN cells USING (i, j)),
+b3 AS (SELECT *, CASE WHEN fx = 0 THEN h00 WHEN fx = 1 THEN h10 ELSE h00 + (h10 - h00) * fx END AS lo, CASE WHEN fx = 0 THEN h01 WHEN fx = 1 THEN h11 ELSE h01 + (h11 - h01) * fx END AS hi FROM b2),
+src AS (SELECT *, CASE WHEN inside THEN CASE WHEN fy = 0 THEN lo WHEN fy = 1 THEN hi ELSE lo + (hi - lo) * fy END END AS g FROM b3)"""
+
+
+@query("j21_point_counts", CHECK_SQL + " SELECT count(*) AS points, count(*) FILTER (WHERE l IS NULL) AS nodata_cells, count(*) FILTER (WHERE g IS NULL AND l IS NOT NULL) AS outside_source, count(*) FILTER (WHERE abs(l - y) > 1e-9) AS pair_photons, round(max(abs(l - y)), 6) AS pair_max_m, count(*) FILTER (WHERE abs(l - g) > 0.005 + 1e-9) AS source_photons, round(max(abs(l - g)), 6) AS source_max_m, count(*) FILTER (WHERE abs(l - w) > 1e-9 OR (l IS NULL) <> (w IS NULL)) AS witness_photons, round(max(abs(l - w)), 6) AS witness_max_m FROM src")
 def j21(spark, d):
     return verify.point_counts(_tile_points(spark, d, _headed(spark, d)[0])).withColumns({x: F.round(x, 6) for x in ("pair_max_m", "source_max_m", "witness_max_m")})
 
 
-@query("t8_check_points")
+@query("t8_check_points", CHECK_SQL + " SELECT pid, round_even(gx, 3) AS x, round_even(gy, 3) AS y, round_even(l, 9) AS h, tile::INTEGER AS tile FROM pt_ WHERE l IS NOT NULL ORDER BY pid LIMIT 16")
 def t8(spark, d):
     return verify.check_points(_tile_points(spark, d, _headed(spark, d)[0]))
 
@@ -410,11 +429,49 @@ def straights(spark: SparkSession, d: str) -> DataFrame:
     return t.select("rid", "x0", "y0", "h0", F.array("len", zero, zero, zero, zero).alias("legs"), F.array(zero, zero, zero, zero).alias("turns"), F.lit(3.0).alias("radius"), F.lit(0.9).alias("depth"), F.lit(33).alias("kv"))
 
 
-@query("j15_line_crossings", f"WITH {STRAIGHT_SQL}, e AS (SELECT rid, x0, y0, cos(h0) AS ux, sin(h0) AS uy, len, x0 + len * cos(h0) AS x1, y0 + len * sin(h0) AS y1 FROM st), x AS (SELECT rid, 0.0::DOUBLE AS s FROM e UNION ALL SELECT rid, len FROM e UNION ALL SELECT rid, (n - x0) / ux FROM (SELECT *, unnest(range(floor(least(x0, x1))::BIGINT + 1, floor(greatest(x0, x1))::BIGINT + 1)) AS n FROM e) WHERE (n - x0) / ux BETWEEN 0 AND len UNION ALL SELECT rid, (n - y0) / uy FROM (SELECT *, unnest(range(floor(least(y0, y1))::BIGINT + 1, floor(greatest(y0, y1))::BIGINT + 1)) AS n FROM e) WHERE (n - y0) / uy BETWEEN 0 AND len), w AS (SELECT rid, s AS a, lead(s) OVER (PARTITION BY rid ORDER BY s) AS b FROM x) SELECT rid, count(*) AS n, round(sum(b - a), 6) AS total, round(max(b - a), 6) AS longest FROM w WHERE b IS NOT NULL GROUP BY rid")
+#: Routes with up to four bends, some too tight for their legs; two voltages.
+BENT_SQL = "rt AS (SELECT s_suppkey AS rid, 20.37::DOUBLE + s_suppkey * 7 % 30 AS x0, 22.41::DOUBLE + s_suppkey * 11 % 40 AS y0, (s_suppkey * 13 % 157) / 1e2 AS h0, {legs}, {turns}, 1.4::DOUBLE + s_suppkey % 3 AS radius, 0.9::DOUBLE AS depth, CASE WHEN s_suppkey % 2 = 0 THEN 33 ELSE 132 END AS kv FROM supplier)".format(
+    legs=", ".join(f"2.25::DOUBLE + s_suppkey * {p} % 17 AS l{k}" for k, p in enumerate((3, 5, 7, 11, 13))), turns=", ".join(f"(s_suppkey * {p} % 9 - 4) * 0.3::DOUBLE AS t{k}" for k, p in enumerate((3, 5, 7, 11), 1))
+)
+
+
+def bent(spark: SparkSession, d: str) -> DataFrame:
+    k = F.col("s_suppkey")
+    legs, turns = F.array(*[2.25 + k * p % 17 for p in (3, 5, 7, 11, 13)]), F.array(*[(k * p % 9 - 4) * 0.3 for p in (3, 5, 7, 11)])
+    return table(spark, d, "supplier").select(k.alias("rid"), (20.37 + k * 7 % 30).alias("x0"), (22.41 + k * 11 % 40).alias("y0"), ((k * 13 % 157) / 1e2).alias("h0"), legs.alias("legs"), turns.alias("turns"), (1.4 + k % 3).alias("radius"), F.lit(0.9).alias("depth"), F.when(k % 2 == 0, 33).otherwise(132).alias("kv"))
+
+
+def _plan_sql() -> str:
+    """pc: the pieces of the routes rt (slot, x, y, h, k, len, start), and rq, a row for each route."""
+    legs, corners = range(5), range(1, 5)
+    want = ", ".join(f"radius * tan(abs(t{i}) / 2) AS w{i}" for i in corners)
+    head = ", ".join(f"h0{''.join(f' + t{j}' for j in range(1, k + 1))} AS g{k}" for k in legs)
+    fit = ", ".join(f"CASE WHEN w{k} + w{k + 1} > l{k} THEN l{k} / (w{k} + w{k + 1}) ELSE 1.0 END AS f{k}" for k in legs)
+    keep = ", ".join(f"least(f{i - 1}, f{i}) AS q{i}" for i in corners)
+    corner = ", ".join(f"x0{''.join(f' + l{j} * cos(g{j})' for j in range(k))} AS X{k}, y0{''.join(f' + l{j} * sin(g{j})' for j in range(k))} AS Y{k}" for k in range(1, 6))
+    parts = []
+    for k in legs:
+        at = ("x0", "y0") if k == 0 else (f"X{k} + w{k} * q{k} * cos(g{k})", f"Y{k} + w{k} * q{k} * sin(g{k})")
+        parts.append(f"SELECT rid, {2 * k} AS slot, {at[0]} AS x, {at[1]} AS y, g{k} AS h, 0.0::DOUBLE AS k, greatest(l{k} - w{k} * q{k} - w{k + 1} * q{k + 1}, 0) AS len FROM rq")
+        if k < 4:
+            n = k + 1
+            parts.append(f"SELECT rid, {2 * k + 1}, X{n} - w{n} * q{n} * cos(g{k}), Y{n} - w{n} * q{n} * sin(g{k}), g{k}, CASE WHEN t{n} <> 0 THEN sign(t{n}) / (radius * q{n}) ELSE 0 END, CASE WHEN t{n} <> 0 THEN radius * q{n} * abs(t{n}) ELSE 0 END FROM rq")
+    steps = f"wq AS (SELECT *, {want}, 0.0::DOUBLE AS w0, 0.0::DOUBLE AS w5, 1.0::DOUBLE AS q0, 1.0::DOUBLE AS q5, {head} FROM rt), fq AS (SELECT *, {fit} FROM wq), kq AS (SELECT *, {keep} FROM fq), rq AS (SELECT *, {corner} FROM kq)"
+    return f"{BENT_SQL}, {steps}, p0 AS ({' UNION ALL '.join(parts)}), pc AS (SELECT *, coalesce(sum(len) OVER (PARTITION BY rid ORDER BY slot ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start FROM p0), pt AS (SELECT rid, sum(len) AS plan_m FROM pc GROUP BY rid)"
+
+
+PLAN_SQL = _plan_sql()
+#: Where the pieces meet grid lines (xs: rid, slot, s), and the stretches between (iv: rid, slot, a, b).
+_STRAIGHT = "SELECT rid, slot, (n - {a}) / {c} AS s, len FROM (SELECT *, unnest(range(floor(least({a}, {a} + len * {c}))::BIGINT + 1, floor(greatest({a}, {a} + len * {c}))::BIGINT + 1)) AS n FROM pc WHERE k = 0 AND len > 0)"
+_BEND = "SELECT rid, slot, (m * pi() + CASE WHEN m % 2 = 0 THEN 1 ELSE -1 END * asin(least(greatest((n - mid) * k, -1), 1)) - p) / k AS s, len FROM (SELECT *, unnest(range(floor(least(p, p + k * len) / pi() + 0.5)::BIGINT, floor(greatest(p, p + k * len) / pi() + 0.5)::BIGINT + 1)) AS m FROM (SELECT *, unnest(range(ceil(mid - 1 / abs(k))::BIGINT, floor(mid + 1 / abs(k))::BIGINT + 1)) AS n FROM (SELECT *, {a} - sin(p) / k AS mid FROM (SELECT *, {p} AS p FROM pc WHERE k <> 0 AND len > 0))))"
+CROSS_SQL = f"{PLAN_SQL}, x0_ AS ({_STRAIGHT.format(a='x', c='cos(h)')} UNION ALL {_STRAIGHT.format(a='y', c='sin(h)')} UNION ALL {_BEND.format(a='x', p='h')} UNION ALL {_BEND.format(a='y', p='h - pi() / 2')}), xs AS (SELECT rid, slot, s FROM x0_ WHERE s BETWEEN 0 AND len UNION ALL SELECT rid, slot, 0 FROM pc WHERE len > 0 UNION ALL SELECT rid, slot, len FROM pc WHERE len > 0), iv AS (SELECT * FROM (SELECT rid, slot, s AS a, lead(s) OVER (PARTITION BY rid, slot ORDER BY s) AS b FROM xs) WHERE b IS NOT NULL)"
+
+
+@query("j15_line_crossings", f"WITH {CROSS_SQL} SELECT rid, slot::INTEGER AS slot, count(*) FILTER (WHERE b - a > 1e-9) AS n, round(sum(b - a), 6) AS total, round(max(b - a), 6) AS longest FROM iv GROUP BY rid, slot")
 def j15(spark, d):
-    p = cable.plan(straights(spark, d)).select("rid", F.posexplode("pieces").alias("slot", "p")).select("rid", "slot", "p.x", "p.y", "p.h", "p.curvature", "p.length")
-    i = cable.intervals(cable.line_crossings(p))
-    return i.groupBy("rid").agg(F.count("*").alias("n"), F.round(F.sum(F.col("b") - F.col("a")), 6).alias("total"), F.round(F.max(F.col("b") - F.col("a")), 6).alias("longest"))
+    p = cable.plan(bent(spark, d)).select("rid", F.posexplode("pieces").alias("slot", "p")).select("rid", "slot", "p.x", "p.y", "p.h", "p.curvature", "p.length")
+    i = cable.intervals(cable.line_crossings(p)).withColumn("step", F.col("b") - F.col("a"))
+    return i.groupBy("rid", "slot").agg(F.count_if(F.col("step") > 1e-9).alias("n"), F.round(F.sum("step"), 6).alias("total"), F.round(F.max("step"), 6).alias("longest"))
 
 
 CATALOGUE = [("a-33-spec", 33, 1000, 80.0, "spec"), ("b-33", 33, 1000, 70.0, "verified"), ("c-33", 33, 630, 60.0, "verified"), ("d-132", 132, 1000, 91.0, "verified"), ("e-132-spec", 132, 1000, 95.0, "verified")]
@@ -545,33 +602,126 @@ def a16(spark, d):
     return cable.chord_lengths(h).select("rid", F.round("sampled_m", 5).alias("sampled_m"), F.round("chords_m", 5).alias("chords_m"))
 
 
-@query("w13_cable_plan")
+@query("w13_cable_plan", f"WITH {PLAN_SQL}, lq AS (SELECT rid, list(round(len, 6) ORDER BY slot) AS lengths FROM pc GROUP BY rid) SELECT rid, [{', '.join(f'round(CASE WHEN t{i} <> 0 THEN radius * q{i} ELSE 0 END, 6)' for i in range(1, 5))}] AS fitted, [{', '.join(f't{i} <> 0 AND q{i} < 1 - 1e-9' for i in range(1, 5))}] AS tight, round(plan_m, 6) AS plan_m, lengths FROM rq JOIN pt USING (rid) JOIN lq USING (rid)")
 def w13(spark, d):
-    k = F.col("s_suppkey")
-    t = table(spark, d, "supplier").select(k.alias("rid"), F.lit(40.0).alias("x0"), F.lit(40.0).alias("y0"), ((k * 13 % 157) / 1e2).alias("h0"), F.array(*[(2 + k * p % 17).cast("double") for p in (3, 5, 7, 11, 13)]).alias("legs"), F.array(*[((k * p % 9 - 4) * 0.3) for p in (3, 5, 7, 11)]).alias("turns"), F.lit(3.185).alias("radius"), F.lit(0.9).alias("depth"), F.lit(33).alias("kv"))
-    return cable.plan(t).select("rid", F.transform("fitted", lambda x: F.round(x, 6)).alias("fitted"), "tight", F.round("plan_m", 6).alias("plan_m"), F.transform("pieces", lambda p: F.round(p["length"], 6)).alias("lengths"))
+    return cable.plan(bent(spark, d)).select("rid", F.transform("fitted", lambda x: F.round(x, 6)).alias("fitted"), "tight", F.round("plan_m", 6).alias("plan_m"), F.transform("pieces", lambda p: F.round(p["length"], 6)).alias("lengths"))
+
+
+_SINC = "CASE WHEN k * u = 0 THEN u ELSE u * sin(k * u / 2) / (k * u / 2) END"
+_AT_U = f"x + {_SINC} * cos(h + k * u / 2) AS gx, y + {_SINC} * sin(h + k * u / 2) AS gy"
+_GAUSS = ", ".join(f"({(x + 1) / 2!r}::DOUBLE, {w / 2!r}::DOUBLE)" for x, w in zip(cable.GAUSS_X.tolist(), cable.GAUSS_W.tolist(), strict=True))
+#: The lengths of routes by both methods (both: rid, sampled_m, chords_m, analytic_m, n_samples).
+LENGTH_SQL = f"""WITH {surface_sql()}, {CELLS_SQL}, {CROSS_SQL},
+ns AS (SELECT rid, plan_m, ceil(plan_m / 0.05)::BIGINT + 1 AS n FROM pt),
+sm AS (SELECT rid, n, i, i * (plan_m / (n - 1)) AS ch FROM (SELECT *, unnest(range(0, n)) AS i FROM ns)),
+lv AS (SELECT *, lead(start) OVER (PARTITION BY rid ORDER BY slot) AS until FROM pc WHERE len > 0),
+su AS (SELECT sm.rid, n, i, x, y, h, k, ch - start AS u FROM sm JOIN lv ON sm.rid = lv.rid AND ch >= start AND (until IS NULL OR ch < until)),
+sp AS (SELECT rid, n, i, {_AT_U} FROM su),
+sc AS (SELECT *, {GROUND_SQL.format(x='gx', y='gy').replace(' AS j', ' AS j_').replace(' AS i', ' AS i_')} FROM sp),
+sz AS (SELECT rid, n, sc.i, gx, gy, {LERP_SQL.format(x='gx', y='gy').replace('- j', '- j_').replace('- i', '- i_')} AS z FROM sc LEFT JOIN cells ON cells.i = i_ AND cells.j = j_),
+sd AS (SELECT rid, n, i, gx - lag(gx) OVER w AS dx, gy - lag(gy) OVER w AS dy, z - lag(z) OVER w AS dz FROM sz WINDOW w AS (PARTITION BY rid ORDER BY i)),
+sampled AS (SELECT rid, any_value(n) AS n_samples, CASE WHEN count(*) FILTER (WHERE i > 0 AND dz IS NULL) = 0 THEN sum(sqrt(dx * dx + dy * dy + dz * dz)) END AS sampled_m, sum(sqrt(dx * dx + dy * dy)) AS chords_m FROM sd GROUP BY rid),
+im AS (SELECT iv.rid, iv.slot, a, b, x, y, h, k, (a + b) / 2 AS u FROM iv JOIN pc USING (rid, slot)),
+ic AS (SELECT rid, slot, a, b, x, y, h, k, {GROUND_SQL.format(x='gx', y='gy')} FROM (SELECT *, {_AT_U} FROM im)),
+ig AS (SELECT ic.*, h10 - h00 AS e, h01 - h00 AS o, h11 - h10 - h01 + h00 AS tw FROM ic LEFT JOIN cells USING (i, j)),
+sl2 AS (SELECT *, (e + tw * (y + a * sin(h) - i)) * cos(h) + (o + tw * (x + a * cos(h) - j)) * sin(h) AS g0, (e + tw * (y + b * sin(h) - i)) * cos(h) + (o + tw * (x + b * cos(h) - j)) * sin(h) AS g1 FROM ig WHERE k = 0),
+c1_ AS (SELECT rid, CASE WHEN abs(g1 - g0) <= 1e-7 THEN (g0 + g1) / 2 * ((g0 + g1) / 2) / (1 + sqrt(1 + (g0 + g1) / 2 * ((g0 + g1) / 2))) ELSE ((g1 * sqrt(1 + g1 * g1) + asinh(g1)) / 2 - (g0 * sqrt(1 + g0 * g0) + asinh(g0)) / 2) / nullif(g1 - g0, 0) - 1 END * (b - a) AS extra FROM sl2),
+gu AS (SELECT ig.*, a + (b - a) * gx AS u, gw FROM ig, (VALUES {_GAUSS}) AS q(gx, gw) WHERE k <> 0),
+gs AS (SELECT *, (e + tw * (gy - i)) * cos(h + k * u) + (o + tw * (gx - j)) * sin(h + k * u) AS g FROM (SELECT *, {_AT_U} FROM gu)),
+ex AS (SELECT * FROM c1_ UNION ALL SELECT rid, g * g / (1 + sqrt(1 + g * g)) * gw * (b - a) FROM gs),
+analytic AS (SELECT rid, CASE WHEN count(*) FILTER (WHERE extra IS NULL) = 0 THEN sum(extra) END AS extra FROM ex GROUP BY rid),
+both_ AS (SELECT rid, sampled_m, chords_m, plan_m + extra AS analytic_m, n_samples FROM sampled JOIN analytic USING (rid) JOIN pt USING (rid))"""
+
+
+def _length_pairs(spark: SparkSession, d: str) -> DataFrame:
+    planned = cable.plan(bent(spark, d))
+    return cable.length_pair(planned, grid.cell_table(surface(spark, d)), n_rows(spark, d), COLS).join(planned.withColumnRenamed("rid", "route"), F.col("rid") == F.col("route")).drop("route")
+
+
+@query("c5_cable_pair", LENGTH_SQL + " SELECT rid, round(sampled_m, 5) AS sampled_m, round(chords_m, 5) AS chords_m, round(analytic_m, 5) AS analytic_m, n_samples FROM both_")
+def c5(spark, d):
+    return _length_pairs(spark, d).select("rid", *[F.round(x, 5).alias(x) for x in ("sampled_m", "chords_m", "analytic_m")], "n_samples")
 
 
-@query("c5_cable_pair")
-def c5(spark, d):
-    p = cable.plan(straights(spark, d))
-    return cable.length_pair(p, grid.cell_table(surface(spark, d)), n_rows(spark, d), COLS).select("rid", *[F.round(x, 5).alias(x) for x in ("sampled_m", "chords_m", "analytic_m")], "n_samples", "n_intervals")
+@query("a15_arc_corrections", LENGTH_SQL + " SELECT rid, count(*) FILTER (WHERE b - a > 1e-9) AS n, round(CASE WHEN count(*) FILTER (WHERE g IS NULL) = 0 THEN sum(g * g / (1 + sqrt(1 + g * g)) * gw * (b - a)) END, 6) AS arcs_m FROM gs GROUP BY rid")
+def a15(spark, d):
+    """What the ground's slope adds on bends only."""
+    p = cable.plan(bent(spark, d))
+    pieces = F.filter("pieces", lambda q: q["curvature"] != 0)
+    arcs = p.withColumn("pieces", pieces).where(F.size("pieces") > 0)
+    got = cable.length_pair(arcs, grid.cell_table(surface(spark, d)), n_rows(spark, d), COLS).select("rid", F.round("correction_m", 6).alias("arcs_m"))
+    live = arcs.select("rid", F.posexplode("pieces").alias("slot", "p")).select("rid", "slot", "p.x", "p.y", "p.h", "p.curvature", "p.length")
+    n = cable.intervals(cable.line_crossings(live)).where("b - a > 1e-9").groupBy("rid").agg((6 * F.count("*")).alias("n"))
+    return got.join(n, "rid").select("rid", "n", "arcs_m")
+
+
+_REL = "abs(sampled_m - analytic_m) / greatest(sampled_m, analytic_m, 1e-12)"
+
 
+@query("t2_worst_routes", LENGTH_SQL + f" SELECT rid, round(analytic_m, 5) AS analytic_m FROM both_ ORDER BY {_REL} DESC NULLS LAST, rid LIMIT 8")
+def t2(spark, d):
+    return _length_pairs(spark, d).orderBy(F.desc_nulls_last("disagreement"), "rid").limit(8).select("rid", F.round("analytic_m", 5).alias("analytic_m"))
 
-@query("c4_trench_pair")
+
+@query("a11_extra_by_voltage", LENGTH_SQL + f", e AS (SELECT kv, plan_m, analytic_m, {' OR '.join(f'(t{i} <> 0 AND q{i} < 1 - 1e-9)' for i in range(1, 5))} AS tight, {' OR '.join(f't{i} <> 0' for i in range(1, 5))} AS bent FROM both_ JOIN pt USING (rid) JOIN rq USING (rid)) SELECT kv, count(*) AS routes, round(sum(plan_m) / 1000, 6) AS plan_km, round(sum(analytic_m) / 1000, 6) AS cable_km, round(quantile_cont(100 * (analytic_m - plan_m) / plan_m, 0.5), 5) AS extra_percent_median, count(*) FILTER (WHERE tight) AS tight_routes, count(*) FILTER (WHERE bent) AS bent_routes FROM e GROUP BY kv")
+def a11(spark, d):
+    got = cable.extra_by_voltage(_length_pairs(spark, d))
+    return got.select("kv", "routes", *[F.round(x, 6).alias(x) for x in ("plan_km", "cable_km")], F.round(F.col("extra_percent")[3], 5).alias("extra_percent_median"), "tight_routes", "bent_routes")
+
+
+@query("a17_fitted_radii", f"WITH {PLAN_SQL}, f AS ({' UNION ALL '.join(f'SELECT rid, t{i} AS t, q{i} AS q, radius * q{i} AS r FROM rq' for i in range(1, 5))}) SELECT round(min(r) FILTER (WHERE t <> 0), 6) AS smallest_fitted_radius_m, count(*) FILTER (WHERE t <> 0 AND q < 1 - 1e-9) AS bends_below_min, count(*) FILTER (WHERE t <> 0) AS bends_total, count(DISTINCT rid) FILTER (WHERE t <> 0 AND q < 1 - 1e-9) AS routes_with_violation FROM f")
+def a17(spark, d):
+    return cable.bend_radii(cable.plan(bent(spark, d))).withColumn("smallest_fitted_radius_m", F.round("smallest_fitted_radius_m", 6))
+
+
+@query("a19_length_counts", LENGTH_SQL + f" SELECT count(*) AS routes, count(*) FILTER (WHERE {_REL} > 1e-3) AS photons, count(*) FILTER (WHERE sampled_m IS NULL OR analytic_m IS NULL) AS undefined, sum(n_samples)::BIGINT AS samples, round(max(abs(chords_m - plan_m) / plan_m), 6) AS max_plan_error FROM both_ JOIN pt USING (rid)")
+def a19(spark, d):
+    got = cable.length_counts(_length_pairs(spark, d), S.TOL_LENGTH)
+    return got.select("routes", "photons", "undefined", "samples", F.round("max_plan_error", 6).alias("max_plan_error"))
+
+
+#: The volumes of trenches by points of the cells near them (vp) and by cross-sections (vs).
+_HEIGHT = "(({p}h00 + ({p}h10 - {p}h00) * ({x} - {p}j)) + (({p}h01 + ({p}h11 - {p}h01) * ({x} - {p}j)) - ({p}h00 + ({p}h10 - {p}h00) * ({x} - {p}j))) * ({y} - {p}i))"
+_CELL = "least(greatest(floor({x}), 0), 98)::INTEGER = {p}j AND least(greatest(floor({y}), 0), (SELECT max(r) FROM s) - 1)::INTEGER = {p}i"
+VOLUME_SQL = f"""WITH {surface_sql()}, {CELLS_SQL}, {TRENCH_SQL}, {NEAR_SQL},
+dots AS (SELECT n.tid, ix + (a + 0.5) / 40 AS x, iy + (b + 0.5) / 40 AS y FROM near n, range(40) AS t(a), range(40) AS u(b)),
+q1 AS (SELECT d.x, d.y, g.*, (d.x - ax) * cos(h) + (d.y - ay) * sin(h) AS s1, cos(h) * (d.y - ay) - sin(h) * (d.x - ax) AS t1, (d.x - dx) * cos(h2) + (d.y - dy) * sin(h2) AS s2, cos(h2) * (d.y - dy) - sin(h2) * (d.x - dx) AS t2, d.x - cx AS vx, d.y - cy AS vy, bx - cx AS wx, by_ - cy AS wy FROM dots d JOIN g USING (tid)),
+q2 AS (SELECT *, s1 BETWEEN 0 AND l1 AND abs(t1) <= width / 2 AS in1, sg <> 0 AND s2 BETWEEN 0 AND l2 AND abs(t2) <= width / 2 AS in2, sqrt(vx * vx + vy * vy) AS rr, atan2(wx * vy - wy * vx, wx * vx + wy * vy) * sg AS turn FROM q1),
+q3 AS (SELECT tid, x, y, depth, CASE WHEN in1 THEN ax + s1 * cos(h) WHEN in2 THEN dx + s2 * cos(h2) ELSE cx + vx * radius / rr END AS fx, CASE WHEN in1 THEN ay + s1 * sin(h) WHEN in2 THEN dy + s2 * sin(h2) ELSE cy + vy * radius / rr END AS fy FROM q2 WHERE in1 OR in2 OR (sg <> 0 AND turn BETWEEN 0 AND th AND abs(radius - rr) <= width / 2)),
+q4 AS (SELECT tid, {_HEIGHT.format(p='p.', x='q.x', y='q.y')} - {_HEIGHT.format(p='f.', x='q.fx', y='q.fy')} + depth AS dug FROM q3 q LEFT JOIN cells p ON {_CELL.format(p='p.', x='q.x', y='q.y')} LEFT JOIN cells f ON {_CELL.format(p='f.', x='q.fx', y='q.fy')}),
+vp AS (SELECT tid, CASE WHEN count(*) FILTER (WHERE dug IS NULL) = 0 THEN sum(greatest(dug, 0)) / 1600 END AS prism_m3 FROM q4 GROUP BY tid),
+r1 AS (SELECT *, unnest(range(0, ceil(len / 0.1)::BIGINT)) AS m, ceil(len / 0.1) AS n FROM pcs WHERE len > 0),
+r2 AS (SELECT *, (m + 0.5) * (len / n) AS u FROM r1),
+r3 AS (SELECT *, {_AT_U}, h + k * u AS hh, ((o + 0.5) / 33 - 0.5) * width AS across FROM r2, range(33) AS t(o)),
+r4 AS (SELECT *, gx - across * sin(hh) AS px, gy + across * cos(hh) AS py FROM r3),
+r5 AS (SELECT tid, {_HEIGHT.format(p='p.', x='px', y='py')} - {_HEIGHT.format(p='f.', x='gx', y='gy')} + depth AS dug, (1 - k * across) * (len / n) * (width / 33) AS part FROM r4 LEFT JOIN cells p ON {_CELL.format(p='p.', x='px', y='py')} LEFT JOIN cells f ON {_CELL.format(p='f.', x='gx', y='gy')}),
+vs AS (SELECT tid, CASE WHEN count(*) FILTER (WHERE dug IS NULL) = 0 THEN sum(greatest(dug, 0) * part) END AS section_m3 FROM r5 GROUP BY tid),
+vn AS (SELECT tid, count(*) * 1600 AS n_points FROM near GROUP BY tid)"""
+
+
+def _volume_pairs(spark: SparkSession, d: str) -> DataFrame:
+    return works.trench_pair(works.trench_geometry(trenches(spark, d)), grid.cell_table(surface(spark, d)), n_rows(spark, d), COLS)
+
+
+@query("c4_trench_pair", VOLUME_SQL + " SELECT tid, round(prism_m3, 4) AS prism_m3, round(section_m3, 4) AS section_m3, n_points FROM vn JOIN vp USING (tid) JOIN vs USING (tid)")
 def c4(spark, d):
-    g = works.trench_geometry(trenches(spark, d))
-    return works.trench_pair(g, grid.cell_table(surface(spark, d)), n_rows(spark, d), COLS).select("tid", F.round("prism_m3", 4).alias("prism_m3"), F.round("section_m3", 4).alias("section_m3"), "n_points")
+    return _volume_pairs(spark, d).select("tid", F.round("prism_m3", 4).alias("prism_m3"), F.round("section_m3", 4).alias("section_m3"), "n_points")
+
+
+@query("a13_volume_counts", VOLUME_SQL + " SELECT count(*) AS trenches, count(*) FILTER (WHERE abs(prism_m3 - section_m3) / greatest(prism_m3, section_m3, 1e-12) > 0.005) AS photons, count(*) FILTER (WHERE prism_m3 IS NULL OR section_m3 IS NULL) AS undefined, round(sum(prism_m3), 3) AS total_prism_m3, round(sum(section_m3), 3) AS total_section_m3, sum(n_points)::BIGINT AS points FROM vn JOIN vp USING (tid) JOIN vs USING (tid)")
+def a13(spark, d):
+    got = works.volume_counts(_volume_pairs(spark, d), S.TOL_VOLUME)
+    return got.select("trenches", "photons", "undefined", F.round("total_prism_m3", 3).alias("total_prism_m3"), F.round("total_section_m3", 3).alias("total_section_m3"), "points")
 
 
 PAD = [(40.0, 30.0), (44.0, 30.0), (44.0, 33.0), (40.0, 33.0)]
 
 
-@query("c4_platform_prisms", f"WITH {surface_sql()}, {CELLS_SQL}, p AS (SELECT 40 + (a + 0.5::DOUBLE) * 0.025::DOUBLE AS x, 30 + (b + 0.5::DOUBLE) * 0.025::DOUBLE AS y FROM range(160) AS t(a), range(120) AS u(b)), q AS (SELECT *, {GROUND_SQL.format(x='x', y='y')} FROM p), h AS (SELECT {LERP_SQL.format(x='x', y='y')} - 81.0::DOUBLE AS dz FROM q JOIN cells USING (i, j)) SELECT 0::BIGINT AS pid, round(sum(greatest(dz, 0)) * 0.025 * 0.025, 6) AS prism_cut, round(sum(greatest(-dz, 0)) * 0.025 * 0.025, 6) AS prism_fill FROM h")
+@query("c4_platform_pair", f"WITH {surface_sql()}, {CELLS_SQL}, p AS (SELECT 40 + (a + 0.5::DOUBLE) * 0.025::DOUBLE AS x, 30 + (b + 0.5::DOUBLE) * 0.025::DOUBLE AS y FROM range(160) AS t(a), range(120) AS u(b)), q AS (SELECT *, {GROUND_SQL.format(x='x', y='y')} FROM p), h AS (SELECT {LERP_SQL.format(x='x', y='y')} - 81.0::DOUBLE AS dz FROM q JOIN cells USING (i, j)), sx AS (SELECT k, 40 + k * 0.1::DOUBLE + CASE k WHEN 0 THEN 1e-10 WHEN 40 THEN -1e-10 ELSE 0 END AS x, CASE WHEN k IN (0, 40) THEN 0.05::DOUBLE ELSE 0.1 END AS ds FROM range(41) AS t(k)), sy AS (SELECT x, ds, 30 + 3 * m / 132::DOUBLE AS y, 3 * CASE WHEN m IN (0, 132) THEN 0.5::DOUBLE ELSE 1 END / 132 AS dt FROM sx, range(133) AS t(m)), sq AS (SELECT *, {GROUND_SQL.format(x='x', y='y')} FROM sy), sh AS (SELECT {LERP_SQL.format(x='x', y='y')} - 81.0::DOUBLE AS dz, ds * dt AS part FROM sq JOIN cells USING (i, j)) SELECT 0::BIGINT AS pid, (SELECT round(sum(greatest(dz, 0)) * 0.025 * 0.025, 6) FROM h) AS prism_cut, (SELECT round(sum(greatest(-dz, 0)) * 0.025 * 0.025, 6) FROM h) AS prism_fill, (SELECT round(sum(greatest(dz, 0) * part), 5) FROM sh) AS section_cut, (SELECT round(sum(greatest(-dz, 0) * part), 5) FROM sh) AS section_fill")
 def c4p(spark, d):
     one = spark.range(1).select(F.col("id").alias("pid"), works.polygon_literal(PAD).alias("polygon"), F.lit(81.0).alias("level"))
     got = works.platform_pair(one, grid.cell_table(surface(spark, d)), n_rows(spark, d), COLS)
-    return got.select("pid", F.round("prism_cut", 6).alias("prism_cut"), F.round("prism_fill", 6).alias("prism_fill"))
+    return got.select("pid", *[F.round(x, n).alias(x) for x, n in (("prism_cut", 6), ("prism_fill", 6), ("section_cut", 5), ("section_fill", 5))])
 
 
 @query("e1_exact_set_differences", "SELECT 'orders only' AS side, count(*) AS n FROM orders WHERE o_orderkey NOT IN (SELECT event_id FROM events) UNION ALL SELECT 'events only', count(*) FROM events WHERE event_id NOT IN (SELECT o_orderkey FROM orders)")
