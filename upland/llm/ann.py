@@ -5,10 +5,10 @@ of the centred sample, each from its own random start). For the largest inner pr
 one more component, sqrt(1 - |x|^2 / R^2) with R the largest norm, so that the nearest in angle has the
 largest inner product.
 
-Index: a code is split into substrings of about log2(rows) bits, each with a table of its own. Codes within Hamming
+Index: a code is split into substrings of 20 to 24 bits, log2(rows) if between, each with a table of its own. Codes within Hamming
 radius r of a query differ by at most (r - i) // substrings bits in some substring i (pigeonhole), so the buckets
-within that distance of the query's substrings, found by enumerating their keys, hold all of them. Everything
-in these buckets is reranked, once, by inner products of the original vectors in double precision.
+within that distance of the query's substrings, found by enumerating their keys (or by going through the keys that a
+part has, if these are fewer), hold all of them. Everything in these buckets is reranked, once, by inner products of the original vectors in double precision.
 
 The radius is the least with which the buckets hold READY of a sample's true nearest neighbours; sample and
 queries of the fit are bounded (FIT_ROWS rows of least hashes, FIT_QUERIES), the index holds every row. A query
@@ -38,8 +38,8 @@ from pyspark.sql import functions as F
 
 from .common import column, join_counted, materialize, small_batches
 
-BITS, LEAST_SUBSTRING, MOST_SUBSTRING = 128, 8, 24
-FIT_ROWS, FIT_QUERIES, READY = 20_000, 200, 0.95
+BITS, LEAST_SUBSTRING, MOST_SUBSTRING = 160, 20, 24
+FIT_ROWS, FIT_QUERIES, READY = 20_000, 200, 0.925
 BLOCK = 32_768
 
 
@@ -105,16 +105,22 @@ class Buckets:
         self.codes, self.table, self.low = codes, table, low
         keys = codes[:, table] & np.uint32((1 << low) - 1)
         self.order = np.argsort(keys, kind="stable")
-        self.first = np.searchsorted(keys[self.order], np.arange((1 << low) + 1))
+        self.keys, first = np.unique(keys[self.order], return_index=True)
+        self.first = np.append(first, len(keys))
 
     def within(self, code: np.ndarray, start: int, reach: np.ndarray) -> np.ndarray:
         """Rows within reach of the code by this table, but for those that an earlier table reaches; start: their first bits."""
         left = int(reach[self.table]) - int(np.bitwise_count((code[self.table] >> self.low) ^ np.uint32(start)))
         if left < 0:
             return self.order[:0]
-        keys = (code[self.table] & np.uint32((1 << self.low) - 1)) ^ masks(self.low, min(left, self.low))
-        a, b = self.first[keys], self.first[keys + 1]
-        a, b = a[a < b], b[a < b]
+        own, near = code[self.table] & np.uint32((1 << self.low) - 1), masks(self.low, min(left, self.low))
+        if len(near) < len(self.keys):
+            asked = own ^ near
+            at = np.minimum(np.searchsorted(self.keys, asked), len(self.keys) - 1)
+            at = at[self.keys[at] == asked]
+        else:
+            at = np.flatnonzero(np.bitwise_count(self.keys ^ own) <= left)
+        a, b = self.first[at], self.first[at + 1]
         ends = np.cumsum(b - a)
         rows = self.order[np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(a - (ends - (b - a)), b - a)]
         before = self.table
@@ -136,7 +142,8 @@ def rerank(ids: np.ndarray, vectors: np.ndarray, rows: np.ndarray, vector: np.nd
 def _vectors(batch: pa.RecordBatch | pa.Table, name: str = "v") -> np.ndarray:
     flat = batch.column(name)
     flat = flat.combine_chunks() if isinstance(flat, pa.ChunkedArray) else flat
-    return flat.flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
+    found = flat.flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
+    return found.astype(np.float64) if found.dtype == np.float32 else found
 
 
 def _encoded(rows: DataFrame, codes: Codes) -> DataFrame:
@@ -152,9 +159,9 @@ def _encoded(rows: DataFrame, codes: Codes) -> DataFrame:
     return rows.mapInArrow(work, ", ".join(f"{x} {t}" for x, t in rows.dtypes) + ", code array<long>")
 
 
-def _probe(index: DataFrame, asked: DataFrame, codes: Codes, radius: int, low: int, k: int) -> DataFrame:
+def _probe(index: DataFrame, parts: DataFrame, asked: DataFrame, codes: Codes, radius: int, low: int, k: int) -> DataFrame:
     """head (of the query), entry, ids, score: the k nearest entries of every part that a query reaches.
-    index: t, start, salt, entry, ids, v, code; asked: head, v, code."""
+    index: t, start, salt, entry, ids, v, code; parts: to_t, to_start, to_salt of all parts; asked: head, v, code."""
     reach = codes.reach(radius)
     high = codes.width - low
 
@@ -171,8 +178,7 @@ def _probe(index: DataFrame, asked: DataFrame, codes: Codes, radius: int, low: i
             at = pa.array(np.concatenate(rows) if rows else np.empty(0, np.int64))
             yield pa.RecordBatch.from_arrays([*(c.take(at) for c in b.columns), pa.array(np.concatenate(tables) if rows else [], pa.int32()), pa.array(np.concatenate(starts) if rows else [], pa.int32())], [*b.schema.names, "t", "start"])
 
-    sent = asked.select("head", "v", "code").mapInArrow(routes, "head long, v array<double>, code array<long>, t int, start int")
-    parts = index.select(F.col("t").alias("to_t"), F.col("start").alias("to_start"), F.col("salt").alias("to_salt")).distinct()
+    sent = asked.select("head", "v", "code").mapInArrow(routes, f"head long, v {dict(asked.dtypes)['v']}, code array<long>, t int, start int")
     sent = sent.join(parts, (F.col("t") == F.col("to_t")) & (F.col("start") == F.col("to_start"))).drop("t", "start")
 
     def work(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -199,7 +205,8 @@ def search(table: DataFrame, k: int = 20, every: int = 20) -> DataFrame:
     spark = table.sparkSession
     small_batches(spark)
     shape = "query_id long, rank int, vec_id long, score double"
-    vector = F.col("embedding").cast("array<double>")
+    # kept as floats if they are, which is half the size; all sums are in double precision
+    vector = F.col("embedding") if dict(table.dtypes)["embedding"] == "array<float>" else F.col("embedding").cast("array<double>")
     sound = ~F.exists(vector, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))) & F.exists(vector, lambda x: x != 0)
     rows = table.where("vec_id IS NOT NULL AND embedding IS NOT NULL").where(sound).select("vec_id", vector.alias("v"))
     dims = rows.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").first()
@@ -211,7 +218,7 @@ def search(table: DataFrame, k: int = 20, every: int = 20) -> DataFrame:
     nth = F.row_number().over(Window.partitionBy("v").orderBy("vec_id"))
     kept = rows.withColumn("nth", nth).where(F.col("nth") <= k + 1).groupBy("v").agg(F.array_sort(F.collect_list("vec_id")).alias("ids"))
     entries = materialize(kept.select(F.col("ids")[0].alias("entry"), "ids", "v"))
-    total, top = entries.agg(F.count("*"), F.max(F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)))).first()
+    total, top = entries.agg(F.count("*"), F.max(F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))))).first()
     picked = entries.orderBy(F.xxhash64("entry", F.lit(7)), "entry").limit(FIT_ROWS)
     codes = Codes(np.array([r["v"] for r in picked.select("v").collect()], np.float64), top, k, total)
 
@@ -224,15 +231,16 @@ def search(table: DataFrame, k: int = 20, every: int = 20) -> DataFrame:
     # parts: a substring's first bits, salted where they are common
     high = int(np.clip(np.ceil(np.log2(max(1, total / BLOCK))), 0, codes.width))
     low = codes.width - high
-    coded = _encoded(entries, codes)
-    spread = materialize(coded).select("entry", "ids", "v", "code", F.posexplode("code").alias("t", "sub")).withColumn("start", F.shiftright("sub", low).cast("int")).drop("sub")
+    coded = materialize(_encoded(entries, codes))
+    spread = coded.select("entry", "ids", "v", "code", F.posexplode("code").alias("t", "sub")).withColumn("start", F.shiftright("sub", low).cast("int")).drop("sub")
     sizes = spread.groupBy("t", "start").agg(F.count("*").alias("n"))
-    index = join_counted(spread, materialize(sizes), ["t", "start"]).withColumn("salt", F.pmod(F.xxhash64("entry"), F.ceil(F.col("n") / BLOCK)).cast("int")).drop("n")
-    index = materialize(index)
+    sizes, salts = materialize(sizes), F.ceil(F.col("n") / BLOCK).cast("int")
+    index = join_counted(spread, sizes, ["t", "start"]).withColumn("salt", F.pmod(F.xxhash64("entry"), salts).cast("int")).drop("n")
+    parts = sizes.select(F.col("t").alias("to_t"), F.col("start").alias("to_start"), F.explode(F.sequence(F.lit(0), salts - 1)).alias("to_salt"))
 
     radius, waiting, found = codes.radius, heads, None
     while True:
-        near = _probe(index, waiting, codes, radius, low, k + 1)
+        near = _probe(index, parts, waiting, codes, radius, low, k + 1)
         nth = F.row_number().over(Window.partitionBy("head").orderBy(F.desc("score"), "entry"))
         near = near.withColumn("nth", nth).where(F.col("nth") <= k + 1).select("head", "score", F.explode("ids").alias("vec_id"))
         nth = F.row_number().over(Window.partitionBy("head").orderBy(F.desc("score"), "vec_id"))
