@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 import os
 import tempfile
 import uuid
@@ -40,19 +39,24 @@ def shared_dir(spark: SparkSession) -> str:
     return found
 
 
+#: Spark's own setting to let go of an action's shuffle files when it has ended.
+LET_GO = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write df as Parquet in the shared folder and read it back: cuts lineage, survives lost executors.
 
-    The shuffle files of the finished job are let go at once, so the disk holds the table only.
+    The shuffle files of the finished job are let go, so the disk holds the table only.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/upland-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    schema = df.schema
-    del df
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-    return spark.read.schema(schema).parquet(path)
+    before = spark.conf.get(LET_GO, "false")
+    spark.conf.set(LET_GO, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(LET_GO, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:

@@ -46,7 +46,7 @@ MISS = 1e-7
 #: Members of a pivot that one task holds against it, about.
 DEALT = 2_000
 #: Further pivots of the bands that one pivot doesn't settle.
-ROUNDS = 4
+ROUNDS = 2
 
 
 def banding(percent: int) -> tuple[int, int]:
