@@ -53,25 +53,39 @@ BROADCAST_SHARDS = 200_000
 HEAD = struct.Struct("<4s6I")
 
 
-def _waiting(now: np.ndarray, after: np.ndarray, at: np.ndarray, used: int) -> tuple[np.ndarray, np.ndarray, int]:
-    """Codes (left and right symbol) of the pairs at the places at, sorted, with their places, and the bits of a symbol.
-    In runs of one symbol, pairs overlap: every second one counts."""
+def _waiting(now: np.ndarray, after: np.ndarray, at: np.ndarray | None, used: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """Codes (left and right symbol) of the pairs at the places at (None: all), sorted, with their places, and the bits of a
+    symbol. In runs of one symbol, pairs overlap: every second one counts."""
     end = len(now) - 1
-    at = at[after[at] < end]
-    left, right = now[at], now[after[at]]
-    alike = np.flatnonzero(left == right)
+    if at is None:
+        at = np.flatnonzero(after[:end] < end)
+        left, right = now[at], now[at + 1]
+    else:
+        second = after[at]
+        linked = second < end
+        at, second = at[linked], second[linked]
+        left, right = now[at], now[second]
+    alike, odd = np.flatnonzero(left == right), np.empty(0, np.int64)
     if len(alike):
         run = at[alike]
         first = np.flatnonzero(np.append(True, after[run[:-1]] != run[1:]))
         place = np.arange(len(run)) - np.repeat(first, np.diff(np.append(first, len(run))))
-        at, left, right = (np.delete(x, alike[place % 2 == 1]) for x in (at, left, right))
+        odd = alike[place % 2 == 1]
     bits, place_bits = int(used).bit_length(), end.bit_length()
-    if 2 * bits + place_bits > 64:
+    if 2 * bits + place_bits >= 64:
         raise ValueError("the shard is too long")
-    # sorted with the place in the low bits, which is quicker than to sort places by codes
-    code = (((left.astype(np.uint64) << np.uint64(bits)) | right) << np.uint64(place_bits)) | at.astype(np.uint64)
+    # sorted with the place in the low bits, which is quicker than to sort places by codes; pairs that don't count go to the end
+    code = left.astype(np.uint64)
+    code <<= np.uint64(bits)
+    code |= right
+    code <<= np.uint64(place_bits)
+    code |= at.astype(np.uint64)
+    code[odd] = np.iinfo(np.uint64).max
     code.sort()
-    return code >> np.uint64(place_bits), (code & np.uint64((1 << place_bits) - 1)).astype(np.int32), bits
+    code = code[: len(code) - len(odd)]
+    at = (code & np.uint64((1 << place_bits) - 1)).astype(np.int32)
+    code >>= np.uint64(place_bits)
+    return code, at, bits
 
 
 def compress(symbols: np.ndarray, ends: np.ndarray, base: int, least: int = LEAST) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -85,7 +99,7 @@ def compress(symbols: np.ndarray, ends: np.ndarray, base: int, least: int = LEAS
     after[[*ends, n]] = n
     before[[0, *(ends[:-1] + 1)]] = n
     gone, alive, rank = np.zeros(n + 1, bool), np.zeros(n + 1, bool), np.zeros(n + 1, np.int32)
-    at, used, rules = np.arange(n, dtype=np.int32), base, [np.empty((0, 2), np.uint32)]
+    at, used, rules = None, base, [np.empty((0, 2), np.uint32)]
     while True:
         code, at, bits = _waiting(now, after, at, used)
         first = np.flatnonzero(np.append(True, code[1:] != code[:-1])) if len(code) else np.empty(0, np.int64)
@@ -94,6 +108,7 @@ def compress(symbols: np.ndarray, ends: np.ndarray, base: int, least: int = LEAS
         if not often.any():
             break
         at, pair, counts = at[np.repeat(often, counts)], code[first[often]], counts[often]
+        del code
         # a pair's rank is higher the more often it is found; where pairs overlap, the higher rank stays
         order = np.lexsort((pair, counts))
         ranks = np.empty(len(order), np.int32)
@@ -103,12 +118,15 @@ def compress(symbols: np.ndarray, ends: np.ndarray, base: int, least: int = LEAS
         own = rank[at]
         stays = (own > rank[before[at]]) & (own > rank[after[at]])
         rank[at] = 0
+        stays = np.flatnonzero(stays)
         chosen, own = at[stays], own[stays]
         pays = np.bincount(own, minlength=len(order) + 1) >= least
         taken = np.flatnonzero(pays)[::-1]
         number = np.zeros(len(pays), np.uint32)
         number[taken] = used + np.arange(len(taken))
-        chosen, own = chosen[pays[own]], own[pays[own]]
+        if not pays[1:].all():
+            paid = pays[own]
+            chosen, own = chosen[paid], own[paid]
         made = pair[order[taken - 1]]
         rules.append(np.stack([made >> np.uint64(bits), made & np.uint64((1 << bits) - 1)], 1).astype(np.uint32))
         used += len(taken)
