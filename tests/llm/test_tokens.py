@@ -74,7 +74,7 @@ def test_shards_read_back(spark, monkeypatch, tmp_path, broadcast):
     assert R.read_shards(spark, R.write_shards(docs(spark, []))).count() == 0
 
 
-@settings(max_examples=80, deadline=None)
+@settings(max_examples=400, deadline=None)
 @given(st.lists(st.lists(st.integers(0, 4), min_size=1, max_size=60), min_size=1, max_size=8), st.randoms())
 def test_grammar_round_trip_and_random_access(parts, rng):
     ids = [np.array(p, np.uint32) for p in parts]
@@ -99,6 +99,11 @@ def test_grammar_round_trip_and_random_access(parts, rng):
     assert (image.read_range(at, n) == flat[at : at + n]).all()
 
 
+def test_runs_whose_head_is_replaced():
+    symbols, _, rules = R.compress(np.array([1, 0, 1, 0, 0, 0, 0, 0], np.uint32), np.array([7]), 5, least=2)
+    assert rules.tolist() == [[1, 0], [0, 0]] and symbols.tolist() == [5, 5, 6, 6]
+
+
 def test_repeats_become_rules():
     text = np.tile(np.array([1, 2, 3, 4], np.uint32), 500)
     symbols, _, rules = R.compress(text, np.array([len(text) - 1]), 10, least=2)

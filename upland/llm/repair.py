@@ -53,9 +53,9 @@ BROADCAST_SHARDS = 200_000
 HEAD = struct.Struct("<4s6I")
 
 
-def _waiting(now: np.ndarray, after: np.ndarray, at: np.ndarray | None, used: int) -> tuple[np.ndarray, np.ndarray, int]:
-    """Codes (left and right symbol) of the pairs at the places at (None: all), sorted, with their places, and the bits of a
-    symbol. In runs of one symbol, pairs overlap: every second one counts."""
+def _waiting(now: np.ndarray, after: np.ndarray, at: np.ndarray | None, used: int) -> tuple[np.ndarray, np.ndarray, int, np.ndarray]:
+    """Codes (left and right symbol) of the pairs at the places at (None: all), sorted, with their places, the bits of a symbol,
+    and places left out: in runs of one symbol, pairs overlap, and every second one counts."""
     end = len(now) - 1
     if at is None:
         at = np.flatnonzero(after[:end] < end)
@@ -81,11 +81,12 @@ def _waiting(now: np.ndarray, after: np.ndarray, at: np.ndarray | None, used: in
     code <<= np.uint64(place_bits)
     code |= at.astype(np.uint64)
     code[odd] = np.iinfo(np.uint64).max
+    skipped = at[odd]
     code.sort()
     code = code[: len(code) - len(odd)]
     at = (code & np.uint64((1 << place_bits) - 1)).astype(np.int32)
     code >>= np.uint64(place_bits)
-    return code, at, bits
+    return code, at, bits, skipped
 
 
 def compress(symbols: np.ndarray, ends: np.ndarray, base: int, least: int = LEAST) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -101,7 +102,7 @@ def compress(symbols: np.ndarray, ends: np.ndarray, base: int, least: int = LEAS
     gone, alive, rank = np.zeros(n + 1, bool), np.zeros(n + 1, bool), np.zeros(n + 1, np.int32)
     at, used, rules = None, base, [np.empty((0, 2), np.uint32)]
     while True:
-        code, at, bits = _waiting(now, after, at, used)
+        code, at, bits, skipped = _waiting(now, after, at, used)
         first = np.flatnonzero(np.append(True, code[1:] != code[:-1])) if len(code) else np.empty(0, np.int64)
         counts = np.diff(np.append(first, len(code)))
         often = counts >= least
@@ -134,9 +135,10 @@ def compress(symbols: np.ndarray, ends: np.ndarray, base: int, least: int = LEAS
         third = after[second]
         now[chosen], after[chosen], before[third], gone[second] = number[own], third, chosen, True
         beside = before[chosen]
-        alive[at] = alive[chosen] = alive[beside] = True
+        # a run's other places count once its head is gone
+        alive[at] = alive[chosen] = alive[beside] = alive[skipped] = True
         alive[second] = alive[n] = False
-        at = np.flatnonzero(alive) if len(chosen) > n // 64 else np.unique(np.concatenate([at, chosen, beside]))
+        at = np.flatnonzero(alive) if len(chosen) > n // 64 else np.unique(np.concatenate([at, chosen, beside, skipped]))
         at = at[alive[at]]
         alive[at] = False
     stay = ~gone[:n]
