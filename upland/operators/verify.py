@@ -94,3 +94,8 @@ def check_points(points: DataFrame, keep: int = 16) -> DataFrame:
 
 def sample_counts(samples: DataFrame) -> DataFrame:
     return compare_samples(samples)
+
+
+def only_in(a: DataFrame, b: DataFrame, *keys: str) -> DataFrame:
+    """The rows of a whose keys no row of b has."""
+    return a.join(b.select(*keys).distinct(), list(keys), "left_anti")

@@ -558,6 +558,20 @@ def j19(spark, d):
     return s.withColumns({x: F.round(x, 6) for x in ("curvature_p95", "horn_mean", "horn_max", "rook_mean", "rook_max", "max_diff_pp")})
 
 
+#: A site of the default size, 2,049 nodes a side.
+SITE = 2049
+SITE_SQL = f"s AS (SELECT r::INTEGER AS r, c::INTEGER AS c, (8000 + 2 * c + r + (r * 37 + c * 91) % 40 + (r * c) % 23)::DOUBLE / 1e2 AS z FROM range({SITE}) AS t(r), range({SITE}) AS u(c))"
+
+
+@query("c3_default_site", f"WITH {SITE_SQL}, {STENCIL_SQL} SELECT count(*) FILTER (WHERE valid) AS valid, count(*) FILTER (WHERE photon) AS photons, round(avg(horn_pct), 6) AS horn_mean, round(max(horn_pct), 6) AS horn_max, round(avg(rook_pct), 6) AS rook_mean, round(max(rook_pct), 6) AS rook_max FROM sv")
+def c3_site(spark, d):
+    r, c = F.col("r").cast("long"), F.col("c").cast("long")
+    z = (8000 + 2 * c + r + (r * 37 + c * 91) % 40 + (r * c) % 23) / 100.0
+    s = terrain.slopes(grid.lattice(spark, SITE, SITE).withColumn("z", z))
+    ok = lambda x: F.when(F.col("valid"), F.col(x))
+    return s.agg(F.count_if("valid").alias("valid"), F.count_if("photon").alias("photons"), *[F.round(f(ok(f"{k}_pct")), 6).alias(f"{k}_{n}") for k in ("horn", "rook") for n, f in (("mean", F.avg), ("max", F.max))])
+
+
 @query("a9_class_shares", f"WITH {surface_sql(200)}, {STENCIL_SQL}, t AS (SELECT {CLASS_SQL} AS cls FROM sv) SELECT k::INTEGER AS cls, count(*) FILTER (WHERE cls = k) AS n, round_even(count(*) FILTER (WHERE cls = k)::DOUBLE / count(*) FILTER (WHERE cls <> 255), 6) AS share FROM t, (VALUES (0), (1), (2), (3), (4), (5)) AS x(k) GROUP BY k")
 def a9(spark, d):
     return terrain.shares(terrain.classes(surface(spark, d, 200))).select("cls", "n", "share")
@@ -727,7 +741,7 @@ def c4p(spark, d):
 @query("e1_exact_set_differences", "SELECT 'orders only' AS side, count(*) AS n FROM orders WHERE o_orderkey NOT IN (SELECT event_id FROM events) UNION ALL SELECT 'events only', count(*) FROM events WHERE event_id NOT IN (SELECT o_orderkey FROM orders)")
 def e1(spark, d):
     a, b = table(spark, d, "orders").select(F.col("o_orderkey").alias("k")), table(spark, d, "events").select(F.col("event_id").alias("k"))
-    n = lambda x, y, s: x.join(y, "k", "left_anti").agg(F.count("*").alias("n")).select(F.lit(s).alias("side"), "n")
+    n = lambda x, y, s: verify.only_in(x, y, "k").agg(F.count("*").alias("n")).select(F.lit(s).alias("side"), "n")
     return n(a, b, "orders only").unionByName(n(b, a, "events only"))
 
 
