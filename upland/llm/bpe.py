@@ -9,7 +9,8 @@ pretokens of a batch are merged together, their trees being rows of one array; l
 
 Defined cases: a null text is an empty one and has no ids; strings of added tokens in a text become
 their ids, as in the library; ids decode to bytes, and bytes that aren't UTF-8 become U+FFFD; rows
-without doc_id and repeated rows are encoded like others; an empty table gives an empty result.
+without doc_id and repeated rows are encoded like others; a very long text is encoded whole; pairs of one rank are
+merged from the left; an empty table gives an empty result; further columns are ignored.
 """
 
 from __future__ import annotations

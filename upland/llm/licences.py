@@ -13,8 +13,8 @@ reserved", unless the next word is one that licences themselves put there ("copy
 such a line is part of a wrapped sentence. A notice's second line isn't dropped.
 
 Defined cases: null and empty texts, and those without a letter or digit, match nothing; a document of
-one line that is a notice matches as document and as line; repeated rows and rows without doc_id match
-like others; an empty table gives an empty result; further columns are ignored.
+one line that is a notice matches as document and as line; a very long text is brought to the form whole; of
+licences with the same text the first by name is named; repeated rows and rows without doc_id match like others; an empty table gives an empty result; further columns are ignored.
 """
 
 from __future__ import annotations
