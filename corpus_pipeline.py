@@ -2,6 +2,10 @@
 
 Each stage takes (spark, docs, sf_dir) and works on all that the one before kept; its result is written
 as Parquet and read again. All stages but the last return the columns of documents.
+
+Defined cases, of every stage: null and empty texts are texts without words; very long texts are worked on whole; rows
+without doc_id and repeated rows take part as said below; columns beyond those of documents go along unchanged,
+whatever their names; an empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -16,18 +20,24 @@ from upland.llm.suffix_array import without_repeats
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows that fail the base rules (null texts do), or whose host is rejected, go; each row is judged by itself."""
     return accepted(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of a group of near-duplicates the row of the least doc_id stays; rows without doc_id, and texts without words, stay; of
+    equal rows one stays."""
     return one_of_each(docs)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Words in windows of 50 that also start in a document with a smaller doc_id go; a document that has nothing left goes;
+    rows without doc_id stay as they are."""
     return without_repeats(docs)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every row is packed, null texts as their end id."""
     return pack(docs)
 
 
