@@ -50,6 +50,8 @@ def test_chains_near_the_threshold_in_blocks(spark, monkeypatch):
         for _ in range(2):
             w[rng.randrange(len(w))] = f"n{rng.randrange(10**6)}"
     monkeypatch.setattr(M, "GROUP_SHINGLES", 1500)
+    monkeypatch.setattr(M, "CROWD", 2)
+    monkeypatch.setattr(M, "DEALT", 3)
     got = M.near_duplicates(docs(spark, rows), 85).select("doc_id", "n_shingles", "component_id", "kept")
     assert sorted(map(tuple, got.collect()), key=repr) == plain(rows, 85)
 

@@ -11,8 +11,8 @@
 4. A band whose members are of one class, or that has two members, is done. In the others, members that
    aren't of the pivot's class may still be linked to others than the pivot. Jaccard distance is a metric, so a
    member closer to the pivot than the nearest of these, less the distance that links, can't be: it is left out. For
-   ROUNDS rounds, those left are held against another pivot of their band, taken by hash, if it is of another class,
-   which joins most of them to the pivot's class. What remains goes to tasks by band (bands with the same members once). There, rows of links are worked out only for
+   ROUNDS rounds, should a band keep more than CROWD members, those left are held against another pivot of their band, taken
+   by hash, if it is of another class, which joins most of them to the pivot's class. What remains goes to tasks by band (bands with the same members once). There, rows of links are worked out only for
    members outside the largest class: a row is filtered by size and by the Jaccard estimate, corrected
    for chance collisions of registers, with a margin of six standard deviations, and compared on the full sets.
    Should the sets of a band exceed GROUP_SHINGLES even so, its members are dealt to tasks of two blocks each.
@@ -47,6 +47,8 @@ MISS = 1e-7
 DEALT = 2_000
 #: Further pivots of the bands that one pivot doesn't settle.
 ROUNDS = 2
+#: Members of a band that go to a task without further pivots.
+CROWD = 500
 
 
 def banding(percent: int) -> tuple[int, int]:
@@ -246,6 +248,8 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     labels = components(near)
     left = materialize(_unsettled(members, checked, labels, percent))
     for k in range(ROUNDS):
+        if (left.groupBy("key").count().agg(F.max("count")).first()[0] or 0) <= CROWD:
+            break
         chosen = left.groupBy("key").agg(F.count("*").alias("n"), F.min_by(F.struct(F.col("doc_id").alias("b"), F.col("label").alias("class")), F.xxhash64("doc_id", F.lit(k))).alias("p"))
         pairs = join_counted(left, materialize(chosen.select("key", "n", "p.b", "p.class")), ["key"]).where("label <> class").select(F.col("doc_id").alias("a"), "b").distinct()
         pairs = materialize(pairs)
