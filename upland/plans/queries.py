@@ -190,10 +190,10 @@ def k3(spark, d):
     return b.select(F.concat_ws("_", "ix", "iy").alias("key"), F.sha2("data", 256).alias("sha256"), "e0", "n0", F.length("data").alias("bytes"))
 
 
-@query("k5_tile_shares", f"WITH {surface_sql(200)}, {STENCIL_SQL}, t AS (SELECT r // 32 AS band, {CLASS_SQL} AS cls FROM sv), n AS (SELECT band, count(*) FILTER (WHERE cls <> 255) AS v FROM t GROUP BY band) SELECT band, k::INTEGER AS cls, count(*) FILTER (WHERE cls = k)::BIGINT AS n, CASE WHEN any_value(v) > 0 THEN round_even(count(*) FILTER (WHERE cls = k) / greatest(any_value(v), 1)::DOUBLE, 6) ELSE 0 END AS share FROM n JOIN t USING (band), (VALUES (0), (1), (2), (3), (4), (5)) AS x(k) GROUP BY band, k")
+@query("k5_tile_shares", f"WITH {surface_sql(200)}, {STENCIL_SQL}, cl AS (SELECT s.r, s.c, coalesce({CLASS_SQL}, 255) AS z FROM s LEFT JOIN sl USING (r, c)), {CUT_SQL.replace('SELECT s.*', 'SELECT cl.*').replace('AS ix FROM s)', 'AS ix FROM cl)')}, n AS (SELECT ix, iy, count(*) FILTER (WHERE z <> 255) AS v FROM ct GROUP BY ix, iy) SELECT ix, iy, k::INTEGER AS cls, count(*) FILTER (WHERE z = k)::BIGINT AS n, CASE WHEN any_value(v) > 0 THEN round_even(count(*) FILTER (WHERE z = k) / greatest(any_value(v), 1)::DOUBLE, 6) ELSE 0 END AS share FROM n JOIN ct USING (ix, iy), (VALUES (0), (1), (2), (3), (4), (5)) AS x(k) GROUP BY ix, iy, k")
 def k5(spark, d):
-    s = terrain.slopes(surface(spark, d, 200)).select(F.floor(F.col("r") / 32).alias("band"), S.slope_class(F.col("horn_pct")).alias("cls"))
-    return terrain.shares(s, "band").select("band", "cls", "n", "share")
+    cut = grid.cut(terrain.classes(surface(spark, d, 200)), n_rows(spark, d), COLS, TILE)
+    return terrain.shares(cut, "ix", "iy").select("ix", "iy", "cls", "n", "share")
 
 
 # ---------------------------------------------------------------- projections
@@ -510,10 +510,17 @@ def p17(spark, d):
     return works.inside_site(works.trench_geometry(trenches(spark, d)), 75.0, 90.0, 15.0)
 
 
-@query("p21_route_rows", f"WITH {STRAIGHT_SQL} SELECT rid, round_even(x0 + 400000.0::DOUBLE, 3) AS start_e, round_even(y0 + 300000.0::DOUBLE, 3) AS start_n, round_even(degrees(h0), 3) AS heading_deg, 1::INTEGER AS legs, round_even(len, 3) AS leg_m, round_even(len, 4) AS plan_m FROM st")
+_BENDS = " + ".join(f"(t{i} <> 0)::INTEGER" for i in range(1, 5))
+
+
+def _listed(values: list[str], n: str, digits: int) -> str:
+    return f"list_transform(list_slice([{', '.join(values)}], 1, {n}), lambda v: round_even(v, {digits}))"
+
+
+@query("p21_route_rows", f"WITH {PLAN_SQL} SELECT rid, round_even(x0 + 400000.0::DOUBLE, 3) AS start_e, round_even(y0 + 300000.0::DOUBLE, 3) AS start_n, round_even(degrees(h0), 3) AS heading_deg, kv, {_listed([f'l{k}' for k in range(5)], f'{_BENDS} + 1', 3)} AS legs_m, {_listed([f'degrees(t{i})' for i in range(1, 5)], _BENDS, 3)} AS turns_deg, {_listed([f'CASE WHEN t{i} <> 0 THEN radius * q{i} ELSE 0 END' for i in range(1, 5)], _BENDS, 4)} AS fitted_radius_m, round_even(plan_m, 4) AS plan_m FROM rq JOIN pt USING (rid)")
 def p21(spark, d):
-    p = cable.plan(straights(spark, d)).withColumns({"sampled_m": F.col("plan_m"), "analytic_m": F.col("plan_m"), "disagreement": F.lit(0.0)})
-    return cable.route_rows(p, (400000.0, 300000.0)).select("rid", "start_e", "start_n", "heading_deg", F.size("legs_m").alias("legs"), F.col("legs_m")[0].alias("leg_m"), "plan_m")
+    p = cable.plan(bent(spark, d)).withColumns({"sampled_m": F.col("plan_m"), "analytic_m": F.col("plan_m"), "disagreement": F.lit(0.0)})
+    return cable.route_rows(p, (400000.0, 300000.0)).select("rid", "start_e", "start_n", "heading_deg", "kv", "legs_m", "turns_deg", "fitted_radius_m", "plan_m")
 
 
 @query("t1_worst_samples", HEADED_SQL + ", x AS (SELECT tile, i, j, (base_cm + q) / 1e2 AS h_tile, abs((base_cm + q) / 1e2 - z) AS err FROM t JOIN (SELECT ix, iy, i, j, z FROM ct) USING (ix, iy, i, j) WHERE q <> 65535) SELECT tile, i, j, h_tile FROM x WHERE err IS NOT NULL ORDER BY err DESC, tile, i, j LIMIT 8")
