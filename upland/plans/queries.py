@@ -656,7 +656,7 @@ both_ AS (SELECT rid, sampled_m, chords_m, plan_m + extra AS analytic_m, n_sampl
 
 def _length_pairs(spark: SparkSession, d: str) -> DataFrame:
     planned = cable.plan(bent(spark, d))
-    return cable.length_pair(planned, grid.cell_table(surface(spark, d)), n_rows(spark, d), COLS).join(planned.withColumnRenamed("rid", "route"), F.col("rid") == F.col("route")).drop("route")
+    return cable.length_pair(planned, grid.cell_table(surface(spark, d)), n_rows(spark, d), COLS).join(planned.withColumnRenamed("rid", "route").hint("merge"), F.col("rid") == F.col("route")).drop("route")
 
 
 @query("c5_cable_pair", LENGTH_SQL + " SELECT rid, round(sampled_m, 5) AS sampled_m, round(chords_m, 5) AS chords_m, round(analytic_m, 5) AS analytic_m, n_samples FROM both_")
