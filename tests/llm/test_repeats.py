@@ -66,6 +66,17 @@ def test_common_passage_with_many_surroundings(spark, monkeypatch):
     assert sorted(map(tuple, got.collect()), key=repr) == want_rows(rows)
 
 
+def test_large_group_of_near_copies_makes_no_row_per_window(spark, monkeypatch):
+    """700 different surroundings of one passage fit a task; their windows aren't dealt one by one."""
+    asked, read = [], R._read
+    monkeypatch.setattr(R, "_read", lambda docs, wanted, rows_of, shape: (asked.append(rows_of), read(docs, wanted, rows_of, shape))[1])
+    passage = " ".join(f"p{k}" for k in range(52))
+    rows = [(i, f"{' '.join(f'a{i}x{k}' for k in range(40))} {passage} {' '.join(f'b{i}x{k}' for k in range(40))}", "s") for i in range(700)]
+    got = without_repeated_windows(docs(spark, rows))
+    assert sorted(map(tuple, got.collect()), key=repr) == want_rows(rows)
+    assert asked == [R._worded]
+
+
 @pytest.mark.parametrize("limit", [500, 2])
 def test_array_spans_match_brute_force(spark, monkeypatch, limit):
     monkeypatch.setattr(R, "CHUNK", 5)

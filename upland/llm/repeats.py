@@ -40,8 +40,9 @@ from .common import column, hashes, join_counted, materialize, mix, plain, small
 
 WINDOW, GRAM = 50, 12
 SPAN = WINDOW - GRAM + 1
-#: Contexts or windows of a group at most; contexts that a finder gets at once, about.
-GROUP, CHUNK = 500, 5_000
+#: Contexts or windows of a group at most; contexts that a finder gets at once, about. A group costs its finder n log n, so
+#: only one that a task couldn't take at once is worth a row for each of its windows.
+GROUP, CHUNK = 4_000, 5_000
 #: Words of the prefixes that deal out the windows of anchors with too many contexts.
 PREFIXES = (20, 35, WINDOW)
 PLACE = np.uint64(26)
