@@ -1,11 +1,13 @@
 import json
 
 import numpy as np
+import pytest
 from helpers import clashing, docs
 from pyspark.sql import functions as F
 
 import upland.llm.ann as A
 import upland.llm.chat as C
+from upland.llm import common
 from upland.llm.common import components
 from upland.llm.licences import _MIT, KNOWN, licence_scan
 
@@ -168,6 +170,21 @@ def test_search_small_tables(spark):
     assert [(r.query_id, r.rank, r.vec_id, r.score) for r in got] == [(0, 1, 1, 0.5), (0, 2, 2, -1.0)]
 
 
+@pytest.mark.parametrize("few", [100, 0])
+def test_components_of_few_edges_start_few_jobs(spark, monkeypatch, few):
+    """Both ways give the same labels; few edges take no more jobs for a long chain."""
+    monkeypatch.setattr(common, "FEW_EDGES", few)
+    rng = np.random.default_rng(7)
+    chain = rng.permutation(60).tolist()
+    edges = [*zip(chain, chain[1:], strict=False), (100, 101), (101, 100), (102, 102), (103, 101)]
+    spark.sparkContext.setJobGroup("components", "")
+    got = components(spark.createDataFrame(edges, "a long, b long"))
+    started = len(spark.sparkContext.statusTracker().getJobIdsForGroup("components"))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert {r.node: r.label for r in got.collect()} == {i: 0 for i in range(60)} | {100: 100, 101: 100, 103: 100}
+    assert started <= 6 if few else started > 6
+
+
 def test_components(spark):
     edges = [(k, k + 1) for k in range(0, 60)] + [(100, 101), (103, 101), (200, 200)]
     got = {r.node: r.label for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}

@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -114,13 +114,45 @@ def join_counted(left: DataFrame, right: DataFrame, on: list[str], how: str = "i
     return left.join(heavy, on).unionByName(rest)
 
 
+#: Edges whose components one task works out, at most; it holds some 100 bytes for each.
+FEW_EDGES = 2_000_000
+
+
+def least_labels(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The nodes of the edges (a, b) and, for each, the least node reachable."""
+    nodes, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    u, v = at[: len(a)], at[len(a) :]
+    label = np.arange(len(nodes))
+    while True:  # every label is a root; roots of an edge go to the lesser one, then all paths are followed to their end
+        x, y = label[u], label[v]
+        if (x == y).all():
+            return nodes, nodes[label]
+        least = label.copy()
+        np.minimum.at(least, np.maximum(x, y), np.minimum(x, y))
+        while (least != (after := least[least])).any():
+            least = after
+        label = least[label]
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node long, label long): the least node reachable, for each node of the undirected edges.
 
-    Every round takes the least label among neighbours, then follows labels one hop, so long
-    chains halve; a round's labels are a table in the shared folder.
+    Up to FEW_EDGES edges go to one task, so few edges don't cost a series of jobs. With more, every round takes the least
+    label among neighbours, then follows labels one hop, so long chains halve; a round's labels are a table in the shared folder.
     """
-    both = materialize(edges.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u <> v").union(edges.select(F.col(b), F.col(a)).where(F.col(a) != F.col(b))).distinct())
+    own = edges.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u <> v")
+    own = materialize(own.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct())
+    if own.count() <= FEW_EDGES:
+
+        def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            held = [b for b in batches if b.num_rows]
+            if held:
+                u, v = (np.concatenate([b.column(k).to_numpy() for b in held]) for k in (0, 1))
+                found = [pa.array(x) for x in least_labels(u, v)]
+                yield from pa.Table.from_arrays(found, ["node", "label"]).to_batches(BATCH_ROWS)
+
+        return materialize(own.coalesce(1).mapInArrow(work, "node long, label long"))
+    both = materialize(own.union(own.select("v", "u")))
     labels = materialize(both.groupBy(F.col("u").alias("node")).agg(F.least(F.min("v"), F.col("u")).alias("label")))
     while True:
         near = both.join(labels.select(F.col("node").alias("v"), "label"), "v").groupBy(F.col("u").alias("node")).agg(F.min("label").alias("near"))
