@@ -673,7 +673,7 @@ def a15(spark, d):
     got = cable.length_pair(arcs, grid.cell_table(surface(spark, d)), n_rows(spark, d), COLS).select("rid", F.round("correction_m", 6).alias("arcs_m"))
     live = arcs.select("rid", F.posexplode("pieces").alias("slot", "p")).select("rid", "slot", "p.x", "p.y", "p.h", "p.curvature", "p.length")
     n = cable.intervals(cable.line_crossings(live)).where("b - a > 1e-9").groupBy("rid").agg((6 * F.count("*")).alias("n"))
-    return got.join(n, "rid").select("rid", "n", "arcs_m")
+    return got.join(n.hint("merge"), "rid").select("rid", "n", "arcs_m")
 
 
 _REL = "abs(sampled_m - analytic_m) / greatest(sampled_m, analytic_m, 1e-12)"
