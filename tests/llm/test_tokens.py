@@ -11,6 +11,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 import upland.llm.repair as R
+import upland.llm.tokens as T
 from upland.llm.bpe import ByteBPE, encode_decode
 from upland.llm.packing import pack, plan
 from upland.llm.tokens import PieceEncoder, cut_kind, library, vocabulary
@@ -175,3 +176,14 @@ def test_rules_of_production_go_on_until_no_pair_is_frequent():
     for k, (a, b) in enumerate(rules.tolist()):
         lengths[200 + k] = lengths[a] + lengths[b]
     assert LEAST == 4 and lengths.max() >= 64 and len(now) == 40 and lengths[now].sum() == 40 * 65
+
+
+def test_a_task_without_encoder_lets_it_go():
+    """Placing pieces begins at once after encoding, before an idle worker would drop its encoder."""
+    with T.kept(("any",), object) as held:
+        T.let_go()
+        assert T._KEPT.value is held  # not while it is lent
+    T.let_go()
+    assert T._KEPT.value is None and T._KEPT.key is None
+    with T.kept(("any",), list) as held:
+        assert held == []

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import column, materialize, plain, small_batches
-from .tokens import shared_encoder, vocabulary
+from .tokens import let_go, shared_encoder, vocabulary
 
 ROOM, END = 1024, 2
 #: Pieces of one length and bucket that one task ranks, about.
@@ -179,6 +179,7 @@ def pack(docs: DataFrame, tokenizer: str = "byte_bpe_50k.json", end: int = END,
     ranked = cut.withColumn("own", own).join(before.hint("merge"), ["length", "bucket"]).withColumn("rank", F.col("own") + F.coalesce("before", F.lit(0)))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for b in batches:
             length, rank = b.column(3).to_numpy(), b.column(5).to_numpy()
             sequence, offset = np.empty(len(rank), np.int64), np.empty(len(rank), np.int64)

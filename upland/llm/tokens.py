@@ -336,5 +336,10 @@ def kept(key: tuple, make: Callable[[], object]) -> contextlib.AbstractContextMa
     return _KEPT.lend(key, make)
 
 
+def let_go() -> None:
+    """Drop what this worker keeps at once, for a task that has no use for it but needs the memory."""
+    _KEPT.drop()
+
+
 def shared_encoder(path: str) -> contextlib.AbstractContextManager:
     return kept(("library", path), lambda: PieceEncoder(path))
