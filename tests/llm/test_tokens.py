@@ -187,3 +187,13 @@ def test_a_task_without_encoder_lets_it_go():
     assert T._KEPT.value is None and T._KEPT.key is None
     with T.kept(("any",), list) as held:
         assert held == []
+
+
+def test_a_word_with_signs_is_put_together_from_two():
+    """The library gets letters and signs once each, however they are joined or written."""
+    seen, run = [], T.library_encoder(WORD, "word")
+    encoder = PieceEncoder(WORD, lambda pieces: (seen.extend(pieces), run(pieces))[1])
+    texts = ["Été hello &&& hello&&&  été!!", "\thello,*** ÉTÉ Hello'' ", "", "İ! É<|startoftext|> <|x"]
+    got = [x.tolist() for x in encoder.texts([t.encode() for t in texts] + [None])]
+    assert got == [library(WORD).encode(t, add_special_tokens=False).ids for t in [*texts, ""]]
+    assert sorted(seen) == sorted(["!!", "&&&", ",***", "''", "hello", "été", "İ!", "É<|startoftext|>", "<|x"])

@@ -46,6 +46,8 @@ SHARD_TOKENS = 2_000_000
 #: Bytes of a symbol and of a rule with its length; a pair pays from LEAST occurrences on.
 SYMBOL_BYTES, RULE_BYTES = 3, 10
 LEAST = RULE_BYTES // SYMBOL_BYTES + 1
+#: Bytes of text that are encoded at once.
+ENCODED = 8 << 20
 #: Documents that are read at once.
 READ = 64
 #: Shards whose places are broadcast, at most (24 bytes each).
@@ -59,12 +61,12 @@ def _waiting(now: np.ndarray, after: np.ndarray, at: np.ndarray | None, used: in
     end = len(now) - 1
     if at is None:
         at = np.flatnonzero(after[:end] < end)
-        left, right = now[at], now[at + 1]
+        left, right = now.take(at), now.take(at + 1)
     else:
-        second = after[at]
-        linked = second < end
-        at, second = at[linked], second[linked]
-        left, right = now[at], now[second]
+        second = after.take(at)
+        linked = np.flatnonzero(second < end)
+        at, second = at.take(linked), second.take(linked)
+        left, right = now.take(at), now.take(second)
     alike, odd = np.flatnonzero(left == right), np.empty(0, np.int64)
     if len(alike):
         run = at[alike]
@@ -108,42 +110,49 @@ def compress(symbols: np.ndarray, ends: np.ndarray, base: int, least: int = LEAS
         often = counts >= least
         if not often.any():
             break
-        at, pair, counts = at[np.repeat(often, counts)], code[first[often]], counts[often]
+        at, pair, counts = at.compress(np.repeat(often, counts)), code[first[often]], counts[often]
         del code
         # a pair's rank is higher the more often it is found; where pairs overlap, the higher rank stays
         order = np.lexsort((pair, counts))
         ranks = np.empty(len(order), np.int32)
         ranks[order] = np.arange(1, len(order) + 1)
-        rank[at] = np.repeat(ranks, counts)
-        at = np.flatnonzero(rank) if len(at) > n // 16 else np.sort(at)
-        own = rank[at]
-        stays = (own > rank[before[at]]) & (own > rank[after[at]])
+        # sorted by place, with the rank in the low bits, as memory is then gone through in order
+        placed = at.astype(np.int64)
+        placed <<= 32
+        placed |= np.repeat(ranks, counts)
+        placed.sort()
+        at, own = placed >> 32, placed.astype(np.int32)
+        rank[at] = own
+        stays = (own > rank.take(before.take(at))) & (own > rank.take(after.take(at)))
         rank[at] = 0
         stays = np.flatnonzero(stays)
-        chosen, own = at[stays], own[stays]
+        chosen, own = at.take(stays), own.take(stays)
         pays = np.bincount(own, minlength=len(order) + 1) >= least
         taken = np.flatnonzero(pays)[::-1]
         number = np.zeros(len(pays), np.uint32)
         number[taken] = used + np.arange(len(taken))
         if not pays[1:].all():
-            paid = pays[own]
-            chosen, own = chosen[paid], own[paid]
+            paid = np.flatnonzero(pays.take(own))
+            chosen, own = chosen.take(paid), own.take(paid)
         made = pair[order[taken - 1]]
         rules.append(np.stack([made >> np.uint64(bits), made & np.uint64((1 << bits) - 1)], 1).astype(np.uint32))
         used += len(taken)
-        second = after[chosen]
-        third = after[second]
-        now[chosen], after[chosen], before[third], gone[second] = number[own], third, chosen, True
-        beside = before[chosen]
+        second = after.take(chosen)
+        third = after.take(second)
+        now[chosen], after[chosen], before[third], gone[second] = number.take(own), third, chosen, True
+        beside = before.take(chosen)
         # a run's other places count once its head is gone
         alive[at] = alive[chosen] = alive[beside] = alive[skipped] = True
         alive[second] = alive[n] = False
-        at = np.flatnonzero(alive) if len(chosen) > n // 64 else np.unique(np.concatenate([at, chosen, beside, skipped]))
-        at = at[alive[at]]
+        if len(chosen) > n // 64:
+            at = np.flatnonzero(alive)
+        else:
+            at = np.sort(np.concatenate([at, chosen, beside, skipped]))
+            at = at.compress(alive.take(at) & np.append(True, at[1:] != at[:-1]))
         alive[at] = False
-    stay = ~gone[:n]
+    stay = np.flatnonzero(~gone[:n])
     starts = np.append(0, ends[:-1] + 1)
-    return now[:n][stay], np.cumsum(stay)[starts] - 1, np.concatenate(rules)
+    return now.take(stay), np.searchsorted(stay, starts), np.concatenate(rules)
 
 
 def rule_levels(rules: np.ndarray, base: int) -> list[tuple[int, int]]:
@@ -224,9 +233,11 @@ class Image:
         self.ends = np.cumsum(self.size[self.symbols])
 
     def expand(self, symbols: np.ndarray) -> np.ndarray:
-        size = self.size[symbols]
+        size = self.size.take(symbols)
         ends = np.cumsum(size)
-        return self.table[np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(self.offset[symbols] - (ends - size), size)]
+        at = np.repeat(self.offset.take(symbols) - (ends - size), size)
+        at += np.arange(len(at))
+        return self.table.take(at)
 
     def read_range(self, start: int, n: int) -> np.ndarray:
         """Ids start .. start + n of the shard."""
@@ -262,9 +273,21 @@ def write_shards(docs: DataFrame, folder: str | None = None, tokenizer: str = "w
             held, size = [], 0
             return pa.RecordBatch.from_arrays([pa.array([image], pa.binary())], ["image"])
 
-        with shared_encoder(path) as encoder:
+        def runs() -> Iterator[tuple[list[int | None], list[bytes | None]]]:
+            """The documents, at least ENCODED bytes of text at once: a word is looked up once in all of them."""
+            docs, texts, n = [], [], 0
             for b in batches:
-                for doc, ids in zip(column(b, "doc_id"), encoder.texts(column(b, "text")), strict=True):
+                docs += column(b, "doc_id")
+                texts += column(b, "text")
+                n += b.nbytes
+                if n >= ENCODED:
+                    yield docs, texts
+                    docs, texts, n = [], [], 0
+            yield docs, texts
+
+        with shared_encoder(path) as encoder:
+            for known, texts in runs():
+                for doc, ids in zip(known, encoder.texts(texts), strict=True):
                     if held and size + len(ids) >= shard_tokens:
                         yield flush()
                     held.append((doc, np.append(ids, np.uint32(end))))
@@ -290,12 +313,11 @@ def read_shards(spark: SparkSession, folder: str) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 of all documents, from the files alone."""
     files = shard_files(spark, folder)
 
-    def heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            counts = [image_ids(x) for x in column(b, "image")]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(counts, pa.int64())], ["part", "shard", "n"])
-
-    counted = materialize(files.mapInArrow(heads, "part int, shard int, n long"))
+    # the ids that an image holds, by its head (see HEAD), which needs no Python worker
+    byte = lambda k: F.conv(F.hex(F.substring("image", k + 1, 1)), 16, 10).cast("long")
+    n_ids = sum((byte(20 + k) * 256**k for k in range(1, 4)), byte(20))
+    whole = F.when(F.substring("image", 1, 4) == F.lit(b"RPR2"), n_ids).otherwise(F.raise_error(F.lit("not a shard image")).cast("long"))
+    counted = materialize(files.select("part", "shard", whole.alias("n")))
     # a row for each partition that wrote, then a running sum within each
     before = F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     parts = counted.groupBy("part").agg(F.sum("n").alias("n")).select("part", before.alias("base"))

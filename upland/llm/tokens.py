@@ -16,14 +16,18 @@ from __future__ import annotations
 import contextlib
 import ctypes
 import gc
+import itertools
 import json
 import os
 import re
+import string
 import threading
 import unicodedata
 from collections.abc import Callable, Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from tokenizers import Tokenizer, pre_tokenizers
 
 #: Pieces that a worker remembers; beyond it, those seen once only are forgotten, or all if that isn't enough.
@@ -32,6 +36,8 @@ MEMORY = 450_000
 IDLE_S = 2.0
 #: Pieces joined to one text for the library.
 JOINED = 1000
+#: ASCII signs: in the word vocabulary a run of them is one pretoken.
+SIGNS = string.punctuation.encode()
 
 
 def byte_letters() -> list[str]:
@@ -133,7 +139,12 @@ def library_encoder(path: str, kind: str = "whole") -> Encoder:
             sizes.append(np.bincount(owner, minlength=len(run)))
         return np.concatenate([np.array(x.ids, np.uint32) for x in found]), np.concatenate(sizes)
 
-    return _either(lambda x: _is_word(x) and x.islower() and unicodedata.is_normalized("NFC", x), plain, others)
+    return _either(lambda x: _SMALL(x) is not None, plain, others)
+
+
+#: Small letters of the Latin alphabets only, in form NFC.
+_SMALL_LETTERS = f"[{''.join(x for x in map(chr, range(0x250)) if x.isalpha() and x.islower() and unicodedata.is_normalized('NFC', x))}]+"
+_SMALL = re.compile(_SMALL_LETTERS).fullmatch
 
 
 def _is_word(x: str) -> bool:
@@ -141,6 +152,19 @@ def _is_word(x: str) -> bool:
     return x.isalpha() and (x.isascii() or max(x) < "\u0250")
 
 
+#: Bytes of a-z and of the letters U+00C0 to U+023F.
+_LATIN = string.ascii_lowercase.encode() + bytes(range(0x80, 0xC0)) + bytes(range(0xC3, 0xC9))
+
+
+def _lowered(word: bytes) -> bytes | None:
+    """The word with small letters, None if it isn't letters only: a letter may give a letter and a mark when lowered."""
+    if word.translate(None, _LATIN):
+        return None
+    given = word.decode("utf-8", "replace")
+    low = given.lower()
+    return low.encode() if _is_word(given) and _is_word(low) else None
+
+
 #: What stands for each byte in byte-level vocabularies, but for the line end, which parts pieces here.
 _LETTERS = {b: x for b, x in enumerate(byte_letters()) if b != 10}
 
@@ -169,7 +193,9 @@ def _either(test: Callable[[str], bool], yes: Encoder, no: Encoder) -> Encoder:
 def gather(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """The stretches of flat, one after the other."""
     ends = np.cumsum(sizes)
-    return flat[np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)]
+    at = np.repeat(starts - (ends - sizes), sizes)
+    at += np.arange(len(at))
+    return flat.take(at)
 
 
 def cut_kind(path: str) -> str:
@@ -191,10 +217,7 @@ def cut_kind(path: str) -> str:
 
 def cut(text: bytes, kind: str) -> tuple[list[bytes], list[bytes]]:
     """Pieces that have their ids each for itself: those as they are, which come first, and then those
-    without the space that begins them. Of kind 'word', white space is left out."""
-    if kind == "word":
-        # case doesn't count but in the strings of added tokens
-        return (text if b"<|" in text else text.lower()).split(), []
+    without the space that begins them."""
     if kind == "whole" or not text:
         return [text] if text else [], []
     if _ODD.search(text):
@@ -207,23 +230,32 @@ def cut(text: bytes, kind: str) -> tuple[list[bytes], list[bytes]]:
 
 
 class _Numbers(dict):
-    """Numbers pieces as they come; shared counts those of both kinds. A comma or full stop after a letter is a
-    pretoken of its own, so such a piece is put together from two; where case doesn't count, letters are lowered."""
+    """Numbers pieces as they come; shared counts those of both kinds, joints gets what is put together. A comma or full stop after a letter is a
+    pretoken of its own, so such a piece is put together from two. In the word vocabulary, so is any run of signs after
+    letters only; case doesn't count there, so letters are lowered."""
 
-    def __init__(self, shared: list, lead: str, ends: dict, lower: bool):
+    def __init__(self, shared: list, joints: list, lead: str, ends: dict, lower: bool):
         super().__init__()
-        self.shared, self.lead, self.ends, self.lower = shared, lead, ends, lower
+        self.shared, self.joints, self.lead, self.ends, self.lower = shared, joints, lead, ends, lower
 
     def __missing__(self, piece: bytes) -> int:
-        if piece[-1:] in (b",", b".") and piece[-2:-1].isalpha():
-            made = self[piece[:-1]], self.ends[piece[-1:]]
-        elif self.lower and piece.isalpha() and not piece.islower():
-            self[piece] = n = self[piece.lower()]
-            return n
-        else:
-            made = self.lead + piece.decode("utf-8", "replace")
+        parts = None
+        if self.lower:
+            core = piece.rstrip(SIGNS)
+            low = core.lower() if core.isalpha() else _lowered(core)
+            if low and len(core) < len(piece):
+                parts = self[low], self.ends[piece[len(core) :]]
+            elif low and low != piece:
+                self[piece] = n = self[low]
+                return n
+        if parts is None and piece[-1:] in (b",", b".") and piece[-2:-1].isalpha():
+            parts = self[piece[:-1]], self.ends[piece[-1:]]
         n = self[piece] = len(self.shared)
-        self.shared.append(made)
+        if parts is None:
+            self.shared.append(self.lead + piece.decode("utf-8", "replace"))
+        else:
+            self.shared.append(None)
+            self.joints += (n, *parts)
         return n
 
 
@@ -236,21 +268,23 @@ class PieceEncoder:
         self._clear()
 
     def _clear(self) -> None:
+        # joints: of each new piece that is put together, its number and those of its two parts
         self.pieces: list = []
-        self.heads = _Numbers(self.pieces, "", {}, self.kind == "word")
+        self.joints: list = []
+        self.heads = _Numbers(self.pieces, self.joints, "", {}, self.kind == "word")
         self.heads.ends = self.heads
-        self.tails = _Numbers(self.pieces, " ", self.heads, False)
+        self.tails = _Numbers(self.pieces, self.joints, " ", self.heads, False)
         self.flat, self.starts, self.sizes, self.seen = np.empty(0, np.uint32), np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
 
     def _forget(self) -> None:
         keep = self.seen > 1
         if keep.sum() > MEMORY // 2:
             return self._clear()
-        renumbered = (np.cumsum(keep) - 1).tolist()
+        renumbered = np.where(keep, np.cumsum(keep) - 1, -1).tolist()
         for name in ("heads", "tails"):
             known = getattr(self, name)
-            fresh = _Numbers(self.pieces, known.lead, {}, known.lower)
-            fresh.update((x, renumbered[i]) for x, i in known.items() if keep[i])
+            fresh = _Numbers(self.pieces, self.joints, known.lead, {}, known.lower)
+            fresh.update((x, renumbered[i]) for x, i in known.items() if renumbered[i] >= 0)
             setattr(self, name, fresh)
         self.heads.ends = self.tails.ends = self.heads
         self.flat = gather(self.flat, self.starts[keep], self.sizes[keep])
@@ -258,38 +292,72 @@ class PieceEncoder:
         self.starts = np.cumsum(self.sizes) - self.sizes
         del self.pieces[len(self.sizes) :]
 
-    def texts(self, texts: list[bytes | None]) -> list[np.ndarray]:
-        """The ids of each text (UTF-8) as uint32; null is the empty text."""
-        if len(self.pieces) > MEMORY:
-            self._forget()
+    def _words(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
+        """The numbers of all texts' words, one after the other, and how many words each text has. Arrow parts them at white
+        space and tells them apart, so that a word is looked up once for all its places. Case doesn't count but in the
+        strings of added tokens."""
+        given = pa.array(texts, pa.binary()).view(pa.string())
+        low = pc.ascii_trim_whitespace(pc.if_else(pc.match_substring(given, "<|"), given, pc.ascii_lower(given)))
+        parted = pc.ascii_split_whitespace(pc.if_else(pc.equal(pc.binary_length(low), 0), pa.scalar(None, pa.string()), low))
+        coded = parted.flatten().dictionary_encode()
+        counts = pc.fill_null(pc.list_value_length(parted), 0).to_numpy(zero_copy_only=False)
+        known = coded.dictionary
+        if not len(known):
+            return np.empty(0, np.int64), counts
+        # one string of all distinct words is quicker to take apart than an array of them
+        words = pc.binary_join(pa.ListArray.from_arrays([0, len(known)], known), " ").view(pa.binary())[0].as_py().split(b" ")
+        numbers = np.fromiter(map(self.heads.get, words, itertools.repeat(-1)), np.int64, len(words))
+        new = np.flatnonzero(numbers < 0)
+        # new words of small letters only are pieces as they are, and numbered all at once
+        small = pc.match_substring_regex(known.take(pa.array(new)), f"^{_SMALL_LETTERS}$").to_numpy(zero_copy_only=False)
+        plain, others = new[small], new[~small]
+        numbers[plain] = range(len(self.pieces), len(self.pieces) + len(plain))
+        if len(plain):
+            bare = [words[i] for i in plain.tolist()]
+            self.heads.update(zip(bare, numbers[plain].tolist(), strict=True))
+            self.pieces += b" ".join(bare).decode().split(" ")
+        numbers[others] = [self.heads[words[i]] for i in others.tolist()]
+        return numbers.take(coded.indices.to_numpy()), counts
+
+    def _cut(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
+        """The numbers of all texts' pieces, one after the other, and how many pieces each text has."""
         head, tail = self.heads.__getitem__, self.tails.__getitem__
         found = []
         for x in texts:
             first, rest = cut(x, self.kind) if x else ([], [])
             found.append(np.array([*map(head, first), *map(tail, rest)], np.int64))
+        return np.concatenate(found), np.fromiter(map(len, found), np.int64, len(found))
+
+    def texts(self, texts: list[bytes | None]) -> list[np.ndarray]:
+        """The ids of each text (UTF-8) as uint32; null is the empty text."""
+        if not texts:
+            return []
+        if len(self.pieces) > MEMORY:
+            self._forget()
+        every, counts = self._words(texts) if self.kind == "word" else self._cut(texts)
         learnt = len(self.starts)
         if new := self.pieces[learnt:]:
-            whole = np.fromiter((type(x) is str for x in new), bool, len(new))
-            ids, n = self.encode([x for x in new if type(x) is str]) if whole.any() else (self.flat[:0], self.sizes[:0])
+            joints = np.array(self.joints, np.int64).reshape(-1, 3)
+            self.joints.clear()
+            whole = np.ones(len(new), bool)
+            whole[joints[:, 0] - learnt] = False
+            ids, n = self.encode([x for x in new if x is not None]) if whole.any() else (self.flat[:0], self.sizes[:0])
             starts, sizes = np.empty(len(new), np.int64), np.empty(len(new), np.int64)
             starts[whole], sizes[whole] = len(self.flat) + np.cumsum(n) - n, n
             self.starts, self.sizes = np.concatenate([self.starts, starts]), np.concatenate([self.sizes, sizes])
             self.flat = np.concatenate([self.flat, ids])
-            if not whole.all():
-                parts = np.array([x for x in new if type(x) is tuple], np.int64)
+            if len(joints):
+                at, parts = joints[:, 0], joints[:, 1:]
                 size = self.sizes[parts]
-                at, total = learnt + np.flatnonzero(~whole), size.sum(axis=1)
+                total = size.sum(axis=1)
                 self.starts[at], self.sizes[at] = len(self.flat) + np.cumsum(total) - total, total
                 self.flat = np.concatenate([self.flat, gather(self.flat, self.starts[parts].ravel(), size.ravel())])
             self.pieces[learnt:] = [None] * len(new)  # only their number counts now
             self.seen = np.concatenate([self.seen, np.zeros(len(new), np.int64)])
-        if not found:
-            return []
-        every = np.concatenate(found)
         self.seen += np.bincount(every, minlength=len(self.seen))
-        sizes = self.sizes[every]
-        ids = gather(self.flat, self.starts[every], sizes)
-        ends = np.append(0, np.cumsum(sizes))[np.cumsum([0] + [len(i) for i in found])].tolist()
+        sizes = self.sizes.take(every)
+        ids = gather(self.flat, self.starts.take(every), sizes)
+        ends = np.append(0, np.cumsum(sizes))[np.append(0, np.cumsum(counts))].tolist()
         return [ids[a:b] for a, b in zip(ends, ends[1:], strict=False)]
 
 
