@@ -330,7 +330,7 @@ def read_shards(spark: SparkSession, folder: str) -> DataFrame:
             for start, data in zip(column(b, "base"), column(b, "image"), strict=True):
                 rows = []
                 for doc, ids in Image(data).documents():
-                    rows.append((doc, start, len(ids), zlib.crc32(ids.astype("<u4").tobytes())))
+                    rows.append((doc, start, len(ids), zlib.crc32(np.ascontiguousarray(ids, "<u4"))))
                     start += len(ids)
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], ["doc_id", "start", "n_tokens", "ids_crc32"])
 

@@ -259,6 +259,11 @@ class _Numbers(dict):
         return n
 
 
+def _strings(words: pa.Array) -> list[bytes]:
+    """Words without spaces as bytes: one string of them is quicker to take apart than an array."""
+    return pc.binary_join(pa.ListArray.from_arrays([0, len(words)], words), " ").view(pa.binary())[0].as_py().split(b" ")
+
+
 class PieceEncoder:
     """Ids of texts; made once per worker."""
 
@@ -280,11 +285,13 @@ class PieceEncoder:
         keep = self.seen > 1
         if keep.sum() > MEMORY // 2:
             return self._clear()
-        renumbered = np.where(keep, np.cumsum(keep) - 1, -1).tolist()
+        renumbered = np.where(keep, np.cumsum(keep) - 1, -1)
         for name in ("heads", "tails"):
             known = getattr(self, name)
             fresh = _Numbers(self.pieces, self.joints, known.lead, {}, known.lower)
-            fresh.update((x, renumbered[i]) for x, i in known.items() if renumbered[i] >= 0)
+            words, numbers = list(known), renumbered[np.fromiter(known.values(), np.int64, len(known))]
+            kept = np.flatnonzero(numbers >= 0)
+            fresh.update(zip([words[i] for i in kept.tolist()], numbers[kept].tolist(), strict=True))
             setattr(self, name, fresh)
         self.heads.ends = self.tails.ends = self.heads
         self.flat = gather(self.flat, self.starts[keep], self.sizes[keep])
@@ -297,28 +304,48 @@ class PieceEncoder:
         space and tells them apart, so that a word is looked up once for all its places. Case doesn't count but in the
         strings of added tokens."""
         given = pa.array(texts, pa.binary()).view(pa.string())
-        low = pc.ascii_trim_whitespace(pc.if_else(pc.match_substring(given, "<|"), given, pc.ascii_lower(given)))
+        low = pc.ascii_lower(given)
+        if any(x and b"<|" in x for x in texts):
+            low = pc.if_else(pc.match_substring(given, "<|"), given, low)
+        low = pc.ascii_trim_whitespace(low)
         parted = pc.ascii_split_whitespace(pc.if_else(pc.equal(pc.binary_length(low), 0), pa.scalar(None, pa.string()), low))
         coded = parted.flatten().dictionary_encode()
         counts = pc.fill_null(pc.list_value_length(parted), 0).to_numpy(zero_copy_only=False)
         known = coded.dictionary
         if not len(known):
             return np.empty(0, np.int64), counts
-        # one string of all distinct words is quicker to take apart than an array of them
-        words = pc.binary_join(pa.ListArray.from_arrays([0, len(known)], known), " ").view(pa.binary())[0].as_py().split(b" ")
+        words = _strings(known)
         numbers = np.fromiter(map(self.heads.get, words, itertools.repeat(-1)), np.int64, len(words))
         new = np.flatnonzero(numbers < 0)
-        # new words of small letters only are pieces as they are, and numbered all at once
-        small = pc.match_substring_regex(known.take(pa.array(new)), f"^{_SMALL_LETTERS}$").to_numpy(zero_copy_only=False)
-        plain, others = new[small], new[~small]
-        numbers[plain] = range(len(self.pieces), len(self.pieces) + len(plain))
-        if len(plain):
-            bare = [words[i] for i in plain.tolist()]
-            self.heads.update(zip(bare, numbers[plain].tolist(), strict=True))
-            self.pieces += b" ".join(bare).decode().split(" ")
+        # new words of small letters only, also with signs behind them, are numbered all at once
+        fresh = known.take(pa.array(new))
+        core = pc.ascii_rtrim(fresh, characters=SIGNS.decode())
+        small = pc.match_substring_regex(core, f"^{_SMALL_LETTERS}$").to_numpy(zero_copy_only=False)
+        size = pc.binary_length(core).to_numpy()
+        bare = size == pc.binary_length(fresh).to_numpy()
+        plain, joined, others = new[small & bare], np.flatnonzero(small & ~bare), new[~small]
+        numbers[plain] = self._add([words[i] for i in plain.tolist()])
+        if len(joined):
+            cores = _strings(core.take(pa.array(joined)))
+            self._add([x for x in dict.fromkeys(cores) if x not in self.heads])
+            whole = [words[i] for i in new[joined].tolist()]
+            signs = [self.heads[x[n:]] for x, n in zip(whole, size[joined].tolist(), strict=True)]
+            at = range(len(self.pieces), len(self.pieces) + len(whole))
+            self.joints += itertools.chain.from_iterable(zip(at, map(self.heads.__getitem__, cores), signs, strict=True))
+            self.heads.update(zip(whole, at, strict=True))
+            self.pieces += itertools.repeat(None, len(whole))
+            numbers[new[joined]] = at
         numbers[others] = [self.heads[words[i]] for i in others.tolist()]
         return numbers.take(coded.indices.to_numpy()), counts
 
+    def _add(self, words: list[bytes]) -> range:
+        """The numbers that new words of small letters only get."""
+        at = range(len(self.pieces), len(self.pieces) + len(words))
+        if words:
+            self.heads.update(zip(words, at, strict=True))
+            self.pieces += b" ".join(words).decode().split(" ")
+        return at
+
     def _cut(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
         """The numbers of all texts' pieces, one after the other, and how many pieces each text has."""
         head, tail = self.heads.__getitem__, self.tails.__getitem__
